@@ -6,14 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, linededup, media, simhash, substrings
+from . import decontaminate, linededup, lm, media, quality, simhash, substrings, toxicity
 from .common import read
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_texts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_texts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(read(spark, sf_dir, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(read(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -32,7 +44,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_line_dedup, op6_simhash, op7_media, op8_decontamination, op10_substring_dedup)
+    f.__name__: f for f in (op1_toxicity, op2_quality, op4_line_dedup, op5_lm_scoring, op6_simhash, op7_media, op8_decontamination, op10_substring_dedup)
 }
 
 ORACLE_SQL: dict[str, str] = {}
