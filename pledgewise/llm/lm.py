@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import id_remainder, slices, text_column, use_checkpoints
 
 END, OTHER, FIRST = 0, 1, 2
-DIM, NOISE, BATCH, RATE = 16, 24, 2048, 0.1
+DIM, NOISE, BATCH, RATE = 16, 48, 512, 0.2
 FLUSH = 300_000
 
 
@@ -112,9 +112,9 @@ class Bilinear:
         rng, n = np.random.default_rng(seed), len(unigram)
         self.noise = unigram
         self.parts = {
-            "out": rng.normal(0, 0.1, (n, DIM)).astype(np.float32),
-            "near": rng.normal(0, 0.1, (n + 1, DIM)).astype(np.float32),
-            "far": rng.normal(0, 0.1, (n + 1, DIM)).astype(np.float32),
+            "out": rng.normal(0, 0.5, (n, DIM)).astype(np.float32),
+            "near": rng.normal(0, 0.5, (n + 1, DIM)).astype(np.float32),
+            "far": rng.normal(0, 0.5, (n + 1, DIM)).astype(np.float32),
             "bias": np.log(unigram).astype(np.float32)[:, None],
         }
         self.squares = {k: np.full(len(v), 0.1, np.float32) for k, v in self.parts.items()}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, linededup, lm, media, quality, simhash, substrings, toxicity
+from . import decontaminate, language, linededup, lm, media, quality, sentencepieces, simhash, substrings, toxicity
 from .common import read
 
 
@@ -18,6 +18,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_texts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(read(spark, sf_dir, "documents"))
 
@@ -39,12 +43,28 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans")
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encode_and_check(read(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest_rows(substrings.dedup_substrings(read(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_quality, op4_line_dedup, op5_lm_scoring, op6_simhash, op7_media, op8_decontamination, op10_substring_dedup)
+    f.__name__: f
+    for f in (
+        op1_toxicity,
+        op2_quality,
+        op3_language_id,
+        op4_line_dedup,
+        op5_lm_scoring,
+        op6_simhash,
+        op7_media,
+        op8_decontamination,
+        op9_sentencepiece,
+        op10_substring_dedup,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}
