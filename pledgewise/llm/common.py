@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 WHITESPACE = bytes([0x20, *range(0x09, 0x0E)])
 _MULT = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -106,8 +106,10 @@ def byte_values() -> np.ndarray:
 def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of ``values[start:end]`` for each range, equal for equal content wherever it stands."""
     ups, downs = powers(len(values) + 1)
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * ups[: len(values)], out=total[1:])
+    total = np.empty(len(values) + 1, np.uint64)
+    total[0] = 0
+    np.multiply(values, ups[: len(values)], out=total[1:])
+    np.cumsum(total[1:], out=total[1:])
     return mix((total[ends] - total[starts]) * downs[starts] + (ends - starts).astype(np.uint64))
 
 

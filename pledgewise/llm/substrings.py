@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,11 +71,16 @@ def _lists(column: pa.Array) -> list[np.ndarray]:
     return [flat[a:b].astype(np.int64).view(np.uint64) for a, b in zip(offsets, offsets[1:], strict=False)]
 
 
+def without_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pc.invert(batch.column("copy")))
+
+
 def _emit(length: int, below: int | None, window: int) -> Callable:
     """The distinct hashes of a level in each document: ``h, doc_id``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(without_copies(batches)):
             words = Words(batch.column("text"), TABLE)
             hashes = words.hashes()
             at, value = standing_for(words, hashes, length, window)
@@ -116,30 +122,22 @@ def dedup_substrings(docs: DataFrame, window: int = 13, base: int = 4) -> DataFr
     docs = text_column(docs)
     digest = docs.where("doc_id is not null and text is not null").select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"))
     shared = digest.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("digest", "least")
-    copies = digest.join(shared, "digest").where("doc_id > least").select("doc_id", F.xxhash64("digest").alias("text_key")).distinct().checkpoint()
-    dealt = docs.where("doc_id is not null").repartition("doc_id")
-
-    def with_kept(kept: DataFrame | None, how: str) -> DataFrame:
-        out = dealt if kept is None else dealt.join(kept, "doc_id", how)
-        return out
-
-    own = with_kept(None, "").withColumn("text_key", F.xxhash64(F.unhex(F.sha2("text", 256))))
-    first_of = own.join(copies, ["doc_id", "text_key"], "left_anti").select("doc_id", "text")
+    copies = digest.join(shared, "digest").where("doc_id > least").groupBy("doc_id").agg(F.collect_set("digest").alias("digests")).checkpoint()
+    is_copy = F.coalesce(F.array_contains("digests", F.unhex(F.sha2("text", 256))), F.lit(False))
+    dealt = docs.where("doc_id is not null").repartition("doc_id").join(copies, "doc_id", "left").select("doc_id", "text", is_copy.alias("copy"))
     kept, below = None, None
     for length in levels(window, base):
-        source = first_of if kept is None else first_of.join(kept, "doc_id")
+        source = dealt if kept is None else dealt.join(kept, "doc_id")
         rows = source.mapInArrow(_emit(length, below, window), "h long, doc_id long")
         if length < window:
-            repeated = rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-            back = rows.join(repeated, "h")
+            back = rows.join(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "h")
         else:
-            repeated = rows.groupBy("h").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").select("h", "least")
-            back = rows.join(repeated, "h").where("doc_id > least")
-        kept = back.groupBy("doc_id").agg(F.collect_set("h").alias("kept")).checkpoint()
+            first = rows.groupBy("h").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
+            back = rows.join(first.select("h", "least"), "h").where("doc_id > least")
+        kept = back.groupBy("doc_id").agg(F.collect_set("h").alias("kept"))
         below = length
-    out = own.join(copies.withColumn("copy", F.lit(True)), ["doc_id", "text_key"], "left").join(kept, "doc_id", "left")
-    out = out.select("doc_id", "text", "kept", F.coalesce("copy", F.lit(False)).alias("copy"))
-    nameless = docs.where("doc_id is null").select("doc_id", "text", F.expr("cast(null as array<bigint>)").alias("kept"), F.lit(False).alias("copy"))
+    out = dealt.join(kept, "doc_id", "left").select("doc_id", "text", "copy", "kept")
+    nameless = docs.where("doc_id is null").select("doc_id", "text", F.lit(False).alias("copy"), F.expr("cast(null as array<bigint>)").alias("kept"))
     return out.union(nameless).mapInArrow(_remove(window), "doc_id long, n_words long, n_removed long, text string")
 
 
