@@ -18,8 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_column
-
 WINDOW = 3
 
 
@@ -50,9 +48,13 @@ def repeats(windows: DataFrame) -> DataFrame:
     return windows.join(first, ["h1", "h2"]).where(F.struct("doc_id", "row_hash", "pos") != F.col("first_place")).select("doc_id", "row_hash", "pos")
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id, n_lines, n_removed, text``: each document without the lines that repeat a window seen before it."""
-    docs = text_column(docs)
+def dedup_lines(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, n_lines, n_removed, text``: each document without the lines that repeat a window seen before it.
+
+    Columns named in ``carry`` come along unchanged, after these four.
+    """
+    carried = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None).cast("struct<none:int>")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), carried.alias("carried"))
     gone = (
         repeats(line_windows(docs, window))
         .groupBy("doc_id", "row_hash")
@@ -67,4 +69,5 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.coalesce(F.size(F.array_distinct("covered")), F.lit(0)).cast("long").alias("n_removed"),
         F.when(F.col("covered").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.element_at(lines, i + 1)), "\n")).alias("text"),
+        *[F.col(f"carried.{c}").alias(c) for c in carry],
     )

@@ -67,4 +67,50 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: A-Z to a-z alone.
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": """
+        WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+        w AS (SELECT doc_id, lines, unnest(range(0, len(lines) - 2)) AS p FROM d WHERE len(lines) >= 3),
+        k AS (SELECT doc_id, p, lines[p + 1] AS a, lines[p + 2] AS b, lines[p + 3] AS c FROM w),
+        later AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, p) AS n
+                  FROM k WHERE trim(a) || trim(b) || trim(c) <> '') WHERE n > 1),
+        gone AS (SELECT DISTINCT doc_id, p + o AS p FROM later, (VALUES (0), (1), (2)) AS t(o)),
+        n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+        kept AS (SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.p) AS text
+                 FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(0, len(lines))) AS p FROM d) l
+                 ANTI JOIN gone USING (doc_id, p) GROUP BY l.doc_id)
+        SELECT d.doc_id, coalesce(len(d.lines), 0)::BIGINT AS n_lines, coalesce(n.n, 0)::BIGINT AS n_removed,
+               CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op8_decontamination": f"""
+        WITH d AS (SELECT doc_id, coalesce({_ITEM_WORDS}, []) AS words FROM documents),
+        i AS (SELECT item_id, coalesce({_ITEM_WORDS}, []) AS words FROM benchmark),
+        iw AS (SELECT DISTINCT item_id, least(len(words), 13) AS n, array_to_string(words[p + 1 : p + 13], ' ') AS phrase
+               FROM (SELECT item_id, words, unnest(range(0, greatest(len(words) - 12, CASE WHEN len(words) > 0 THEN 1 ELSE 0 END))) AS p FROM i)),
+        sizes AS (SELECT DISTINCT n FROM iw),
+        dw AS (SELECT doc_id, n, p, array_to_string(words[p + 1 : p + n], ' ') AS phrase
+               FROM (SELECT doc_id, words, n, unnest(range(0, greatest(len(words) - n + 1, 0))) AS p FROM d, sizes)),
+        hits AS (SELECT dw.doc_id, dw.p, dw.n, iw.item_id FROM dw JOIN iw ON dw.n = iw.n AND dw.phrase = iw.phrase),
+        covered AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hits) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+                  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+        SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_hit, coalesce(x.n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(x.ids, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AND 20 * coalesce(c.n_hit, 0) >= len(d.words) AS contaminated
+        FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN items x USING (doc_id)""",
+    "op10_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents),
+        w AS (SELECT doc_id, p, array_to_string(words[p + 1 : p + 13], ' ') AS phrase
+              FROM (SELECT doc_id, words, unnest(range(0, greatest(len(words) - 12, 0))) AS p FROM d)),
+        later AS (SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY phrase) AS least FROM w) WHERE least < doc_id),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS p FROM later),
+        n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+        kept AS (SELECT l.doc_id, string_agg(l.word, ' ' ORDER BY l.p) AS text
+                 FROM (SELECT doc_id, unnest(words) AS word, unnest(range(0, len(words))) AS p FROM d) l
+                 ANTI JOIN gone USING (doc_id, p) GROUP BY l.doc_id)
+        SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+}
