@@ -18,6 +18,7 @@ an id are one document, each judged on its own text.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITESPACE, Words, byte_table, covered, slices, text_column, use_checkpoints
+from .common import WHITESPACE, Words, byte_table, covered, mix, slices, text_column, use_checkpoints
 
 TABLE = byte_table(WHITESPACE, lower=False)
 
 
+NO_ID = -(1 << 63)
+
+
 def levels(window: int, base: int = 4) -> list[int]:
     """Lengths that double from ``base`` and end at ``window``."""
     out = [min(base, window)]
@@ -57,23 +61,25 @@ def _survives(batch: pa.RecordBatch, words: Words, hashes: np.ndarray, at: np.nd
     if length is None:
         return np.ones(len(at), bool)
     _, below = standing_for(words, hashes, length, window)
-    rows, out = words.rows[at], np.zeros(len(at), bool)
-    for row, kept in enumerate(_lists(batch.column("kept"))):
-        if len(kept):
-            own = slice(*np.searchsorted(rows, [row, row + 1]))
-            out[own] = np.isin(below[own], kept)
-    return out
+    column = batch.column("kept")
+    offsets = column.offsets.to_numpy()
+    kept = column.values.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)[offsets[0] : offsets[-1]]
+    known = np.sort(_in_row(kept, np.repeat(np.arange(len(column)), np.diff(offsets))))
+    if not len(known):
+        return np.zeros(len(at), bool)
+    wanted = _in_row(below, words.rows[at])
+    return known[np.minimum(np.searchsorted(known, wanted), len(known) - 1)] == wanted
 
 
-def _lists(column: pa.Array) -> list[np.ndarray]:
-    """A list column of longs as unsigned arrays (null: empty)."""
-    flat, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-    return [flat[a:b].astype(np.int64).view(np.uint64) for a, b in zip(offsets, offsets[1:], strict=False)]
+def _in_row(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """A hash of a hash and its row."""
+    return mix(hashes ^ mix(rows.astype(np.uint64) + np.uint64(1)))
 
 
 def without_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield batch.filter(pc.invert(batch.column("copy")))
+        named = pc.and_(pc.is_valid(batch.column("doc_id")), pc.invert(batch.column("copy")))
+        yield batch.filter(pc.and_(named, pc.is_valid(batch.column("kept"))) if "kept" in batch.schema.names else named)
 
 
 def _emit(length: int, below: int | None, window: int) -> Callable:
@@ -102,14 +108,15 @@ def _remove(window: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             words = Words(batch.column("text"), TABLE)
-            at, _ = words.windows(words.hashes(), window)
-            gone = covered(at[_survives(batch, words, words.hashes(), at, window, window)], window, len(words))
+            hashes = words.hashes()
+            at, _ = words.windows(hashes, window)
+            gone = covered(at[_survives(batch, words, hashes, at, window, window)], window, len(words))
             copy = batch.column("copy").to_numpy(zero_copy_only=False).astype(bool)
             gone |= (copy & (words.counts >= window))[words.rows]
             kept = []
             for row in range(batch.num_rows):
-                own = gone[words.first[row] : words.first[row + 1]].tolist()
-                kept.append(b" ".join([w for w, g in zip(words.word_list(row), own, strict=True) if not g]).decode())
+                own = gone[words.first[row] : words.first[row + 1]]
+                kept.append(b" ".join(compress(words.word_list(row), (~own).tolist()) if own.any() else words.word_list(row)).decode())
             removed = np.bincount(words.rows[gone], minlength=batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(words.counts.astype(np.int64)), pa.array(removed.astype(np.int64)), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "text"])
 
@@ -124,21 +131,21 @@ def dedup_substrings(docs: DataFrame, window: int = 13, base: int = 4) -> DataFr
     shared = digest.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("digest", "least")
     copies = digest.join(shared, "digest").where("doc_id > least").groupBy("doc_id").agg(F.collect_set("digest").alias("digests")).checkpoint()
     is_copy = F.coalesce(F.array_contains("digests", F.unhex(F.sha2("text", 256))), F.lit(False))
-    dealt = docs.where("doc_id is not null").repartition("doc_id").join(copies, "doc_id", "left").select("doc_id", "text", is_copy.alias("copy"))
+    # a key that is never null, so that every level asks for the same exchange of texts
+    key = F.coalesce("doc_id", F.lit(NO_ID)).alias("key")
+    dealt = docs.select(key, "doc_id", "text").repartition("key").join(copies.select(key, "digests"), "key", "left").select("key", "doc_id", "text", is_copy.alias("copy"))
     kept, below = None, None
     for length in levels(window, base):
-        source = dealt if kept is None else dealt.join(kept, "doc_id")
+        source = dealt if kept is None else dealt.join(kept, "key", "left")
         rows = source.mapInArrow(_emit(length, below, window), "h long, doc_id long")
         if length < window:
             back = rows.join(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "h")
         else:
             first = rows.groupBy("h").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
             back = rows.join(first.select("h", "least"), "h").where("doc_id > least")
-        kept = back.groupBy("doc_id").agg(F.collect_set("h").alias("kept"))
+        kept = back.groupBy(key).agg(F.collect_set("h").alias("kept"))
         below = length
-    out = dealt.join(kept, "doc_id", "left").select("doc_id", "text", "copy", "kept")
-    nameless = docs.where("doc_id is null").select("doc_id", "text", F.lit(False).alias("copy"), F.expr("cast(null as array<bigint>)").alias("kept"))
-    return out.union(nameless).mapInArrow(_remove(window), "doc_id long, n_words long, n_removed long, text string")
+    return dealt.join(kept, "key", "left").mapInArrow(_remove(window), "doc_id long, n_words long, n_removed long, text string")
 
 
 def digest_rows(deduped: DataFrame) -> DataFrame:
