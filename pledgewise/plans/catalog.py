@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import aggregates, corpus, drafting, joining, resolution  # noqa: F401
+from . import aggregates, corpus, drafting, guarding, joining, resolution  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES  # noqa: F401

@@ -24,10 +24,10 @@ def integrity(filings: DataFrame) -> DataFrame:
     return filings.withColumn("issue", F.when(F.col("content").isNull(), "missing").when(F.sha2("content", 256) != F.lower("raw_sha256"), "hash_mismatch"))
 
 
-def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """Entries of Atom pages: accession, form, day, items and index page; incomplete entries are dropped."""
-    schema = "id string, title string, updated string, content struct<`accession-number`: string, `filing-type`: string, `filing-date`: string, `filing-href`: string, `items-desc`: string>"
-    entries = spark.read.format("xml").option("rowTag", "entry").schema(schema).load(path)
+ENTRY = "content struct<`accession-number`: string, `filing-type`: string, `filing-date`: string, `filing-href`: string, `items-desc`: string>"
+
+
+def _complete(entries: DataFrame) -> DataFrame:
     return entries.select(
         F.col("content.accession-number").alias("accession"),
         F.col("content.filing-type").alias("form"),
@@ -37,6 +37,17 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     ).where("accession is not null and form is not null and filed_at is not null and index_url is not null")
 
 
+def read_feed(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of Atom files: accession, form, day, items and index page; incomplete entries are dropped."""
+    return _complete(spark.read.format("xml").option("rowTag", "entry").schema(ENTRY).load(path))
+
+
+def feed_entries(pages: DataFrame, page: str = "page") -> DataFrame:
+    """The same of Atom pages held in a column."""
+    parsed = F.from_xml(page, f"entry array<struct<{ENTRY.replace('content struct', 'content: struct', 1)}>>")
+    return _complete(pages.select(F.explode(parsed["entry"]).alias("e")).select("e.*"))
+
+
 def index_documents(pages: DataFrame, html: str = "html") -> DataFrame:
     """Rows of an index page's tables with at least four cells and a number first: position, type and path."""
     rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))
