@@ -1,6 +1,7 @@
 """Toxicity scores from subword-bag embeddings.
 
-A word is the mean of the vectors of its character n-grams and of itself; a text is the mean of its words; a linear softmax
+A word is the mean of the vectors of its character n-grams and of itself; a text is the mean of
+its distinct words, weighted by the roots of their counts; a linear softmax
 reads the text.  Vectors and softmax are trained together by gradient descent in numpy on a bounded sample of labelled
 rows (a number of rows of each class, of at most ``max_chars`` characters, the least by hash of the id), so a misspelling that was
 never seen is scored by the n-grams it shares with words that were.
@@ -15,6 +16,7 @@ share of class 1 (0 without labels).
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,6 +47,12 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def counted(text: str | None) -> tuple[list[bytes], np.ndarray]:
+    """Distinct words and their weights in the text's mean: roots of counts, so that one word said over and over is not all."""
+    found = Counter(words_of(text))
+    return list(found), np.sqrt(np.fromiter(found.values(), np.float64, len(found)))
+
+
 def _sums(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """Sums of the rows of each segment; segments may be empty."""
     out = np.zeros((len(begin) - 1, *values.shape[1:]), values.dtype)
@@ -63,18 +71,17 @@ class Bag:
         self.softmax = rng.normal(0, 0.3, (DIM, 2)).astype(np.float32)
         self.bias = np.zeros(2, np.float32)
 
-    def fit(self, texts: list[str], labels: np.ndarray, prior: float, steps: int = 60, rate: float = 0.05, decay: float = 1e-5, least_docs: int = 8) -> None:
+    def fit(self, texts: list[str], labels: np.ndarray, prior: float, steps: int = 60, rate: float = 0.05, decay: float = 1e-4, least_docs: int = 8) -> None:
         """Full-batch Adam steps; n-grams of fewer than ``least_docs`` texts keep no vector."""
         place: dict[bytes, int] = {}
         word, doc, weight = [], [], []
         for d, text in enumerate(texts):
-            ids = np.array([place.setdefault(w, len(place)) for w in map(normal, words_of(text))], np.int64)
-            ids, n = np.unique(ids, return_counts=True)
-            word.append(ids)
-            doc.append(np.full(len(ids), d))
+            words, n = counted(text)
+            word.append(np.array([place.setdefault(w, len(place)) for w in words], np.int64))
+            doc.append(np.full(len(n), d))
             weight.append(n / max(n.sum(), 1))
         word, doc, weight = np.concatenate(word), np.concatenate(doc), (np.concatenate(weight) * SCALE).astype(np.float32)[:, None]
-        subword, begin = subword_buckets(list(place), BUCKETS)
+        subword, begin = subword_buckets([normal(w) for w in place], BUCKETS)
         size = np.diff(begin)
         owner = np.repeat(np.arange(len(place)), size)
         docs_of = np.bincount(subword, weights=np.bincount(word, minlength=len(place))[owner], minlength=BUCKETS)
@@ -142,13 +149,13 @@ def _score(sent) -> object:
         along, bias = sent.value
         known: dict[bytes, float] = {}
         for batch in slices(batches):
-            texts = [words_of(t) for t in batch.column("text").to_pylist()]
+            texts = [counted(t) for t in batch.column("text").to_pylist()]
             if len(known) > CACHE:
                 known.clear()
-            new = list({w for words in texts for w in words}.difference(known))
+            new = list({w for words, _ in texts for w in words}.difference(known))
             if new:
                 known.update(zip(new, word_odds([normal(w) for w in new], along).tolist(), strict=True))
-            odds = np.array([sum(map(known.__getitem__, words)) / max(len(words), 1) for words in texts]) + bias
+            odds = np.array([n @ np.fromiter(map(known.__getitem__, words), np.float64, len(words)) / max(n.sum(), 1) for words, n in texts]) + bias
             score = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], ["doc_id", "score"])
 
