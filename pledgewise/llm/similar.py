@@ -1,0 +1,161 @@
+"""Near-duplicates by similarity: the texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+
+Found by a prefix-filtered set join.  In one order of all shingles, two sets this alike share a shingle among the first
+n - ceil(0.8 n) + 1 of each, so a text is entered under these alone, and those that meet under a shingle are candidates where
+their sizes and places leave room for 0.8.  Candidates are verified on their whole shingle sets, so no pair is missed or
+added; what is compared are 64-bit hashes of shingles.
+
+Any order gives the same pairs.  Shingles that are frequent in a sample of about ``sampled`` texts come last, so passages
+shared by many texts are seldom entered.  Equal sets are one class before the join.  In a crowded shingle each member is first
+held against the least one, and the links so found are contracted; then only members outside the least one's component
+are paired with the others.
+
+Defined cases: fewer words than a shingle make one shingle; null and wordless texts are alike.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from .common import WHITESPACE, Words, byte_table, range_hash, slices, use_checkpoints
+from .components import components
+
+TABLE = byte_table(WHITESPACE, lower=True)
+SHINGLE = 5
+NAMED = ["doc_id as its_id", "h as its_h"]
+THE_SAME = "h = its_h and doc_id <=> its_id"
+
+
+def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each row's distinct shingles begin (one more at the end), and their hashes, ascending in each row."""
+    words = Words(texts, TABLE)
+    hashes, counts = words.hashes(), words.counts
+    at, got = words.windows(hashes, SHINGLE)
+    short = np.flatnonzero((counts > 0) & (counts < SHINGLE))
+    row = np.concatenate([words.rows[at], short])
+    got = np.concatenate([got, range_hash(hashes, words.first[short], words.first[short + 1])])
+    order = np.lexsort((got, row))
+    row, got = row[order], got[order]
+    new = np.ones(len(got), bool)
+    new[1:] = (got[1:] != got[:-1]) | (row[1:] != row[:-1])
+    return np.searchsorted(row[new], np.arange(len(texts) + 1)), got[new]
+
+
+def frequent(docs: DataFrame, sampled: int = 8000, least: int = 3, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles in at least ``least`` texts of a sample, ascending, and in how many; they shape the order and nothing else."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(shingle_sets(batch.column("text"))[1].view(np.int64))], ["k"])
+
+    share = min(1.0, sampled / max(docs.count(), 1))
+    chosen = docs.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000).select("text").limit(2 * sampled)
+    counted = chosen.mapInArrow(run, "k long").groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    found = sorted((r.k & (1 << 64) - 1, r.n) for r in counted.orderBy(F.desc("n"), "k").limit(most).collect())
+    return np.array([k for k, _ in found], np.uint64), np.array([n for _, n in found], np.int64)
+
+
+def entries(docs: DataFrame, sampled: int = 8000) -> DataFrame:
+    """``doc_id, h, class, n, prefix``: a row for each text; the class stands for its set, ``h`` for the text itself."""
+    sent = docs.sparkSession.sparkContext.broadcast(frequent(docs, sampled))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, often = sent.value
+        for batch in slices(batches):
+            first, got = shingle_sets(batch.column("text"))
+            n = np.diff(first)
+            row = np.repeat(np.arange(len(n)), n)
+            classes = np.array([xxhash.xxh3_64_intdigest(got[a:b].tobytes()) for a, b in zip(first[:-1], first[1:], strict=True)], np.uint64)
+            rank = np.zeros(len(got), np.int64)
+            if len(known):
+                place = np.minimum(np.searchsorted(known, got), len(known) - 1)
+                rank = np.where(known[place] == got, often[place], 0)
+            got = got[np.lexsort((got, rank, row))]
+            size = np.where(n > 0, n - (4 * n + 4) // 5 + 1, 0)
+            prefix = got[np.arange(len(got)) - first[row] < size[row]]
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(prefix.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), pa.array(classes.view(np.int64)), pa.array(n, pa.int64()), lists], ["doc_id", "h", "class", "n", "prefix"])
+
+    return docs.mapInArrow(run, "doc_id long, h long, class long, n long, prefix array<long>")
+
+
+def in_blocks(keys: DataFrame, block: int = 500_000) -> list[DataFrame]:
+    """The rows of ``keys`` by their hash ``its_h``, in parts small enough to broadcast: texts are not shuffled to be looked up."""
+    keys = keys.checkpoint()
+    blocks = max(1, -(-keys.count() // block))
+    return [F.broadcast(keys.where(F.pmod("its_h", F.lit(blocks)) == b)) for b in range(blocks)]
+
+
+def without(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose ``doc_id`` and ``h`` are not among ``its_id`` and ``its_h``."""
+    for part in in_blocks(keys):
+        rows = rows.join(part, F.expr(THE_SAME), "left_anti")
+    return rows
+
+
+def _room(a: str, b: str) -> Column:
+    """Whether two sets may be 0.8 alike when this is the first shingle they share."""
+    n, m, i, j = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.at"), F.col(f"{b}.at")
+    return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * (1 + F.least(n - i - 1, m - j - 1)) >= 4 * (n + m))
+
+
+def verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs of classes ``a, b`` whose whole sets are at least 0.8 alike."""
+    pairs = pairs.checkpoint()
+    needed = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+    named = rows.join(needed, "class").groupBy("class").agg(F.min("h").alias("its_h"))
+    parts = [docs.select("h", "text").join(part, F.col("h") == F.col("its_h")) for part in in_blocks(named)]
+    texts = reduce(DataFrame.union, parts).select("class", "text").dropDuplicates(["class"]).checkpoint()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices([whole]):
+                (f, x), (g, y) = shingle_sets(batch.column("text")), shingle_sets(batch.column("other"))
+                both = np.array([len(np.intersect1d(x[f[r] : f[r + 1]], y[g[r] : g[r + 1]], assume_unique=True)) for r in range(batch.num_rows)])
+                alike = 5 * both >= 4 * (np.diff(f) + np.diff(g) - both)
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(alike))
+
+    held = pairs.join(texts.withColumnRenamed("class", "a"), "a").join(texts.select(F.col("class").alias("b"), F.col("text").alias("other")), "b")
+    return held.select("a", "b", "text", "other").mapInArrow(run, "a long, b long").checkpoint()
+
+
+def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Edges ``a, b`` that connect all classes whose sets are at least 0.8 alike, each verified."""
+    copies = rows.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("one"), F.count("*").alias("c")).where("c > 1").select("class", "one")
+    others = rows.join(copies, "class").where(~(F.col("one.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("one.h") == F.col("h")))).selectExpr(*NAMED)
+    entered = without(rows, others.distinct()).select("class", "n", F.posexplode("prefix").alias("at", "k"))
+    of_k = Window.partitionBy("k")
+    me = F.struct("class", "n", "at")
+    met = entered.select("k", me.alias("me"), F.min(me).over(of_k).alias("hub"), F.max("class").over(of_k).alias("last")).where("hub.class <> last").select("k", "me", "hub").checkpoint()
+    pair = F.least("me.class", "hub.class").alias("a"), F.greatest("me.class", "hub.class").alias("b")
+    near = verified(met.where(F.col("me.class") != F.col("hub.class")).where(_room("me", "hub")).select(*pair).distinct(), docs, rows)
+    root = components(near)
+    placed = met.join(root.withColumnRenamed("node", "c"), F.col("me.class") == F.col("c"), "left").withColumn("root", F.coalesce("root", "me.class"))
+    placed = placed.withColumn("main", F.min_by("root", F.col("me.class")).over(of_k)).where(F.col("me.class") != F.col("hub.class")).select("k", "me", "root", "main")
+    apart = placed.where("root <> main").select("k", F.col("me").alias("x"), F.col("root").alias("x_root"))
+    across = apart.join(placed, "k").where("x_root <> root and (root = main or x.class < me.class)").where(_room("x", "me"))
+    rest = across.select(F.least("x.class", "me.class").alias("a"), F.greatest("x.class", "me.class").alias("b")).distinct()
+    return near.union(verified(rest, docs, rows))
+
+
+def drop_similar(docs: DataFrame, sampled: int = 8000) -> DataFrame:
+    """One row of each component of alike texts, the least by (id, hash of the text) with null ids last, and all its columns."""
+    use_checkpoints(docs.sparkSession)
+    columns = docs.columns
+    docs = docs.withColumn("h", F.xxhash64(F.lit("text"), F.coalesce("text", F.lit(""))))
+    rows = entries(docs.select("doc_id", "h", "text"), sampled).checkpoint()
+    root = components(links(docs, rows))
+    placed = rows.select("doc_id", "h", "class").join(root.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    same = placed.groupBy("root", "doc_id", "h").agg(F.count("*").alias("c"))
+    kept = same.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("one"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    judged = same.join(kept, "root", "left").withColumn("stays", F.col("one").isNull() | (F.col("one.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("one.h") == F.col("h"))))
+    judged = judged.where("not stays or c > 1").selectExpr(*NAMED, "stays").checkpoint()
+    repeated = [docs.join(part, F.expr(THE_SAME), "left_semi") for part in in_blocks(judged.where("stays"))]
+    return without(docs, judged).union(reduce(DataFrame.union, repeated).dropDuplicates(["doc_id", "h"])).select(*columns)
