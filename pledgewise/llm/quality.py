@@ -97,7 +97,8 @@ class Machine:
         return self.bias + np.add.reduceat(self.weights[at] * value, begin) + (sums**2 - squares).sum(axis=1) / 2, sums
 
     def fit(self, found: tuple, labels: np.ndarray, prior: float, epochs: int = 8, rate: float = 0.05, batch: int = 64, decay: float = 1e-4) -> None:
-        self.centre, self.width = found[3].mean(axis=0), found[3].std(axis=0) + 1e-6
+        self.centre, spread = found[3].mean(axis=0), found[3].std(axis=0)
+        self.width = np.where(spread > 1e-9, spread + 1e-6, np.inf)  # what never differs in training has no say
         row, at, value = self.rows(found)
         n = len(labels)
         begin = np.searchsorted(row, np.arange(n + 1))
@@ -139,7 +140,7 @@ def _declared(column: pa.Array) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, learned: Column, per_class: int = 1500, max_chars: int = 12_000) -> Machine:
     shares = {r.label: r.n for r in labels.where(learned).groupBy(F.col("quality").cast("int").alias("label")).agg(F.count("*").alias("n")).collect() if r.label in (0, 1)}
     prior = shares.get(1, 0) / sum(shares.values()) if shares else 1.0
-    sample = labelled_sample(docs, labels, "quality", learned, {0: per_class, 1: per_class}, max_chars)
+    sample = labelled_sample(_columns(docs), labels, "quality", learned, {0: per_class, 1: per_class}, max_chars, ("declared",))
     model, truth = Machine(), np.array([r.label for r in sample])
     if len(set(truth.tolist())) < 2:
         model.factors[:] = 0
@@ -147,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, learned: Column, per_class: int =
         model.bias = float(np.log(edge / (1 - edge)))
         return model
     texts = pa.array([r.text for r in sample], pa.string())
-    model.fit(features(texts, np.full(len(sample), np.nan)), truth, prior)
+    model.fit(features(texts, np.array([np.nan if r.declared is None else r.declared for r in sample], np.float64)), truth, prior)
     return model
 
 

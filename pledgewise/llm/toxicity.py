@@ -31,14 +31,14 @@ BUCKETS, DIM, SCALE, EPSILON = 1 << 17, 8, 20.0, 1e-6
 CACHE = 400_000
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learned: Column, most: dict[int, int], max_chars: int) -> list:
-    """At most ``most[label]`` rows ``doc_id, text, label`` of each label; ids are chosen from the labels, so no text is shuffled."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learned: Column, most: dict[int, int], max_chars: int, carry: tuple[str, ...] = ()) -> list:
+    """At most ``most[label]`` rows ``doc_id, text, label`` and ``carry`` of each label; ids are chosen from the labels, so no text is shuffled."""
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(learned & F.col("doc_id").isNotNull())
     chosen = None
     for value, n in most.items():
         part = labels.where(F.col("label") == value).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
         chosen = part if chosen is None else chosen.union(part)
-    texts = text_column(docs).where((F.length("text") <= max_chars) & (F.length("text") > 0))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry).where((F.length("text") <= max_chars) & (F.length("text") > 0))
     rows = texts.join(F.broadcast(chosen), "doc_id").limit(2 * sum(most.values())).collect()
     return sorted(rows, key=lambda r: (r.doc_id, r.label, r.text))
 
