@@ -105,8 +105,8 @@ def _match(sent) -> Callable:
                             spans[row].append((int(first - words.first[row]), length))
                             items[row].update(ids)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text"), pa.array([[{"at": a, "n": n} for a, n in x] for x in spans], SPANS), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
-                ["doc_id", "text", "spans", "items"],
+                [*batch.columns[:-2], pa.array([[{"at": a, "n": n} for a, n in x] for x in spans], SPANS), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
+                batch.schema.names,
             )
 
     return match
@@ -131,14 +131,19 @@ def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
                 pa.array([h > 0 and 20 * h >= n for h, n in zip(n_hit, n_words.tolist(), strict=True)], pa.bool_()),
                 batch.column("spans"),
+                *batch.columns[1:-2],
             ],
-            ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"],
+            ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", *batch.schema.names[1:-2]],
         )
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, block_items: int = 20_000) -> DataFrame:
-    """One row per document: how many of its words lie in windows of which items, where, and whether that contaminates it."""
-    docs = text_column(docs)
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, block_items: int = 20_000, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: how many of its words lie in windows of which items, where, and whether that contaminates it.
+
+    With ``carry``, the text and those columns of the row follow.
+    """
+    carried = ["text string", *(f"{c} {docs.schema[c].dataType.simpleString()}" for c in carry)]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
     items = text_column(items, "item_id")
     blocks = max(1, -(-items.count() // block_items))
     found = docs.withColumn("spans", F.expr("cast(array() as array<struct<at:int,n:int>>)")).withColumn("items", F.expr("cast(array() as array<string>)"))
@@ -148,5 +153,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
         if not windows:
             continue
         index = prefix_index(windows, shingle_counts(docs, windows, shingle), shingle)
-        found = found.mapInArrow(_match(docs.sparkSession.sparkContext.broadcast(index)), "doc_id long, text string, spans array<struct<at:int,n:int>>, items array<string>")
-    return found.mapInArrow(_summary, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<at:int,n:int>>")
+        found = found.mapInArrow(_match(docs.sparkSession.sparkContext.broadcast(index)), f"doc_id long, {', '.join(carried)}, spans array<struct<at:int,n:int>>, items array<string>")
+    named = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<at:int,n:int>>"
+    judged = found.mapInArrow(_summary, ", ".join([named, *carried]))
+    return judged if carry else judged.drop("text")
