@@ -7,6 +7,9 @@ Python object is made per word unless an operator asks for it.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import re
 import tempfile
 from collections.abc import Iterator
 from functools import lru_cache
@@ -38,9 +41,15 @@ def id_remainder(doc_id: Column, n: int) -> Column:
 
 
 def use_checkpoints(spark: SparkSession) -> None:
-    """Checkpoint to the folder the cluster names; only a session without one gets its own."""
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    """Checkpoint to the folder the cluster names; only a session of one machine without one gets its own.
+
+    Raises on a cluster that names none, as a folder of one machine would lose data there.
+    """
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() is not None:
+        return
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
 
 
 def byte_table(separators: bytes, lower: bool) -> np.ndarray:
@@ -52,19 +61,27 @@ def byte_table(separators: bytes, lower: bool) -> np.ndarray:
     return table
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in order, in batches of at most SLICE_BYTES of text or one row."""
+def slices(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[pa.RecordBatch]:
+    """The same rows in order, in batches of at most SLICE_BYTES of the named columns (``text`` if none is) or one row."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        total = np.cumsum(lengths.astype(np.int64))
+        lengths = sum(pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns or ("text",))
+        total = np.cumsum(lengths)
         at = 0
         while at < len(total):
             base = total[at - 1] if at else 0
             end = max(at + 1, int(np.searchsorted(total, base + SLICE_BYTES, "right")))
             yield batch.slice(at, end - at)
             at = end
+    give_back()
+
+
+def give_back() -> None:
+    """Hands memory that the task no longer needs back to the system; Python workers live on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
