@@ -1,5 +1,7 @@
 import hashlib
+import math
 import random
+import struct
 import zlib
 
 import numpy as np
@@ -103,12 +105,102 @@ def test_media(docs, docs_df, empty_df):
 
 
 def test_media_all_bytes_round_trip():
-    samples = np.random.default_rng(1).integers(0, 256, (300, media.FRAME)).astype(np.uint8)
-    avi = media.write_avi(media.encode_frames(samples))
+    payload = np.random.default_rng(1).integers(0, 256, (300, media.FRAME)).astype(np.uint8)
+    payload[:9] = media.BIAS  # coefficients of zero: runs of every length
+    payload[1, 63], payload[2, 1], payload[3, ::17], payload[4, ::40], payload[5, 64:66], payload[6] = 0, 255, 7, 9, 1, 255
+    avi = media.write_avi(media.encode_bytes(payload))
     seconds, places = media.read_index(avi)
-    assert seconds == 0.04 and (media.decode_frames([avi[a : a + n] for a, n in places]) == samples).all()
+    found = media.decode_coefficients([avi[a : a + n] for a, n in places])
+    assert seconds == 0.04 and (np.stack([c for _, c in found]).reshape(300, -1) + media.BIAS == payload).all()
+    assert [f.shape for f in media.frames(avi)[1]] == [(media.HIGH, media.WIDE)] * 300
+
+
+def plain_jpeg(blocks, steps, wide, high, restart):
+    """A grey baseline JPEG written code by code, with tables, a comment and restart markers of its own."""
+    symbols = [16 * run + size for run in range(16) for size in range(11)]
+    counts = [0] * 7 + [len(symbols)] + [0] * 8
+    codes = media.huffman_codes(counts, symbols)
+
+    def write(symbol, value):
+        code, n = codes[symbol]
+        size = abs(value).bit_length()
+        extra = value if value >= 0 else value + (1 << size) - 1
+        return f"{code:0{n}b}" + (f"{extra:0{size}b}" if size else "")
+
+    scan, bits, last = b"", "", 0
+    for k, block in enumerate(blocks):
+        if restart and k and k % restart == 0:
+            bits += "1" * (-len(bits) % 8)
+            scan += int(bits, 2).to_bytes(len(bits) // 8, "big").replace(b"\xff", b"\xff\x00") + bytes([0xFF, 0xD0 + (k // restart - 1) % 8])
+            bits, last = "", 0
+        bits += write(abs(block[0] - last).bit_length(), block[0] - last)
+        last, run, end = block[0], 0, max((i for i in range(64) if block[i]), default=0)
+        for i in range(1, end + 1):
+            if block[i] == 0:
+                run += 1
+                continue
+            while run > 15:
+                bits, run = bits + write(0xF0, 0), run - 16
+            bits, run = bits + write(16 * run + abs(block[i]).bit_length(), block[i]), 0
+        bits += "" if end == 63 else write(0, 0)
+    bits += "1" * (-len(bits) % 8)
+    scan += int(bits, 2).to_bytes(len(bits) // 8, "big").replace(b"\xff", b"\xff\x00")
+    part = media._segment
+    head = part(0xE0, b"JFIF\x00") + part(0xFE, b"made by hand") + part(0xDB, b"\x03" + bytes(steps)) + part(0xC0, struct.pack(">BHHB", 8, high, wide, 1) + bytes([1, 0x11, 3]))
+    head += part(0xC4, b"\x01" + bytes(counts) + bytes(symbols) + b"\x12" + bytes(counts) + bytes(symbols)) + (part(0xDD, struct.pack(">H", restart)) if restart else b"")
+    return b"\xff\xd8" + head + part(0xDA, bytes([1, 1, 0x12, 0, 63, 0])) + scan + b"\xff\xd9"
+
+
+@pytest.mark.parametrize("restart", [0, 1, 2])
+def test_any_grey_baseline_frame(restart):
+    rng = random.Random(restart)
+    wide, high, steps = 20, 13, [rng.randint(1, 9) for _ in range(64)]
+    blocks = [[rng.randint(-90, 90) if i == 0 else rng.choice([0, 0, 0, 0, rng.randint(-20, 20)]) for i in range(64)] for _ in range(6)]
+    blocks[1], blocks[2][1:] = [0] * 64, [0] * 62 + [3]
+    order = sorted(((r, c) for r in range(8) for c in range(8)), key=lambda p: (sum(p), p[0] if sum(p) % 2 else p[1]))
+    want = np.zeros((16, 24))
+    for k, block in enumerate(blocks):
+        for y in range(8):
+            for x in range(8):
+                total = 0.0
+                for i, (v, u) in enumerate(order):
+                    scale = (math.sqrt(0.5) if u == 0 else 1) * (math.sqrt(0.5) if v == 0 else 1) / 4
+                    total += scale * block[i] * steps[i] * math.cos((2 * x + 1) * u * math.pi / 16) * math.cos((2 * y + 1) * v * math.pi / 16)
+                want[8 * (k // 3) + y, 8 * (k % 3) + x] = min(max(total + 128, 0), 255)
+    (header, found), (_, own) = media.decode_coefficients([plain_jpeg(blocks, steps, wide, high, restart), media.encode_bytes(np.full((1, media.FRAME), 65))[0]])
+    assert found.tolist() == blocks and (header.wide, header.high) == (wide, high) and (own == 65 - media.BIAS).all()
+    assert np.abs(media.samples_of(header, found[None])[0] - want[:high, :wide]).max() <= 0.51
+
+
+def test_media_refuses_other_files():
+    with pytest.raises(ValueError):
+        media.read_index(b"RIFX0000WAVE")
+    colour = media._segment(0xC0, struct.pack(">BHHB", 8, 8, 8, 3) + bytes(9))
+    with pytest.raises(ValueError):
+        media.parse_header(colour)
+
+
+def test_media_feature(spark):
+    """The feature and the clips against a plain reading of the stored file."""
+    text = "a quiet passage of plain words. " * 60 + "\x00\xff" * 700 + "ZZZZ" * 500
+    docs = spark.createDataFrame([(1, text), (2, text), (3, None)], "doc_id long, text string")
+    avi = {r.doc_id: r.avi for r in media.encode(docs).collect()}
+    seconds, images = media.frames(bytes(avi[1]))
+    shares = [np.bincount(i.ravel() >> 4, minlength=16) / i.size for i in images]
+    change = [float(np.abs(b - a).sum()) for a, b in zip(shares, shares[1:], strict=False)]
+    cuts = [0]
+    for k, x in enumerate(change):
+        past = np.array(change[max(k - 8, 0) : k] or [0.0])
+        if x > max(past.mean() + 3 * past.std(), 0.5):
+            cuts.append(k + 1)
+    want = [(b - a, f"{np.mean([i.mean() for i in images[a:b]]):.3f}") for a, b in zip(cuts, [*cuts[1:], len(images)], strict=True)]
+    got = {r.doc_id: r for r in media.digest(docs).collect()}
+    assert len(cuts) > 2 and got[1].feature == f"{len(cuts)}:" + ",".join(f"{n}@{m}" for n, m in want) == got[2].feature
+    assert got[1].media_sha256 == hashlib.sha256(avi[1]).hexdigest() and got[1].media_bytes == len(avi[1]) and got[3].n_bytes == 0
+    rows = media.clips(media.encode(docs)).where("doc_id = 1").orderBy("clip").collect()
+    assert [r.n_frames for r in rows] == [n for n, _ in want] and rows[0].end_s == pytest.approx(want[0][0] * seconds)
 
 
 def test_shots():
     samples = np.concatenate([np.full((20, media.FRAME), 10), np.full((20, media.FRAME), 200), np.full((5, media.FRAME), 90)]).astype(np.uint8)
-    assert media.shots(samples) == [0, 20, 40]
+    assert media.shots(media.histograms(samples)) == [0, 20, 40]
