@@ -170,18 +170,61 @@ def test_lm_base_scores(docs, docs_df, empty_df):
 
 def test_lm_is_normalised_and_learns():
     rng = np.random.default_rng(1)
-    unigram = np.array([0.1, 0.2, 0.3, 0.4])
-    model = lm.Bilinear(unigram)
-    far, near = rng.integers(0, 4, 40_000), rng.integers(0, 4, 40_000)
-    word = (near + 1) % 4
-    for at in range(0, len(word), 500):
-        model.learn(word[at : at + 500], near[at : at + 500], far[at : at + 500])
-    t = model.tables()
-    p = np.exp(t["near"][:, None] + t["far"][None] + t["bias"] - t["log_sum"][:, :, None])
+    model = lm.Bilinear(np.array([0.1, 0.2, 0.3, 0.4]))
+    far, near = rng.integers(0, 4, 60_000), rng.integers(0, 4, 60_000)
+    for seed in range(3):
+        model.learn_all((near + 1) % 4, near, far, seed)
+    a, b, w = (x.ravel() for x in np.meshgrid(*[np.arange(4)] * 3, indexing="ij"))
+    p = np.exp(model.logits(w, a, b) - model.log_sums()[a, b]).reshape(4, 4, 4)
     assert np.allclose(p.sum(axis=2), 1, atol=1e-4)
     assert min(p[a, b, (a + 1) % 4] for a in range(4) for b in range(4)) > 0.8
 
 
+def test_lm_shares_of_classes_add_up():
+    """All words of a class and one unseen share the class's probability."""
+    words = [f"w{i}x".encode() for i in range(400)]
+    counts = {w: 1 + i % 7 for i, w in enumerate(words)}
+    outside, rest = words[10:], np.zeros((2, lm.ENDINGS))
+    for w in outside:
+        rest[:, lm.ending(w) - 1] += counts[w], 1
+    mass = lm.Vocabulary(words[:10], np.array([counts[w] for w in words[:10]]), 10, 5, 0, 0, rest).mass()
+    for k in range(1, lm.FIRST):
+        share = sum((counts[w] + 0.5) / mass[k] for w in outside if lm.ending(w) == k) + 0.5 / mass[k]
+        assert share == pytest.approx(1)
+
+
+def test_lm_class_of_a_column(spark):
+    words = ["a", "ab", "abc", "é", "日本", "x\x00", "naïve"]
+    got = spark.createDataFrame([(w,) for w in words], "word string").select(lm.ending_of(lm.F.col("word")).alias("e")).collect()
+    assert [r.e for r in got] == [lm.ending(w.encode()) for w in words]
+
+
+def test_lm_does_not_depend_on_partitions_and_beats_its_base(spark):
+    rng = random.Random(9)
+    tongue = {0: ["tabor", "melino", "dosar", "kupit"], 1: ["qwenth", "shrid", "plonk", "vexing"]}
+    docs = []
+    for i in range(500):
+        docs.append((i, " ".join(rng.choice(tongue[i % 2]) + rng.choice(["", "a", "os", str(rng.randrange(50))]) for _ in range(rng.randint(20, 120)))))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = []
+    for n in (1, 7, 40):
+        rows = {r.doc_id: r for r in lm.score_texts(df.repartition(n, "doc_id"), n_model=20).collect()}
+        found.append({i: r.score for i, r in rows.items()})
+        held = [r for r in rows.values() if r.held_out]
+        assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.1 * sum(r.n_tokens for r in held)
+        assert np.mean([r.score > r.base_score for r in held]) > 0.9
+    for other in found[1:]:
+        assert all(other[i] == pytest.approx(s, abs=1e-3) for i, s in found[0].items())
+
+
+def test_lm_many_shards(spark, docs_df):
+    """Small shards, so that several share a partition and long texts are cut."""
+    training = lm.text_column(docs_df)
+    vocab = lm.vocabulary(lm.count_words(training), training.count(), 1000, 30)
+    a, b = (lm.train(training.repartition(n), vocab, shard_tokens=200) for n in (1, 6))
+    assert all(np.allclose(a.parts[k], b.parts[k], atol=1e-5) for k in a.parts) and not np.allclose(a.parts["out"], lm.Bilinear(vocab.unigram()).parts["out"])
+
+
 def test_word_pattern():
     assert language.words_of("Ab1c-É_x") == ["ab", "c", "é", "x"] and not re.search(language.WORD, "12_ !")
     assert toxicity.words_of(None) == []
