@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from .common import use_checkpoints
 
 
-def components(edges: DataFrame, checkpoint_every: int = 2) -> DataFrame:
+def _mark(edges: DataFrame) -> tuple:
+    """Equal for equal sets of edges: how many there are, and hashes of them all."""
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", F.lit(1), "a"))).first())
+
+
+def components(edges: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``edges(a, b)``; the root is the least node that it reaches.
 
     Large-star: each node links its larger neighbours to the least of its neighbourhood.  Small-star: each node links its
@@ -18,6 +23,7 @@ def components(edges: DataFrame, checkpoint_every: int = 2) -> DataFrame:
     """
     use_checkpoints(edges.sparkSession)
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
+    before = _mark(edges)
     while True:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -25,7 +31,8 @@ def components(edges: DataFrame, checkpoint_every: int = 2) -> DataFrame:
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         root = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(root, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
-        after = small.where("a <> b").distinct().checkpoint()
-        if after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty():
-            return after.select(F.col("a").alias("node"), F.col("b").alias("root")).union(after.select(F.col("b"), F.col("b")).distinct())
-        edges = after
+        edges = small.where("a <> b").distinct().checkpoint()
+        after = _mark(edges)
+        if after == before:
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select(F.col("b"), F.col("b")).distinct())
+        before = after

@@ -100,7 +100,10 @@ def _pairs(members: Column, bits: int) -> Column:
 def links(fps: DataFrame, point_limit: int = 48) -> DataFrame:
     """Edges ``a, b`` between different fingerprints that connect all that lie within two bits of each other."""
     bits = 2  # what one step on either side can reach
-    entered = fps.select("fp").distinct().select("fp", F.explode(points_near(embedding(F.col("fp")))).alias("point"))
+    use_checkpoints(fps.sparkSession)
+    # dealt anew, as a few small partitions would become 33 times as many rows each; kept, as what follows reads it three times
+    dealt = fps.select("fp").distinct().repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    entered = dealt.select("fp", F.explode(points_near(embedding(F.col("fp")))).alias("point")).checkpoint()
     held = entered.groupBy("point").agg(F.count("*").alias("n")).where("n > 1")
     met = entered.join(held, "point")
     paired = met.where(F.col("n") <= point_limit).groupBy("point").agg(F.sort_array(F.collect_list("fp")).alias("members"))
