@@ -2,12 +2,16 @@
 
 Each language gives every piece of a fixed public vocabulary a probability, fitted by expectation-maximisation (expected
 piece counts from forward and backward sums over all segmentations) on a bounded sample of its texts: about ``per_language``
-texts of at most ``max_chars`` characters.  A word's probability under a language is the sum over all its segmentations, which a
+texts, less where they are long, so that a language gives about ``per_language * max_chars`` characters at most; texts of more than
+``20 * max_chars`` are not sampled, but the shortest text of a language always is.  The languages and their shares are counted over
+all learnable rows.  In fitting, runs of more than ``PART`` letters are learned from in parts of that size.  A word's probability under a language is the sum over all its segmentations, which a
 forward pass along the Aho-Corasick automaton computes for all languages at once; a text's is the product over its words, and
 the score is the share of the predicted language, with the languages' shares of documents as prior.
 
 Scoring is one pass over whole texts without shuffles; a distinct word is summed once per task and kept in a bounded table.
 
+A letter is a character of a Unicode letter category; digits, fractions and circled numbers are none.
+
 Defined cases: null texts and texts without a letter are ``und`` with score 0, as are all texts when there is nothing to learn
 from; rows with a null id are scored and not held out; null languages are not learned from; ties go to the first language
 in order of name.
@@ -29,11 +33,18 @@ from .pieces import PATH, Automaton, blocks, load
 
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = 1e-7  # probability of a character that no piece holds, in every language
-KEPT, RESCALE = 400_000, 16
+KEPT, RESCALE, PART = 400_000, 16, 200
+
+
+def _letters(found: str) -> list[str]:
+    """The runs of letters in what the pattern took for a word: other numerals than digits pass it."""
+    return "".join(c if c.isalpha() else " " for c in found).split(" ")
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    """Runs of letters, in lower case."""
+    found = WORD.findall((text or "").lower())
+    return found if all(map(str.isalpha, found)) else [w for f in found for w in ([f] if f.isalpha() else _letters(f)) if w]
 
 
 def log_likelihood(words: list[str], automaton: Automaton, probability: np.ndarray) -> np.ndarray:
@@ -62,7 +73,7 @@ def log_likelihood(words: list[str], automaton: Automaton, probability: np.ndarr
 
 def fit(texts: list[str], automaton: Automaton, n_pieces: int, rounds: int = 3, smooth: float = 0.05) -> np.ndarray:
     """Piece probabilities of one language."""
-    counts = Counter(w for t in texts for w in words_of(t) if len(w) < 60)
+    counts = Counter(w[k : k + PART] for t in texts for w in words_of(t) for k in range(0, len(w), PART))
     expected = np.zeros(n_pieces)
     held = []
     for numbers, chars, sizes in blocks([f" {w}" for w in counts]):
@@ -99,17 +110,24 @@ def fit(texts: list[str], automaton: Automaton, n_pieces: int, rounds: int = 3,
 def train(docs: DataFrame, learned: Column, path: str, per_language: int = 300, max_chars: int = 5000) -> tuple[list[str], np.ndarray, np.ndarray, list[str]]:
     """Languages in order, log prior, piece probabilities by language, and the pieces."""
     vocabulary = load(path)
-    known = docs.where(learned & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    shares = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    names = sorted(shares)
+    known = docs.where(learned & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.length("text").alias("size"), F.xxhash64("doc_id", "text").alias("h"))
+    short = F.col("size") <= 20 * max_chars
+    totals = known.groupBy("lang").agg(
+        F.count("*").alias("n"), F.count_if(short).alias("k"), F.sum(F.when(short, F.col("size"))).alias("chars"), F.min(F.struct("size", "h")).alias("least")
+    )
+    found = {r.lang: r for r in totals.collect()}
+    names = sorted(found)
     if not names:
         return [], np.zeros(0), np.zeros((len(vocabulary.pieces), 0)), vocabulary.pieces
-    most = F.coalesce(*[F.when(F.col("lang") == name, F.lit(min(1.0, per_language / shares[name]))) for name in names])
-    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < most * 1_000_000).limit(2 * per_language * len(names)).collect()
+    # hashes of rows below a share of their range are the sample; equal rows are one, so that it is bounded
+    share = {name: min(1.0, per_language / max(r.k, 1), per_language * max_chars / max(r.chars or 0, 1)) for name, r in found.items()}
+    drawn = F.coalesce(*[F.when(F.col("lang") == name, F.lit(share[name])) for name in names])
+    least = F.coalesce(*[F.when(F.col("lang") == name, (F.col("size") == found[name].least["size"]) & (F.col("h") == found[name].least["h"])) for name in names])
+    chosen = known.where((short & (F.pmod("h", F.lit(1_000_000)) < drawn * 1_000_000)) | least).select("lang", "text").distinct().collect()
     automaton = Automaton(vocabulary.pieces)
     texts = {name: sorted(r.text for r in chosen if r.lang == name) for name in names}
     fitted = np.stack([fit(texts[name], automaton, len(vocabulary.pieces)) for name in names], axis=1)
-    prior = np.log(np.array([shares[name] for name in names]) / sum(shares.values()))
+    prior = np.log(np.array([found[name].n for name in names]) / sum(r.n for r in found.values()))
     return names, prior, fitted, vocabulary.pieces
 
 
