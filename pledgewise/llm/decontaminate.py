@@ -6,11 +6,14 @@ shingles are ordered from rare to common.  Rarity is counted over all documents
 window's prefix gives a candidate position, which must leave room for the whole window inside the document (length and
 position bounds); candidates are then verified word for word.
 
-The benchmark side is broadcast in blocks of at most ``block_windows`` windows; more windows mean more blocks and more
-passes, never a larger broadcast.  Documents are not shuffled.
+The distinct windows of all items are a table.  They are collected and broadcast in blocks by hash, of about ``block_windows``
+windows whatever the items' number and length.  With one block, documents are judged in one pass without shuffles; with more, each
+block is a pass of its own that gives the places it hits, which are joined to the documents at the end, so no task
+ever holds two blocks.
 
 Defined cases: a null or wordless text has no words, no hits and no items; a null or wordless item has no windows;
-repeated rows each get their own result row; items that share an id count once.
+repeated rows each get their own result row; items that share an id count once; ids of items are text of any kind; windows of an
+item without an id hit words, but no item is named or counted for them.
 """
 
 from __future__ import annotations
@@ -18,30 +21,41 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, byte_table, covered, slices, text_column
+from .common import Words, byte_table, covered, slices, use_checkpoints
 
 #: Words are runs of digits, letters and anything outside ASCII.
 SEPARATORS = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 SEPARATORS = bytes(b for b in SEPARATORS if not 65 <= b <= 90)
 TABLE = byte_table(SEPARATORS, lower=True)
 WINDOW, SHINGLE = 13, 5
+Windows = list[tuple[bytes, int, tuple[str, ...]]]
+SPANS = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())]))
+
 
+def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``phrase, n, ids``: each distinct window (words joined by one space) with its length in words and the ids of its items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            words = Words(batch.column("text"), TABLE)
+            at, phrases, sizes = [], [], []
+            for row in range(batch.num_rows):
+                own = words.word_list(row)
+                for i in range(max(len(own) - window + 1, 1 if own else 0)):
+                    at.append(row)
+                    phrases.append(b" ".join(own[i : i + window]).decode())
+                    sizes.append(min(len(own), window))
+            yield pa.RecordBatch.from_arrays([batch.column("item_id").take(pa.array(at, pa.int64())), pa.array(phrases, pa.string()), pa.array(sizes, pa.int32())], ["item_id", "phrase", "n"])
 
-def item_windows(items: list[tuple[object, str | None]], window: int = WINDOW) -> dict[bytes, tuple[int, set[str]]]:
-    """Each distinct window (words joined by one space) with its length in words and the ids of its items."""
-    found: dict[bytes, tuple[int, set[str]]] = {}
-    for item_id, text in items:
-        words = TABLE[np.frombuffer((text or "").encode(), np.uint8)].tobytes().split()
-        for i in range(max(len(words) - window + 1, 1 if words else 0)):
-            run = words[i : i + window]
-            found.setdefault(b" ".join(run), (len(run), set()))[1].add(str(item_id))
-    return found
+    found = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "item_id string, phrase string, n int")
+    return found.groupBy("phrase", "n").agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
 
 
 def _shingle_hashes(phrase: bytes, shingle: int) -> np.ndarray:
@@ -49,10 +63,10 @@ def _shingle_hashes(phrase: bytes, shingle: int) -> np.ndarray:
     return words.windows(words.hashes(), min(shingle, len(words)))[1]
 
 
-def shingle_counts(docs: DataFrame, windows: dict[bytes, tuple[int, set[str]]], shingle: int = SHINGLE) -> dict[int, int]:
+def shingle_counts(docs: DataFrame, windows: Windows, shingle: int = SHINGLE) -> dict[int, int]:
     """How often each shingle of the windows occurs in all documents; no more rows than the windows have shingles."""
     wanted: dict[int, list[np.ndarray]] = defaultdict(list)
-    for phrase, (n, _) in windows.items():
+    for phrase, n, _ in windows:
         wanted[min(n, shingle)].append(_shingle_hashes(phrase, shingle))
     keys = {n: np.unique(np.concatenate(h)) for n, h in wanted.items()}
     sent = docs.sparkSession.sparkContext.broadcast(keys)
@@ -67,93 +81,122 @@ def shingle_counts(docs: DataFrame, windows: dict[bytes, tuple[int, set[str]]],
                 at = np.minimum(np.searchsorted(known, got), len(known) - 1)
                 totals[n] += np.bincount(at[known[at] == got], minlength=len(known))
         for n, known in sent.value.items():
-            yield pa.RecordBatch.from_arrays([pa.array(known.view(np.int64)), pa.array(totals[n])], ["h", "n"])
+            met = totals[n] > 0
+            yield pa.RecordBatch.from_arrays([pa.array(known[met].view(np.int64)), pa.array(totals[n][met])], ["h", "n"])
 
     rows = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).collect() if keys else []
     return {r.h & (1 << 64) - 1: r.n for r in rows}
 
 
-def prefix_index(windows: dict[bytes, tuple[int, set[str]]], rarity: dict[int, int], shingle: int = SHINGLE) -> dict[int, tuple[np.ndarray, list[list[tuple]]]]:
+def prefix_index(windows: Windows, rarity: dict[int, int], shingle: int = SHINGLE) -> dict[int, tuple[np.ndarray, list[list[tuple]]]]:
     """By shingle length: the sorted prefix shingles, and for each the windows it stands for with its place in them."""
     by: dict[int, dict[int, list[tuple]]] = defaultdict(lambda: defaultdict(list))
-    for phrase, (n, ids) in windows.items():
+    for phrase, n, ids in windows:
         hashes = _shingle_hashes(phrase, shingle).tolist()
         at = min(range(len(hashes)), key=lambda i: (rarity.get(hashes[i], 0), hashes[i]))
-        by[min(n, shingle)][hashes[at]].append((at, n, phrase, tuple(sorted(ids))))
+        by[min(n, shingle)][hashes[at]].append((at, n, phrase, ids))
     return {n: (np.array(sorted(found), np.uint64), [found[h] for h in sorted(found)]) for n, found in by.items()}
 
 
-def _match(sent) -> Callable:
-    """Adds the matches of one block of windows to each document's spans and items."""
-
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _found(words: Words, index: dict) -> tuple[list[list[tuple[int, int]]], list[set[str]]]:
+    """Of each row, where windows stand and how long they are, and the ids of their items."""
+    n_rows = len(words.first) - 1
+    spans, items = [[] for _ in range(n_rows)], [set() for _ in range(n_rows)]
+    hashes, rows = words.hashes(), words.rows
+    for n, (known, windows) in index.items():
+        at, got = words.windows(hashes, n)
+        place = np.minimum(np.searchsorted(known, got), len(known) - 1)
+        for i in np.flatnonzero(known[place] == got):
+            row = rows[at[i]]
+            for offset, length, phrase, ids in windows[place[i]]:
+                first = at[i] - offset
+                if first < words.first[row] or first + length > words.first[row + 1]:
+                    continue
+                if b" ".join(words.data[words.starts[first] : words.ends[first + length - 1]].tobytes().split()) == phrase:
+                    spans[row].append((int(first - words.first[row]), length))
+                    items[row].update(ids)
+    return spans, items
+
+
+NAMED = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<at:int,n:int>>"
+
+
+def _judged(batch: pa.RecordBatch, words: Words, spans: list, items: list, carry: list[str]) -> pa.RecordBatch:
+    n_words, n_hit = words.counts.tolist(), []
+    for total, own in zip(n_words, spans, strict=True):
+        n_hit.append(int(covered(np.array([a for a, _ in own]), np.array([n for _, n in own]), total).sum()) if own else 0)
+    columns = [
+        batch.column("doc_id"),
+        pa.array(n_words, pa.int64()),
+        pa.array(n_hit, pa.int64()),
+        pa.array([len(x) for x in items], pa.int64()),
+        pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items], pa.string()),
+        pa.array([h > 0 and 20 * h >= n for h, n in zip(n_hit, n_words, strict=True)], pa.bool_()),
+        pa.array([[{"at": a, "n": n} for a, n in x] for x in spans], SPANS),
+    ]
+    return pa.RecordBatch.from_arrays([*columns, *[batch.column(c) for c in carry]], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", *carry])
+
+
+def _match(sent, carry: list[str]) -> Callable:
+    """Judges documents by the one block there is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             words = Words(batch.column("text"), TABLE)
-            hashes, rows = words.hashes(), words.rows
-            spans = [list(map(tuple, map(dict.values, x))) for x in batch.column("spans").to_pylist()]
-            items = [set(x) for x in batch.column("items").to_pylist()]
-            for n, (known, windows) in sent.value.items():
-                at, got = words.windows(hashes, n)
-                place = np.minimum(np.searchsorted(known, got), len(known) - 1)
-                for i in np.flatnonzero(known[place] == got):
-                    row = rows[at[i]]
-                    for offset, length, phrase, ids in windows[place[i]]:
-                        first = at[i] - offset
-                        if first < words.first[row] or first + length > words.first[row + 1]:
-                            continue
-                        if b" ".join(words.data[words.starts[first] : words.ends[first + length - 1]].tobytes().split()) == phrase:
-                            spans[row].append((int(first - words.first[row]), length))
-                            items[row].update(ids)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-2], pa.array([[{"at": a, "n": n} for a, n in x] for x in spans], SPANS), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
-                batch.schema.names,
-            )
-
-    return match
+            yield _judged(batch, words, *_found(words, sent.value), carry)
 
+    return run
 
-SPANS = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())]))
+
+def _hits(sent) -> Callable:
+    """What one block hits: the rows with a hit alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            spans, items = _found(Words(batch.column("text"), TABLE), sent.value)
+            hit = [i for i, x in enumerate(spans) if x]
+            at = pa.array(hit, pa.int64())
+            found = [pa.array([[{"at": a, "n": n} for a, n in spans[i]] for i in hit], SPANS), pa.array([sorted(items[i]) for i in hit], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("row_hash").take(at), *found], ["doc_id", "row_hash", "spans", "items"])
+
+    return run
+
+
+def _merged(carry: list[str]) -> Callable:
+    """Judges documents by the hits of all blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            spans = [[(s["at"], s["n"]) for s in x or []] for x in batch.column("spans").to_pylist()]
+            items = [set(x or []) for x in batch.column("items").to_pylist()]
+            yield _judged(batch, Words(batch.column("text"), TABLE), spans, items, carry)
+
+    return run
 
 
-def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        n_words = Words(batch.column("text"), TABLE).counts
-        n_hit = []
-        for total, spans in zip(n_words.tolist(), batch.column("spans").to_pylist(), strict=True):
-            n_hit.append(int(covered(np.array([s["at"] for s in spans]), np.array([s["n"] for s in spans]), total).sum()) if spans else 0)
-        items = batch.column("items").to_pylist()
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                pa.array(n_words.astype(np.int64)),
-                pa.array(n_hit, pa.int64()),
-                pa.array([len(x) for x in items], pa.int64()),
-                pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
-                pa.array([h > 0 and 20 * h >= n for h, n in zip(n_hit, n_words.tolist(), strict=True)], pa.bool_()),
-                batch.column("spans"),
-                *batch.columns[1:-2],
-            ],
-            ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", *batch.schema.names[1:-2]],
-        )
-
-
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, block_items: int = 20_000, carry: tuple[str, ...] = ()) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, block_windows: int = 100_000, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: how many of its words lie in windows of which items, where, and whether that contaminates it.
 
     With ``carry``, the text and those columns of the row follow.
     """
-    carried = ["text string", *(f"{c} {docs.schema[c].dataType.simpleString()}" for c in carry)]
+    use_checkpoints(docs.sparkSession)
+    context = docs.sparkSession.sparkContext
+    kept = ["text", *carry] if carry else []
+    schema = ", ".join([NAMED, *["text string" if c == "text" else f"{c} {docs.schema[c].dataType.simpleString()}" for c in kept]])
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
-    items = text_column(items, "item_id")
-    blocks = max(1, -(-items.count() // block_items))
-    found = docs.withColumn("spans", F.expr("cast(array() as array<struct<at:int,n:int>>)")).withColumn("items", F.expr("cast(array() as array<string>)"))
-    for block in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)) == block).distinct()
-        windows = item_windows([(r.doc_id, r.text) for r in part.collect()], window)
-        if not windows:
-            continue
-        index = prefix_index(windows, shingle_counts(docs, windows, shingle), shingle)
-        found = found.mapInArrow(_match(docs.sparkSession.sparkContext.broadcast(index)), f"doc_id long, {', '.join(carried)}, spans array<struct<at:int,n:int>>, items array<string>")
-    named = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<at:int,n:int>>"
-    judged = found.mapInArrow(_summary, ", ".join([named, *carried]))
-    return judged if carry else judged.drop("text")
+    windows = item_windows(items, window).checkpoint()
+    blocks = max(1, -(-windows.count() // block_windows))
+
+    def index(block: int) -> dict:
+        rows = windows.where(F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == block).collect()
+        own = [(r.phrase.encode(), r.n, tuple(r.ids)) for r in rows]
+        return prefix_index(own, shingle_counts(docs, own, shingle), shingle)
+
+    if blocks == 1:
+        return docs.mapInArrow(_match(context.broadcast(index(0)), kept), schema)
+    keyed = docs.withColumn("row_hash", F.xxhash64(F.lit("text"), F.coalesce("text", F.lit(""))))
+    found = [keyed.select("doc_id", "text", "row_hash").mapInArrow(_hits(context.broadcast(index(b))), "doc_id long, row_hash long, spans array<struct<at:int,n:int>>, items array<string>").checkpoint() for b in range(blocks)]
+    hits = reduce(DataFrame.union, found).groupBy("doc_id", "row_hash").agg(F.flatten(F.collect_set("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+    hits = hits.selectExpr("doc_id as its_id", "row_hash as its_hash", "spans", "items")
+    held = keyed.join(hits, F.expr("row_hash = its_hash and doc_id <=> its_id"), "left")
+    return held.select("doc_id", "text", *carry, "spans", "items").mapInArrow(_merged(kept), schema)
