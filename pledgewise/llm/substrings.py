@@ -7,9 +7,12 @@ with the least hash, which equal windows choose alike wherever they are.  Neighb
 hands on about one row for five words, and later levels see repeated text alone.  The search ends when no candidates survive
 or the full length is reached.
 
-Windows are keyed by 64-bit hashes of the word sequence.  Counting is pre-aggregated per task; the way back to the
-documents is an equi-join that adaptive execution can split.  Texts are dealt by document once (the exchange is reused by
-every level).  Exact copies of a text are found by digest beforehand: each of their windows starts in the least of them.
+Shorter runs are keyed by a 64-bit hash of the word sequence, which may pass a run on for nothing but never miss one; the full
+windows are keyed by two, so that unequal ones do not meet at any scale.  Counting is pre-aggregated per task; the way back to the
+documents is an equi-join that adaptive execution can split.  What survives a level is written to the checkpoint folder, so no level is
+worked out twice and a lost executor costs one level.  The first level reads documents where they lie; later levels read those with
+survivors alone, which meet by broadcast where survivors are proven few, else by a shuffle.  Exact copies of a
+text are found by digest beforehand, a digest that many share being spread by document: each of their windows starts in the least of them.
 
 Defined cases: null texts have no words; rows with a null id are never an earlier document and lose nothing; rows that share
 an id are one document, each judged on its own text.
@@ -31,7 +34,9 @@ from .common import WHITESPACE, Words, byte_table, covered, mix, slices, text_co
 TABLE = byte_table(WHITESPACE, lower=False)
 
 
-NO_ID = -(1 << 63)
+#: Parts in which the documents that share one text are told apart; numbers in a table that may be broadcast.
+SALTS, BROADCAST = 32, 1_000_000
+SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
 def levels(window: int, base: int = 4) -> list[int]:
@@ -78,12 +83,11 @@ def _in_row(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 def without_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        named = pc.and_(pc.is_valid(batch.column("doc_id")), pc.invert(batch.column("copy")))
-        yield batch.filter(pc.and_(named, pc.is_valid(batch.column("kept"))) if "kept" in batch.schema.names else named)
+        yield batch.filter(pc.invert(batch.column("copy")))
 
 
 def _emit(length: int, below: int | None, window: int) -> Callable:
-    """The distinct hashes of a level in each document: ``h, doc_id``."""
+    """The distinct hashes of a level in each document: ``h, g, doc_id``; ``g`` is a second hash of full windows, else zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(without_copies(batches)):
@@ -91,15 +95,16 @@ def _emit(length: int, below: int | None, window: int) -> Callable:
             hashes = words.hashes()
             at, value = standing_for(words, hashes, length, window)
             on = _survives(batch, words, hashes, at, below, window)
-            rows, value = words.rows[at[on]], value[on]
+            second = words.windows(mix(hashes ^ SECOND), window)[1] if length == window else np.zeros(len(at), np.uint64)
+            rows, value, second = words.rows[at[on]], value[on], second[on]
             change = np.ones(len(rows), bool)
             change[1:] = (rows[1:] != rows[:-1]) | (value[1:] != value[:-1])
-            rows, value = rows[change], value[change]
+            rows, value, second = rows[change], value[change], second[change]
             order = np.lexsort((value, rows))
-            rows, value = rows[order], value[order]
+            rows, value, second = rows[order], value[order], second[order]
             once = np.ones(len(rows), bool)
             once[1:] = (rows[1:] != rows[:-1]) | (value[1:] != value[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(value[once].view(np.int64)), batch.column("doc_id").take(pa.array(rows[once]))], ["h", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(value[once].view(np.int64)), pa.array(second[once].view(np.int64)), batch.column("doc_id").take(pa.array(rows[once]))], ["h", "g", "doc_id"])
 
     return run
 
@@ -123,29 +128,41 @@ def _remove(window: int) -> Callable:
     return run
 
 
+def exact_copies(docs: DataFrame) -> DataFrame:
+    """``its_id, its_digest`` of the documents whose very text a smaller id has too."""
+    digest = docs.where("text is not null").select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"))
+    shared = digest.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("digest", "least")
+    salted = digest.withColumn("salt", F.pmod("doc_id", F.lit(SALTS))).join(shared.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), ["digest", "salt"])
+    return salted.where("doc_id > least").select(F.col("doc_id").alias("its_id"), F.col("digest").alias("its_digest")).distinct()
+
+
+def _small(table: DataFrame, numbers: int) -> DataFrame:
+    return F.broadcast(table) if numbers <= BROADCAST else table
+
+
 def dedup_substrings(docs: DataFrame, window: int = 13, base: int = 4) -> DataFrame:
     """``doc_id, n_words, n_removed, text``: each document's words outside windows that start in a smaller doc_id too."""
     use_checkpoints(docs.sparkSession)
     docs = text_column(docs)
-    digest = docs.where("doc_id is not null and text is not null").select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"))
-    shared = digest.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("digest", "least")
-    copies = digest.join(shared, "digest").where("doc_id > least").groupBy("doc_id").agg(F.collect_set("digest").alias("digests")).checkpoint()
-    is_copy = F.coalesce(F.array_contains("digests", F.unhex(F.sha2("text", 256))), F.lit(False))
-    # a key that is never null, so that every level asks for the same exchange of texts
-    key = F.coalesce("doc_id", F.lit(NO_ID)).alias("key")
-    dealt = docs.select(key, "doc_id", "text").repartition("key").join(copies.select(key, "digests"), "key", "left").select("key", "doc_id", "text", is_copy.alias("copy"))
+    named = docs.where("doc_id is not null")
+    copies = exact_copies(named).checkpoint()
+    copies = _small(copies, 5 * copies.count())
+    marked = named.withColumn("digest", F.unhex(F.sha2("text", 256))).join(copies, F.expr("doc_id = its_id and digest = its_digest"), "left")
+    marked = marked.select("doc_id", "text", F.col("its_id").isNotNull().alias("copy"))
     kept, below = None, None
     for length in levels(window, base):
-        source = dealt if kept is None else dealt.join(kept, "key", "left")
-        rows = source.mapInArrow(_emit(length, below, window), "h long, doc_id long")
-        if length < window:
-            back = rows.join(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "h")
-        else:
-            first = rows.groupBy("h").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
-            back = rows.join(first.select("h", "least"), "h").where("doc_id > least")
-        kept = back.groupBy(key).agg(F.collect_set("h").alias("kept"))
-        below = length
-    return dealt.join(kept, "key", "left").mapInArrow(_remove(window), "doc_id long, n_words long, n_removed long, text string")
+        source = marked if kept is None else marked.join(kept, "doc_id")
+        rows = source.mapInArrow(_emit(length, below, window), "h long, g long, doc_id long")
+        repeated = rows.groupBy("h", "g").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").select("h", "g", "least")
+        back = rows.join(repeated, ["h", "g"])
+        kept = (back.where("doc_id > least") if length == window else back).groupBy("doc_id").agg(F.collect_set("h").alias("kept")).checkpoint()
+        survivors = kept.agg(F.sum(F.size("kept"))).first()[0] or 0
+        if not survivors:
+            break
+        kept, below = _small(kept, survivors), length
+    # without survivors only exact copies lose words; rows without an id lose none
+    found = marked.join(kept, "doc_id", "left").unionByName(docs.where("doc_id is null").withColumns({"copy": F.lit(False), "kept": F.lit(None).cast("array<long>")}))
+    return found.mapInArrow(_remove(window), "doc_id long, n_words long, n_removed long, text string")
 
 
 def digest_rows(deduped: DataFrame) -> DataFrame:
