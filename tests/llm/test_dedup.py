@@ -75,11 +75,20 @@ def test_decontaminate(spark, docs, docs_df, empty_df):
     want = sorted(brute.decontaminate(docs, items), key=repr)
     columns = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     assert rows(decontaminate.decontaminate(docs_df, bench), *columns) == want
-    assert rows(decontaminate.decontaminate(docs_df, bench, block_items=2), *columns) == want
+    assert rows(decontaminate.decontaminate(docs_df, bench, block_windows=9), *columns) == want
     assert decontaminate.decontaminate(empty_df, bench).count() == 0
     assert {r.n_hit for r in decontaminate.decontaminate(docs_df, bench.where("false")).collect()} == {0}
 
 
+def test_ids_of_items_are_text(spark):
+    text = " ".join(f"q{k}" for k in range(20))
+    docs = spark.createDataFrame([(1, text), (2, "z " * 30)], "doc_id long, text string")
+    items = spark.createDataFrame([("mmlu-10", text), ("mmlu-9", text), (None, text), (None, "z")], "item_id string, text string")
+    got = {r.doc_id: r for r in decontaminate.decontaminate(docs, items).collect()}
+    assert got[1].n_items == 2 and got[1].items_sha256 == brute.sha("mmlu-10,mmlu-9")
+    assert (got[2].n_hit, got[2].n_items, got[2].items_sha256, got[2].contaminated) == (30, 0, brute.sha(""), True)
+
+
 @pytest.mark.parametrize("window", [13, 5, 3])
 def test_substrings(docs, docs_df, empty_df, window):
     out = substrings.digest_rows(substrings.dedup_substrings(docs_df, window))
