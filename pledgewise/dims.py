@@ -82,6 +82,14 @@ class Config:
         "percent", "per cent", "basis points?", "bps", "pts", "points?", "cents?", "thousand", "million", "billion", "trillion", "units", "stores", "locations",
     )
     section_heading: str = r"\b(?:Financial Outlook|Guidance|Outlook)\b"
+    outlook_heading: str = r"\b(?:Outlook|Guidance|Targets?)\b"
+    # Headings that end a section, as whole lines.
+    end_headings: tuple[str, ...] = (
+        "(?:Business |Financial |Company )?Highlights", "(?:Financial |Operating |Consolidated )?Results(?: of Operations)?", "Reconciliations?.*", "Conference Call.*", ".*Webcast.*",
+        "Non-GAAP (?:Financial )?Measures.*", "Forward-Looking.*", "Safe Harbor.*", "About .*", "Shareholder Letter", "(?:Investor |Media )?Contacts?:?",
+    )
+    header_lookback: int = 10
+    header_words: int = 10
 
     # What a line about a metric must say, by words in the metric's name; all that match count.
     metric_terms: tuple[tuple[str, str], ...] = (

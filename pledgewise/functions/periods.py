@@ -70,12 +70,15 @@ def closes_before_stated(month: Column, named_for_end: Column, label: Column, st
     return F.coalesce(period_end(month, named_for_end, year_of(label), quarter_of(label)) < stated_at, F.lit(False))
 
 
+#: Fixed values: ``Q2 2023``, ``4Q23``, ``FY26``, ``Full Year 2023``, ``first quarter of fiscal 2024``.
+ANY_LABEL = (
+    r"(?i)\bQ[1-4] ?(?:FY|fiscal )?(?:20\d\d|\d\d)\b|\b[1-4]Q ?(?:FY)?(?:20\d\d|\d\d)\b"
+    r"|\b(?:first|second|third|fourth) quarter (?:of )?(?:fiscal )?(?:year )?20\d\d\b|\b(?:FY ?|fiscal (?:year )?|full[- ]year )(?:20\d\d|\d\d)\b"
+)
+
+
 def parse_periods(text: Column) -> Column:
     """Labels in order of appearance, normalised: ``Q2 2023``, ``4Q23``, ``FY26``, ``Full Year 2023``, ``first quarter of fiscal 2024``."""
-    pattern = (
-        r"(?i)\bQ[1-4] ?(?:FY|fiscal )?(?:20\d\d|\d\d)\b|\b[1-4]Q ?(?:FY)?(?:20\d\d|\d\d)\b"
-        r"|\b(?:first|second|third|fourth) quarter (?:of )?(?:fiscal )?(?:year )?20\d\d\b|\b(?:FY ?|fiscal (?:year )?|full[- ]year )(?:20\d\d|\d\d)\b"
-    )
 
     def label(found: Column) -> Column:
         low = F.lower(found)
@@ -88,4 +91,4 @@ def parse_periods(text: Column) -> Column:
         )
         return F.when(number.isNull(), F.concat(F.lit("FY"), year)).otherwise(F.concat(F.lit("Q"), number, F.lit(" FY"), year))
 
-    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), label)
+    return F.transform(F.regexp_extract_all(text, F.lit(ANY_LABEL), F.lit(0)), label)

@@ -6,42 +6,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KEYS = ["cik", "metric", "target_period", "stated_at"]
+FIGURE = ["unit", "target_low", "target_high"]
 # Dollar units and their scales.
 DOLLARS = {"USD": 1.0, "USD thousands": 1e3, "USD millions": 1e6, "USD billions": 1e9}
 
 
-def _scale(unit: Column) -> Column:
-    return F.coalesce(*[F.when(unit == name, F.lit(scale)) for name, scale in DOLLARS.items()])
+def bound(value: Column, unit: Column) -> Column:
+    """A bound as ``struct(shown, dollars, room)``: to six decimals, in dollars, and half of its last printed digit in dollars.
 
-
-def half_last_digit(value: Column) -> Column:
-    """Half a unit of the last digit a figure shows, of those a float prints (a whole number shows one decimal)."""
-    places = F.length(F.regexp_extract(F.rtrim(F.format_string("%.10f", value), F.lit("0")), r"\.(\d*)$", 1))
-    return 0.5 * F.pow(F.lit(10.0), -F.greatest(places, F.lit(1)))
-
-
-def _same_figure(a: Column, unit_a: Column, b: Column, unit_b: Column) -> Column:
-    scaled = F.abs(a * _scale(unit_a) - b * _scale(unit_b))
-    room = F.greatest(half_last_digit(a) * _scale(unit_a), half_last_digit(b) * _scale(unit_b)) * (1 + 1e-9)
-    return (
-        F.when(a.isNull() | b.isNull(), a.isNull() & b.isNull())
-        .when(unit_a == unit_b, F.round(a, 6) == F.round(b, 6))
-        .otherwise(F.coalesce(scaled <= room, F.lit(False)))
-    )
+    Of the decimals that a float prints at least one counts; other units than dollars have neither dollars nor room.
+    """
+    scale = F.coalesce(*[F.when(unit == name, F.lit(x)) for name, x in DOLLARS.items()])
+    decimals = F.length(F.regexp_extract(F.rtrim(F.format_string("%.10f", value), F.lit("0")), r"\.(\d*)$", 1))
+    room = scale * F.pow(F.lit(10.0), -F.greatest(decimals, F.lit(1))) / 2
+    return F.struct(F.round(value, 6).alias("shown"), (value * scale).alias("dollars"), (room * (1 + 1e-9)).alias("room"))
 
 
-def same_numbers(x: Column, y: Column) -> Column:
-    """Equal bounds: in one unit to six decimals, in two dollar units within half the last digit of the coarser figure."""
-    return _same_figure(x["target_low"], x["unit"], y["target_low"], y["unit"]) & _same_figure(x["target_high"], x["unit"], y["target_high"], y["unit"])
+def alike(x: Column, y: Column) -> Column:
+    """Whether two figures say the same: bound by bound equal as shown in one unit, within the coarser room in two dollar units."""
 
+    def same(p: Column, q: Column) -> Column:
+        none = p["shown"].isNull() | q["shown"].isNull()
+        near = F.abs(p["dollars"] - q["dollars"]) <= F.greatest(p["room"], q["room"])
+        return F.when(none, p["shown"].eqNullSafe(q["shown"])).when(x["unit"] == y["unit"], p["shown"] == q["shown"]).otherwise(F.coalesce(near, F.lit(False)))
 
-def _is_point(d: Column) -> Column:
-    return F.coalesce(d["target_low"] == d["target_high"], F.lit(False))
+    return F.forall(F.zip_with(x["bounds"], y["bounds"], same), lambda ok: ok)
 
 
-def _holds(interval: Column, point: Column) -> Column:
-    low, high, value = interval["target_low"], interval["target_high"], point["target_low"]
-    return (interval["unit"] == point["unit"]) & (low.isNull() | (value >= low)) & (high.isNull() | (value <= high))
+def inside(point: Column, held: Column) -> Column:
+    """Whether a point lies in a range of its unit, whose missing bounds are open."""
+    at = point["target_low"]
+    return (held["unit"] == point["unit"]) & F.coalesce(held["target_low"] <= at, F.lit(True)) & F.coalesce(at <= held["target_high"], F.lit(True))
 
 
 def dedupe(drafts: DataFrame) -> DataFrame:
@@ -49,32 +44,25 @@ def dedupe(drafts: DataFrame) -> DataFrame:
 
     Drafts of one company, metric, period and day are ranked, sentences before sections.  A point inside a range of its
     unit gives way to the first such range.  The rest are clustered in rank order by their leaders' numbers; with more than
-    one cluster all leaders are kept and marked.  Drafts on a key come from one company's statements of one day, so the
-    array folded per key is small.
+    one cluster all leaders are kept and marked.  What is gathered per key are its different figures, each with the first
+    draft that states it, found by partial aggregation; drafts learn their figure's verdict by a join.
     """
-    draft = F.struct((F.col("capture_method") != "sentence").alias("section"), "char_start", "item_index", "draft_id", "target_low", "target_high", "unit")
-    grouped = drafts.groupBy(*KEYS).agg(F.sort_array(F.collect_list(draft)).alias("ranked"))
-    holders = F.transform(
-        "ranked",
-        lambda d: F.when(_is_point(d), F.get(F.filter("ranked", lambda r: ~_is_point(r) & _holds(r, d)), F.lit(0))["draft_id"]),
+    rank = F.struct((F.col("capture_method") != "sentence").alias("section"), "char_start", "item_index", "draft_id")
+    figures = drafts.groupBy(*KEYS, *FIGURE).agg(F.min(rank).alias("first"))
+    entry = F.struct("first", *FIGURE, F.array(*[bound(F.col(c), F.col("unit")) for c in FIGURE[1:]]).alias("bounds"), F.coalesce(F.col("target_low") == F.col("target_high"), F.lit(False)).alias("point"))
+    keyed = figures.groupBy(*KEYS).agg(F.sort_array(F.collect_list(entry)).alias("all"))
+    keyed = keyed.withColumn("ranges", F.filter("all", lambda x: ~x["point"]))
+    keyed = keyed.withColumn("all", F.transform("all", lambda x: F.struct(x.alias("figure"), F.when(x["point"], F.get(F.filter("ranges", lambda r: inside(x, r)), F.lit(0))["first"]["draft_id"]).alias("holder"))))
+    rest = F.transform(F.filter("all", lambda x: x["holder"].isNull()), lambda x: x["figure"])
+    keyed = keyed.withColumn("rest", rest)
+    leaders = F.aggregate("rest", F.slice("rest", 1, 0), lambda found, x: F.when(F.exists(found, lambda leader: alike(leader, x)), found).otherwise(F.concat(found, F.array(x))))
+    keyed = keyed.withColumn("leaders", leaders)
+    first = F.transform("all", lambda x: F.struct(*[x["figure"][c].alias(c) for c in FIGURE], x["holder"].alias("holder"), F.get(F.filter("leaders", lambda y: alike(y, x["figure"])), F.lit(0))["first"]["draft_id"].alias("leader")))
+    verdicts = keyed.select(*KEYS, (F.size("leaders") > 1).alias("many"), F.explode(first).alias("v")).select(*KEYS, "many", "v.*")
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"v.{c}")) for c in [*KEYS, *FIGURE]]
+    outcome = F.when(F.col("v.holder").isNotNull(), "point in range").when(F.col("v.leader") == F.col("d.draft_id"), "kept").otherwise("duplicate")
+    return (
+        drafts.alias("d")
+        .join(verdicts.alias("v"), same)
+        .select(*[F.col(f"d.{c}") for c in KEYS], F.col("d.draft_id"), outcome.alias("outcome"), F.coalesce("v.holder", "v.leader").alias("kept_by"), ((outcome == "kept") & F.col("v.many")).alias("conflict"))
     )
-    grouped = grouped.withColumn("holders", holders)
-    pairs = F.arrays_zip(F.col("ranked").alias("d"), F.col("holders").alias("holder"))
-    rest = F.transform(F.filter(pairs, lambda p: p["holder"].isNull()), lambda p: p["d"])
-    grouped = grouped.withColumn("rest", rest)
-    empty = F.slice("rest", 1, 0)
-    leaders = F.aggregate("rest", empty, lambda acc, d: F.when(F.exists(acc, lambda x: same_numbers(x, d)), acc).otherwise(F.concat(acc, F.array(d))))
-    grouped = grouped.withColumn("leaders", leaders)
-
-    def verdict(p: Column) -> Column:
-        leader = F.get(F.filter("leaders", lambda x: same_numbers(x, p["d"])), F.lit(0))["draft_id"]
-        outcome = F.when(p["holder"].isNotNull(), "point in range").when(leader == p["d"]["draft_id"], "kept").otherwise("duplicate")
-        return F.struct(
-            p["d"]["draft_id"].alias("draft_id"),
-            outcome.alias("outcome"),
-            F.coalesce(p["holder"], leader).alias("kept_by"),
-            ((outcome == "kept") & (F.size("leaders") > 1)).alias("conflict"),
-        )
-
-    pairs = F.arrays_zip(F.col("ranked").alias("d"), F.col("holders").alias("holder"))
-    return grouped.select(*KEYS, F.explode(F.transform(pairs, verdict)).alias("v")).select(*KEYS, "v.*")

@@ -47,3 +47,48 @@ def replace_by_id(old: DataFrame, new: DataFrame, ids: DataFrame, key: str) -> D
     merged = after.join(before, [key, "occurrence__"], "left").crossJoin(F.broadcast(last))
     merged = merged.select(key, F.coalesce("old_pos__", F.col("pos") + F.col("last__") + 1).alias("pos"), *values)
     return old.join(listed, key, "left_anti").select(key, "pos", *values).unionByName(merged)
+
+
+def ranked_in_parts(df: DataFrame, keys: list[str], part: list[Column], order: list[Column], name: str) -> DataFrame:
+    """Row numbers within each key in the order of ``part`` and then ``order``, without bringing a key's rows together.
+
+    Rows are numbered within each part of a key; how many rows lie in a key's earlier parts is added.  Only the parts' counts are
+    ordered as a whole.  Keys and parts must not be null.
+    """
+    names = [f"part{i}__" for i in range(len(part))]
+    df = df.withColumns(dict(zip(names, part, strict=True)))
+    sizes = df.groupBy(*keys, *names).agg(F.count("*").alias("n__"))
+    earlier = Window.partitionBy(*keys).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("before__", F.coalesce(F.sum("n__").over(earlier), F.lit(0))).drop("n__")
+    local = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys, *names).orderBy(*order)))
+    return local.join(sizes, [*keys, *names]).withColumn(name, F.col(name) + F.col("before__")).drop("before__", *names)
+
+
+def counted_before(left: DataFrame, right: DataFrame, keys: list[str], at: str, right_at: str, name: str, same_day: bool = True) -> DataFrame:
+    """Adds to ``left`` how many rows of ``right`` with its keys lie before ``at``, those of the same day included if ``same_day``.
+
+    Both sides are put in one order, month by month, so that a key is spread over its months; no pair is ever made.  Left rows
+    with a null day get 0.
+    """
+    rows = left.select(*keys, F.col(at).alias("at__"), F.struct("*").alias("row__"), F.lit(0).alias("right__"))
+    marks = right.where(F.col(right_at).isNotNull()).select(*keys, F.col(right_at).alias("at__"), F.lit(None).cast(rows.schema["row__"].dataType).alias("row__"), F.lit(1).alias("right__"))
+    both = rows.unionByName(marks).withColumn("month__", F.coalesce(F.trunc("at__", "MM"), F.lit("0001-01-01").cast("date")))
+    sizes = both.groupBy(*keys, "month__").agg(F.sum("right__").alias("n__"))
+    earlier = Window.partitionBy(*keys).orderBy("month__").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("before__", F.coalesce(F.sum("n__").over(earlier), F.lit(0))).drop("n__")
+    order = F.desc("right__") if same_day else F.asc("right__")
+    running = F.sum("right__").over(Window.partitionBy(*keys, "month__").orderBy("at__", order).rowsBetween(Window.unboundedPreceding, 0))
+    counted = both.withColumn("own__", running).where("right__ = 0").join(sizes, [*keys, "month__"])
+    return counted.select("row__.*", (F.col("own__") + F.col("before__")).alias(name))
+
+
+def next_rows(left: DataFrame, right: DataFrame, keys: list[str], at: str, right_at: str, tie: str, n: int, same_day: bool = False) -> DataFrame:
+    """Each left row with the first ``n`` right rows of its keys after ``at`` (on it too if ``same_day``), and their ``rank``.
+
+    Right rows are numbered per key by day and ``tie``; a left row's place among them gives the numbers that it meets, so the
+    work is ``n`` rows a left row, however many right rows a key has.  Columns of the two sides must differ but for ``keys``.
+    """
+    numbered = ranked_in_parts(right.where(F.col(right_at).isNotNull()), keys, [F.trunc(right_at, "MM")], [F.col(right_at), F.col(tie)], "place__")
+    placed = counted_before(left.where(F.col(at).isNotNull()), right, keys, at, right_at, "passed__", same_day=not same_day)
+    wanted = placed.withColumn("rank", F.explode(F.sequence(F.lit(1), F.lit(n)))).withColumn("place__", F.col("passed__") + F.col("rank"))
+    return wanted.join(numbered, [*keys, "place__"]).drop("place__", "passed__")

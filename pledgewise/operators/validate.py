@@ -32,3 +32,23 @@ def issues(records: DataFrame) -> DataFrame:
         _bad("stored status", F.col("status") != again, F.concat_ws(" is ", F.col("status"), again)),
     ]
     return records.select("record_id", F.explode(F.array_compact(F.array(*found))).alias("i")).select("record_id", "i.*")
+
+
+def document_issues(evidence: DataFrame, documents: DataFrame, key: str) -> DataFrame:
+    """``key, issue`` of evidence whose document is missing or changed, or does not hold its excerpt word for word.
+
+    ``evidence`` has ``key, excerpt, content_sha256`` and ``documents`` ``key, text``; all of it is one join.
+    """
+    met = evidence.join(documents, key, "left")
+    issue = (
+        F.when(F.col("text").isNull(), "missing")
+        .when(F.sha2("text", 256) != F.col("content_sha256"), "hash differs")
+        .when(~F.contains("text", "excerpt"), "excerpt not verbatim")
+    )
+    return met.select(key, issue.alias("issue")).where("issue is not null")
+
+
+def calendar_issues(companies: DataFrame) -> DataFrame:
+    """``company, check`` of companies without a fiscal month from 1 to 12, or a rule by which years are named."""
+    found = F.array_compact(F.array(F.when(~F.coalesce(F.col("fiscal_month").between(1, 12), F.lit(False)), "fiscal month"), F.when(F.col("named_for_end").isNull(), "naming of years")))
+    return companies.select("company", F.explode(found).alias("check"))

@@ -143,37 +143,6 @@ def by_year(t: Tables) -> DataFrame:
     return t.resolved.groupBy(periods.year_of(F.col("target_period")).alias("fiscal_year")).agg(*[c for c, s in zip(status_counts(), STATUSES, strict=True) if s in ("met", "missed", "withdrawn")])
 
 
-@query(
-    "a8_histogram",
-    f"""WITH {RESOLVED}, v AS (SELECT magnitude AS m, row_number() OVER (ORDER BY magnitude) - 1 AS i, count(*) OVER () AS n FROM resolved WHERE magnitude IS NOT NULL),
-        e AS (SELECT max(m) FILTER (i = CASE WHEN n >= 10 THEN n * 2 // 100 ELSE 0 END) AS a, max(m) FILTER (i = CASE WHEN n >= 10 THEN n - n * 2 // 100 - 1 ELSE n - 1 END) AS b FROM v),
-        p AS (SELECT a - pad AS lo, b + pad AS hi FROM (SELECT *, CASE WHEN b > a THEN (b - a) * 0.1 ELSE 0.5 END AS pad FROM e))
-        SELECT CASE WHEN m < lo OR m > hi THEN -1 ELSE least(floor((m - lo) / ((hi - lo) / 30)), 29) END::BIGINT AS bin, count(*) AS n FROM v, p GROUP BY 1""",
-)
-def histogram(t: Tables) -> DataFrame:
-    """Thirty bins between the 2nd and 98th of the sorted values, padded by a tenth; bin -1 holds what lies outside.
-
-    The two edges are order statistics: values are counted in 4,096 equal spans, and only the spans that hold an edge are
-    ranked, so no task sees all values.
-    """
-    values = t.resolved.where("magnitude is not null").groupBy(F.col("magnitude").alias("m")).agg(F.count("*").alias("k"))
-    total = values.agg(F.sum("k").alias("n"), F.min("m").alias("least"), F.max("m").alias("most"))
-    total = total.withColumn("cut", F.when(F.col("n") >= 10, F.floor(F.col("n") * 2 / 100)).otherwise(0))
-    span = F.when(F.col("most") > F.col("least"), F.floor((F.col("m") - F.col("least")) / (F.col("most") - F.col("least")) * 4095)).otherwise(0)
-    spans = values.crossJoin(F.broadcast(total)).withColumn("span", span)
-    upto = spans.groupBy("span", "n", "cut").agg(F.sum("k").alias("held")).withColumn("upto", F.sum("held").over(Window.partitionBy("n", "cut").orderBy("span")))
-    first, last = F.col("cut"), F.col("n") - F.col("cut") - 1  # positions of the edges, from zero
-    holds = [(F.col("upto") - F.col("held") <= at) & (at < F.col("upto")) for at in (first, last)]
-    inside = spans.join(F.broadcast(upto.where(holds[0] | holds[1]).select("span", (F.col("upto") - F.col("held")).alias("before"))), "span")
-    inside = inside.withColumn("end", F.col("before") + F.sum("k").over(Window.partitionBy("span").orderBy("m").rowsBetween(Window.unboundedPreceding, 0)))
-    edges = inside.agg(F.min(F.when(F.col("end") > first, F.col("m"))).alias("a"), F.min(F.when(F.col("end") > last, F.col("m"))).alias("b"))
-    pad = F.when(F.col("b") > F.col("a"), (F.col("b") - F.col("a")) * 0.1).otherwise(0.5)
-    edges = edges.select((F.col("a") - pad).alias("lo"), (F.col("b") + pad).alias("hi"))
-    place = F.least(F.floor((F.col("m") - F.col("lo")) / ((F.col("hi") - F.col("lo")) / 30)), F.lit(29))
-    outside = (F.col("m") < F.col("lo")) | (F.col("m") > F.col("hi"))
-    return values.crossJoin(F.broadcast(edges)).groupBy(F.when(outside, -1).otherwise(place).cast("long").alias("bin")).agg(F.sum("k").alias("n"))
-
-
 @query(
     "a9_miss_sizes",
     f"""WITH {RESOLVED} SELECT direction, metric, count(*) AS n, round(median(miss), 9) AS median_miss, count(*) FILTER (miss > 0.01) AS over_1,
@@ -326,27 +295,12 @@ def latest_answer(t: Tables) -> DataFrame:
     return t.read("events").groupBy("user_id").agg(best.alias("b")).select("user_id", "b.event_id", "b.event_type")
 
 
-@query("w8_even_sample", f"WITH {FILINGS}, r AS (SELECT cik, accession, row_number() OVER (PARTITION BY cik ORDER BY filed_at, accession) - 1 AS i, count(*) OVER (PARTITION BY cik) AS n FROM filings) SELECT cik, accession FROM r JOIN (SELECT unnest(range(0, 7)) AS s) ON i = ((2 * s + 1) * n) // 14")
-def even_sample(t: Tables) -> DataFrame:
-    """Seven filings a company, evenly spaced in order."""
-    w = Window.partitionBy("cik")
-    ranked = t.filings.select("cik", "accession", (F.row_number().over(w.orderBy("filed_at", "accession")) - 1).alias("i"), F.count("*").over(w).alias("n"))
-    taken = F.transform(F.sequence(F.lit(0), F.lit(6)), lambda s: F.floor((2 * s + 1) * F.col("n") / 14))
-    return ranked.where(F.array_contains(taken, F.col("i").cast("long"))).select("cik", "accession")
-
-
 @query("w9_prompt_dedup", "SELECT conv_id, turn, n > 1 AS suppressed FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY sha256(text) ORDER BY conv_id, turn) AS n FROM conversations)")
 def prompt_dedup(t: Tables) -> DataFrame:
     w = Window.partitionBy(F.sha2("text", 256)).orderBy("conv_id", "turn")
     return t.read("conversations").select("conv_id", "turn", (F.row_number().over(w) > 1).alias("suppressed"))
 
 
-@query("w10_every_tenth", f"WITH {STATEMENTS} SELECT record_id, k % 10 = 0 AS marked FROM (SELECT record_id, row_number() OVER (PARTITION BY cik ORDER BY stated_at, record_id) AS k FROM statements WHERE reviewed)")
-def every_tenth(t: Tables) -> DataFrame:
-    w = Window.partitionBy("cik").orderBy("stated_at", "record_id")
-    return t.statements.where("reviewed").select("record_id", (F.row_number().over(w) % 10 == 0).alias("marked"))
-
-
 @query(
     "w11_spend_cap",
     "SELECT event_id, upto FROM (SELECT event_id, user_id, sum(round(value * 100)::BIGINT) OVER (PARTITION BY user_id ORDER BY event_id)::BIGINT AS upto FROM events) WHERE upto <= 5000",

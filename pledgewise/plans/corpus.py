@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,18 +22,27 @@ CONFIG = Config()
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder where the cluster shares its checkpoints; a session without one gets a local folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-scratch-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def _pages(t: Tables) -> DataFrame:
-    """Pages as 8-K filings with a guidance section of their own after the page's body."""
+    """A new folder where the cluster shares its checkpoints; a session of one machine without one gets a local folder.
+
+    Raises on a cluster that names none, as executors do not see each other's folders.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{(root or tempfile.mkdtemp(prefix='spark-scratch-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def pages_with_guidance(t: Tables) -> DataFrame:
+    """Pages as 8-K filings with a guidance section of their own after the page's body: with a table header on one line, on two, or
+    without; some with a sentence too long for a candidate."""
+    key = F.col("page_id")
+    header = F.when(key % 3 == 0, "<p>Q2 2030 Full Year 2030</p>").when(key % 3 == 1, "<p>Q4 FY30</p><p>Full Year FY30</p>").otherwise("")
+    long = F.when(key % 5 == 0, F.concat(F.lit("<p>We expect "), F.repeat(F.lit("very "), 300), F.lit("many millions, $5 million of them.</p>"))).otherwise("")
     section = F.concat(
-        F.lit("<p>For the quarter:</p><h2>Financial Outlook</h2><p>Revenue of $"), (F.col("page_id") % 90 + 10).cast("string"), F.lit(" million</p><p>We expect fiscal 2024 revenue of $"),
-        (F.col("page_id") % 50 + 1).cast("string"), F.lit(" billion. The rest is history.</p><h2>Conference Call</h2><p>None.</p>"),
+        F.lit("<p>For the quarter:</p>"), header, F.lit("<h2>Financial Outlook</h2><p>Revenue of $"), (key % 90 + 10).cast("string"), F.lit(" million</p>"), long, F.lit("<p>We expect fiscal 2024 revenue of $"),
+        (key % 50 + 1).cast("string"), F.lit(" billion. The rest is history.</p><h2>Conference Call</h2><p>None.</p>"),
     )
-    return t.read("pages").select(F.col("page_id").cast("string").alias("accession"), F.lit("8-K").alias("form"), F.concat("html", section).alias("html"))
+    return t.read("pages").select(key.cast("string").alias("accession"), F.lit("8-K").alias("form"), F.concat("html", section).alias("html"))
 
 
 @query("t1_html_text")
@@ -45,21 +55,6 @@ def sentences(t: Tables) -> DataFrame:
     return C.sentences(t.read("documents").select(F.col("doc_id").alias("accession"), "text"))
 
 
-@query("t13_candidates")
-def candidates(t: Tables) -> DataFrame:
-    return C.candidates(_pages(t), CONFIG)
-
-
-@query("t14_candidate_counters", "SELECT 'section' AS capture_method, count(*) AS n, count(*) AS with_lead_in FROM pages UNION ALL SELECT 'sentence', count(*), 0 FROM pages")
-def candidate_counters(t: Tables) -> DataFrame:
-    return C.candidates(_pages(t), CONFIG).groupBy("capture_method").agg(F.count("*").alias("n"), F.count("lead_in").alias("with_lead_in"))
-
-
-@query("t15_headline")
-def headline(t: Tables) -> DataFrame:
-    return C.headline(t.read("documents").select(F.col("doc_id").alias("accession"), "text"))
-
-
 @query("s2_integrity", "SELECT issue, count(*) AS n FROM (SELECT CASE WHEN doc_id % 17 = 0 THEN 'missing' WHEN doc_id % 13 = 0 THEN 'hash_mismatch' END AS issue FROM documents) GROUP BY issue")
 def integrity(t: Tables) -> DataFrame:
     docs = t.read("documents").select("doc_id", F.col("text").cast("binary").alias("bytes"))
@@ -158,25 +153,19 @@ def _run_stream(stream: DataFrame, path: str, write) -> None:
     write(run).start().awaitTermination()
 
 
+_TRACK = """WITH m AS (SELECT user_id, event_type, ts, value, lag(event_type) OVER w AS t0, lag(ts) OVER w AS s0, lag(value) OVER w AS v0 FROM events WHERE event_type IN ('signup', 'purchase') WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+    SELECT user_id, s0 AS stated, v0 AS guided, value AS reported, CASE WHEN value >= v0 THEN 'met' ELSE 'missed' END AS result FROM m WHERE event_type = 'purchase' AND t0 = 'signup'"""
+
+
 @query("x2_stream_merge", "SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS ids FROM events GROUP BY event_type")
 def stream_merge(t: Tables) -> DataFrame:
-    """The events as files that arrive one by one, merged batch by batch; the last table equals the batch result."""
+    """The events as files that arrive one by one, each merged into the parts of a table that it touches; the table equals the batch result."""
     path = scratch(t.spark, "merge")
     t.read("events").repartition(3, "event_id").write.parquet(f"{path}/in")
     schema = t.read("events").schema
     stream = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
-    batches: list[int] = []
-
-    def write(batch: DataFrame, number: int) -> None:
-        X.merge_batches(f"{path}/table", ["event_id"])(batch, number)
-        batches.append(number)
-
-    _run_stream(stream, path, lambda w: w.foreachBatch(write))
-    return t.spark.read.parquet(f"{path}/table/{max(batches)}").groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("ids"))
-
-
-_TRACK = """WITH m AS (SELECT user_id, event_type, ts, value, lag(event_type) OVER w AS t0, lag(ts) OVER w AS s0, lag(value) OVER w AS v0 FROM events WHERE event_type IN ('signup', 'purchase') WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
-    SELECT user_id, s0 AS stated, v0 AS guided, value AS reported, CASE WHEN value >= v0 THEN 'met' ELSE 'missed' END AS result FROM m WHERE event_type = 'purchase' AND t0 = 'signup'"""
+    _run_stream(stream, path, lambda w: w.foreachBatch(X.merge_batches(f"{path}/table", ["event_id"])))
+    return X.merged(t.spark, f"{path}/table", schema).groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("ids"))
 
 
 @query("x5_track_batch", _TRACK)

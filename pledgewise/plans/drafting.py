@@ -9,6 +9,7 @@ from ..dims import METRICS, UNITS, Config
 from ..functions import guards as G
 from ..functions import periods
 from ..functions import text as T
+from ..operators import candidates as C
 from ..operators import dedupe as D
 from ..operators import review, validate
 from .registry import query
@@ -50,46 +51,6 @@ def content_hash(t: Tables) -> DataFrame:
     return t.read("documents").select("doc_id", F.sha2("text", 256).alias("content_sha256"))
 
 
-@query(
-    "t8_blocks",
-    f"""WITH {_LINES}, k AS (SELECT doc_id, line_no, line, length(line) % 9 = 0 AS heading, length(line) % 11 = 0 AS ends, lead(line, 1, '') OVER w AS next_line, count(*) OVER (PARTITION BY doc_id) AS n FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)),
-        s AS (SELECT *, CASE WHEN heading THEN 'heading' WHEN ends THEN 'end-heading' END AS stop FROM k),
-        b AS (SELECT *, min(CASE WHEN stop IS NOT NULL THEN line_no END) OVER f AS next_stop, first(stop IGNORE NULLS) OVER f AS next_reason FROM s WINDOW f AS (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
-        SELECT doc_id, line_no AS heading_line, least(coalesce(next_stop, n), line_no + 41, n)::INT AS end_line,
-               CASE WHEN line_no + 41 < n AND line_no + 41 <= coalesce(next_stop, n) THEN 'max' WHEN next_stop IS NOT NULL THEN next_reason ELSE 'eof' END AS reason
-        FROM b WHERE heading AND least(coalesce(next_stop, n), line_no + 41, n) > line_no + 1""",
-)
-def block_rows(t: Tables) -> DataFrame:
-    lines = _lines(t).withColumn("stop", F.when(F.length("line") % 9 == 0, "heading").when(F.length("line") % 11 == 0, "end-heading"))
-    return blocks(lines, CONFIG)
-
-
-def blocks(lines: DataFrame, config: Config) -> DataFrame:
-    """Blocks under headings of ``doc_id, line_no, line, stop``: they end at the next stop, after a number of lines, or with the text."""
-    doc = Window.partitionBy("doc_id")
-    after = doc.orderBy("line_no").rowsBetween(1, Window.unboundedFollowing)
-    marked = lines.select(
-        "doc_id",
-        "line_no",
-        "stop",
-        F.count("*").over(doc).alias("n"),
-        F.min(F.when(F.col("stop").isNotNull(), F.col("line_no"))).over(after).alias("next_stop"),
-        F.first("stop", ignorenulls=True).over(after).alias("next_reason"),
-    )
-    most = F.col("line_no") + config.block_lines + 1
-    end = F.least(F.coalesce("next_stop", "n"), most, "n").cast("int")
-    full = (most < F.col("n")) & (most <= F.coalesce("next_stop", "n"))
-    reason = F.when(full, "max").when(F.col("next_stop").isNotNull(), F.col("next_reason")).otherwise("eof")
-    return marked.where("stop = 'heading'").select("doc_id", F.col("line_no").alias("heading_line"), end.alias("end_line"), reason.alias("reason")).where("end_line > heading_line + 1")
-
-
-@query("t9_lead_in", "SELECT conv_id, turn, last(CASE WHEN length(text) <= 400 THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 15 PRECEDING AND 1 PRECEDING) AS lead_in FROM conversations")
-def lead_in(t: Tables) -> DataFrame:
-    """The nearest of fifteen earlier turns that is short enough."""
-    before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(-CONFIG.lead_in_lookback, -1)
-    return t.read("conversations").select("conv_id", "turn", F.last(F.when(F.length("text") <= CONFIG.lead_in_chars, F.col("text")), ignorenulls=True).over(before).alias("lead_in"))
-
-
 @query(
     "t10_context",
     """WITH c AS (SELECT conv_id, turn, CASE WHEN length(text) > 300 THEN rtrim(substr(text, 1, 300)) || '...' ELSE text END AS x FROM conversations)
@@ -97,10 +58,7 @@ def lead_in(t: Tables) -> DataFrame:
               coalesce(list(x) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 1 FOLLOWING AND 2 FOLLOWING), []) AS after FROM c""",
 )
 def context(t: Tables) -> DataFrame:
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    clipped = T.clip(F.col("text"), CONFIG.context_chars)
-    rows = t.read("conversations").withColumn("x", clipped)
-    return rows.select("conv_id", "turn", F.collect_list("x").over(w.rowsBetween(-2, -1)).alias("before"), F.collect_list("x").over(w.rowsBetween(1, 2)).alias("after"))
+    return C.with_context(t.read("conversations"), CONFIG, ["conv_id"], "turn", "text").select("conv_id", "turn", "before", "after")
 
 
 @query(
@@ -113,13 +71,6 @@ def parse_periods(t: Tables) -> DataFrame:
     return t.sentences.select("record_id", periods.parse_periods(F.col("sentence")).alias("periods"))
 
 
-@query("t20_numbers", rf"WITH {SENTENCES} SELECT record_id, list_aggregate(list_transform(regexp_extract_all(sentence, '[0-9][0-9,]*(\.[0-9]+)?'), lambda x: replace(x, ',', '')::DOUBLE), 'sum') AS total FROM sentences WHERE regexp_matches(sentence, '[0-9]')")
-def numbers(t: Tables) -> DataFrame:
-    found = F.regexp_extract_all("sentence", F.lit(T.NUMBER), F.lit(0))
-    total = F.aggregate(F.transform(found, lambda x: F.regexp_replace(x, ",", "").cast("double")), F.lit(0.0), lambda a, x: a + x)
-    return t.sentences.where(F.size(T.numbers(F.col("sentence"))) > 0).select("record_id", total.alias("total"))
-
-
 @query("t21_table_lines", f"WITH {SENTENCES} SELECT record_id, part % 8 = 7 AS is_table FROM sentences")
 def table_lines(t: Tables) -> DataFrame:
     return t.sentences.select("record_id", T.is_table_line(F.col("sentence")).alias("is_table"))
@@ -136,12 +87,6 @@ def unit_kind(t: Tables) -> DataFrame:
     return rows.select("record_id", G.unit_kind_differs(F.col("ukind"), F.col("kind")).alias("reason"))
 
 
-@query("g10_printed_spread", f"WITH {SENTENCES} SELECT record_id, CASE WHEN part % 8 = 1 THEN round(line * 10 / 100.0, 6)::DOUBLE END AS size, CASE WHEN part % 8 = 1 THEN 'percent' END AS kind FROM sentences")
-def printed_spread(t: Tables) -> DataFrame:
-    s = t.sentences.withColumn("spread", G.printed_spread(F.col("sentence")))
-    return s.select("record_id", F.round("spread.size", 6).alias("size"), F.col("spread.kind").alias("kind"))
-
-
 @query(
     "g12_resolve_range",
     f"""WITH {STATEMENTS}, r AS (SELECT record_id, target_low AS l, target_high AS h, CASE WHEN part % 3 = 0 THEN (supp % 7)::DOUBLE END AS spread, part % 2 = 0 AS rel FROM statements),
@@ -154,32 +99,6 @@ def resolve_range(t: Tables) -> DataFrame:
     return t.statements.select("record_id", found["low"].alias("low"), found["high"].alias("high"))
 
 
-@query("g13_floor_language", f"WITH {SENTENCES} SELECT record_id, part % 8 = 5 AS floor FROM sentences")
-def floor_language(t: Tables) -> DataFrame:
-    return t.sentences.select("record_id", G.is_floor_language(F.col("sentence")).alias("floor"))
-
-
-@query("g14_signed_rate", f"WITH {SENTENCES} SELECT record_id, CASE WHEN part % 8 = 3 AND supp % 4 <> 0 THEN target_low ELSE -target_low END AS value FROM sentences")
-def signed_rate(t: Tables) -> DataFrame:
-    return t.sentences.select("record_id", G.signed_rate(-F.col("target_low"), F.col("sentence"), F.col("supp") % 4 == 0).alias("value"))
-
-
-@query(
-    "g17_reject_reasons",
-    f"WITH {SENTENCES} SELECT record_id, CASE WHEN part % 8 = 6 THEN 'a stated number is not in the evidence' END AS reason FROM sentences WHERE part % 8 IN (0, 6)",
-)
-def reject_reasons(t: Tables) -> DataFrame:
-    low, high = F.coalesce("target_low", "target_high"), F.coalesce("target_high", "target_low")
-    reason = G.first_reason(G.missing_numbers(F.col("sentence"), [low, high]), G.past_tense(F.col("sentence")))
-    return t.sentences.where("part % 8 in (0, 6)").select("record_id", reason.alias("reason"))
-
-
-@query("g22_value_in_evidence", f"WITH {SENTENCES} SELECT record_id, coalesce(reported_value, 7) <> 0 AS printed FROM sentences WHERE part % 8 = 4 AND reported_value IS NOT NULL AND reported_value > 0")
-def value_in_evidence(t: Tables) -> DataFrame:
-    rows = t.sentences.where("part % 8 = 4 and reported_value > 0")
-    return rows.select("record_id", G.value_in_evidence(F.col("reported_value"), F.col("sentence")).alias("printed"))
-
-
 @query("g23_convert", f"WITH {STATEMENTS}, u(k, fam, sc) AS (VALUES (0, 'dollars', 1.0), (1, 'dollars', 1e3), (2, 'dollars', 1e6), (3, 'percent', 1.0), (4, 'percent', 0.01)) SELECT record_id, CASE WHEN a.fam = b.fam THEN round(target_low * a.sc / b.sc, 6) END AS value FROM statements JOIN u a ON a.k = part % 5 JOIN u b ON b.k = supp % 5")
 def convert(t: Tables) -> DataFrame:
     table = t.spark.createDataFrame([(0, "dollars", 1.0), (1, "dollars", 1e3), (2, "dollars", 1e6), (3, "percent", 1.0), (4, "percent", 0.01)], "k long, family string, scale double")
@@ -195,49 +114,12 @@ def plausible(t: Tables) -> DataFrame:
     return t.statements.where("reported_value is not null").select("record_id", found.alias("plausible"))
 
 
-@query("g26_parallel_figures", f"WITH {STATEMENTS} SELECT record_id, (supp % 100 + 0.5)::DOUBLE AS figure FROM statements")
-def parallel_figures(t: Tables) -> DataFrame:
-    text = F.concat(F.lit("Full Year and Fourth Quarter earnings were $"), (F.col("part") % 100).cast("string"), F.lit(".25 and $"), (F.col("supp") % 100).cast("string"), F.lit(".5."))
-    return t.statements.select("record_id", G.pick_parallel(text, F.lit("fourth quarter")).alias("figure"))
-
-
-def _ack_sql(side: str, direction: str) -> str:
-    return "|".join(CONFIG.ack_phrases[side] + CONFIG.ack_phrases[direction])
-
-
-@query("g27_acknowledging", f"WITH {SENTENCES} SELECT record_id, regexp_matches(lower(sentence), '(^|[^a-z0-9_])({_ack_sql('below', 'worse')})([^a-z0-9_]|$)') AND regexp_matches(lower(sentence), '{'|'.join(CONFIG.ack_references)}') AS admits_below, regexp_matches(lower(sentence), '(^|[^a-z0-9_])({_ack_sql('above', 'better')})([^a-z0-9_]|$)') AND regexp_matches(lower(sentence), '{'|'.join(CONFIG.ack_references)}') AS admits_above, part % 8 = 3 AS withdraws FROM sentences")
-def acknowledging(t: Tables) -> DataFrame:
-    s = F.col("sentence")
-    return t.sentences.select("record_id", T.acknowledges(s, "below", "worse", CONFIG).alias("admits_below"), T.acknowledges(s, "above", "better", CONFIG).alias("admits_above"), T.withdraws(s, CONFIG).alias("withdraws"))
-
-
 @query("g28_review_filters", f"WITH {STATEMENTS} SELECT company, count(*) FILTER (reviewed AND part % 5 = 0) AS verify_no, count(*) FILTER (NOT reviewed AND line >= 5) AS slow, count(*) FILTER (acknowledged_at IS NOT NULL AND withdrawn_at IS NULL) AS ack_pending FROM statements GROUP BY company")
 def review_filters(t: Tables) -> DataFrame:
     named = {"verify_no": "reviewed and part % 5 = 0", "slow": "not reviewed and line >= 5", "ack_pending": "acknowledged_at is not null and withdrawn_at is null"}
     return t.statements.groupBy("company").agg(*[F.count_if(F.expr(f)).alias(name) for name, f in named.items()])
 
 
-@query("g1_parse_json", "SELECT event_id, (props::JSON ->> 'k')::BIGINT AS k FROM events")
-def parse_json(t: Tables) -> DataFrame:
-    """Answers in JSON, code fences allowed; unreadable ones are null."""
-    plain = F.regexp_replace("props", r"^```(?:json)?\s*|\s*```$", "")
-    return t.read("events").select("event_id", F.from_json(plain, "k long")["k"].alias("k"))
-
-
-@query(
-    "w3_line_ranking",
-    f"""WITH {SENTENCES}, x AS (SELECT *, CASE WHEN part % 8 IN (0, 2, 3, 5) THEN 3 ELSE 0 END + CASE WHEN part % 8 IN (1, 2, 3, 4) THEN -3 ELSE 0 END + CASE WHEN part % 8 = 1 THEN 1 ELSE 0 END + 2 AS score FROM sentences),
-        r AS (SELECT *, row_number() OVER (PARTITION BY cik, metric ORDER BY score DESC, stated_at, record_id) AS n FROM x) SELECT record_id, score, n AS rank FROM r WHERE n <= 25""",
-)
-def line_ranking(t: Tables) -> DataFrame:
-    """The 25 best lines of a company and metric by period, guidance words and basis, ties in filing order."""
-    s = F.col("sentence")
-    signal = F.when(F.size(periods.parse_periods(s)) + F.when(s.rlike("fiscal (?:19|20)\\d\\d|full-year (?:19|20)\\d\\d"), 1).otherwise(0) > 0, 3).otherwise(0)
-    score = 2 + signal - F.when(F.lower("sentence").rlike("guidance|outlook"), 3).otherwise(0) + F.when(s.rlike(r"\bGAAP\b"), 1).otherwise(0)
-    w = Window.partitionBy("cik", "metric").orderBy(F.desc("score"), "stated_at", "record_id")
-    return t.sentences.withColumn("score", score).withColumn("rank", F.row_number().over(w)).where("rank <= 25").select("record_id", "score", "rank")
-
-
 @query("w4_prefer_prose", f"WITH {SENTENCES} SELECT record_id FROM (SELECT *, part % 8 <> 7 AS prose, bool_or(part % 8 <> 7) OVER (PARTITION BY accession) AS has_prose FROM sentences) WHERE prose OR NOT has_prose")
 def prefer_prose(t: Tables) -> DataFrame:
     """Table rows of a release go when it has a prose line."""
@@ -252,12 +134,6 @@ def earliest_withdrawal(t: Tables) -> DataFrame:
     return t.resolved.where("withdrawn_at <= period_close").groupBy("cik", "metric", "target_period").agg(first).select("cik", "metric", "target_period", "b.withdrawn_at", "b.record_id")
 
 
-@query("w7_queue_order", f"WITH {STATEMENTS} SELECT record_id, row_number() OVER (PARTITION BY cik ORDER BY CASE WHEN part % 5 = 0 THEN 0 WHEN line >= 5 THEN 1 ELSE 2 END, stated_at, record_id) AS position FROM statements")
-def queue_order(t: Tables) -> DataFrame:
-    tier = F.when(F.col("part") % 5 == 0, 0).when(F.col("line") >= 5, 1).otherwise(2)
-    return t.statements.select("record_id", F.row_number().over(Window.partitionBy("cik").orderBy(tier, "stated_at", "record_id")).alias("position"))
-
-
 def _drafts(t: Tables) -> DataFrame:
     """Statements as drafts on coarser days, so that keys repeat, some in another dollar unit."""
     thousand = F.col("part") % 6 == 0
@@ -334,9 +210,3 @@ def row_checks(t: Tables) -> DataFrame:
     rows = t.resolved.withColumn("status", F.when(F.col("supp") % 40 == 0, "met").otherwise(F.col("status")))
     rows = rows.withColumn("reported_at", F.when(F.col("part") % 50 == 0, F.col("stated_at")).otherwise(F.col("reported_at")))
     return validate.issues(rows).select("record_id", "check")
-
-
-@query("v5_dimensions", "SELECT metric FROM (VALUES " + ", ".join(f"('{m}')" for m, _, _ in METRICS) + ") m(metric), (SELECT count(*) AS n FROM nation) WHERE n < 0")
-def dimensions(t: Tables) -> DataFrame:
-    """Metrics without a kind or polarity; none."""
-    return t.statements.where("kind is null or higher_is_better is null").select("metric").distinct()

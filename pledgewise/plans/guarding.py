@@ -20,37 +20,6 @@ CONFIG = Config()
 _MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 
 
-@query(
-    "p4_period_by_end_date",
-    f"""WITH {RESOLVED} SELECT record_id, CASE WHEN part % 3 <> 2 AND period_close > stated_at THEN CASE WHEN part % 3 = 0 AND quarter IS NOT NULL THEN target_period
-        WHEN part % 3 = 1 AND quarter IS NULL THEN target_period END END AS label FROM resolved WHERE part % 3 = 2 OR (part % 3 = 0) = (quarter IS NOT NULL)""",
-)
-def period_by_end_date(t: Tables) -> DataFrame:
-    """The period a sentence names by the day it ends; only days after the statement count, and only one period may be named."""
-    day = F.date_format(F.date_sub("period_close", 0), "MMM. d, yyyy")
-    said = F.when(F.col("part") % 3 == 0, F.concat(F.lit("for the three months ended "), day)).when(F.col("part") % 3 == 1, F.concat(F.lit("for the fiscal year ending "), day)).otherwise("for the year ending Feb. 31, 2030")
-    rows = t.resolved.where("part % 3 = 2 or (part % 3 = 0) = (quarter is not null)").withColumn("said", said)
-    return rows.select("record_id", G.period_by_end_date(F.col("said"), F.col("fiscal_month"), F.col("named_for_end"), F.col("stated_at")).alias("label"))
-
-
-@query("p9_period_signal", f"WITH {SENTENCES} SELECT record_id, CASE part % 8 WHEN 0 THEN CASE WHEN quarter IS NULL THEN 0 ELSE 3 END WHEN 2 THEN CASE WHEN quarter IS NULL THEN 0 ELSE 3 END WHEN 5 THEN CASE WHEN quarter IS NULL THEN 0 ELSE 3 END ELSE 0 END AS signal FROM sentences WHERE part % 8 IN (0, 2, 5, 6) AND quarter IS NOT NULL")
-def period_signal(t: Tables) -> DataFrame:
-    rows = t.sentences.where("part % 8 in (0, 2, 5, 6) and quarter is not null")
-    return rows.select("record_id", T.period_signal(F.col("sentence"), F.col("quarter"), F.col("fiscal_year")).alias("signal"))
-
-
-@query("p11_half_year", f"WITH {STATEMENTS} SELECT record_id, CASE WHEN part % 9 = 0 THEN 'half-year period' WHEN supp % 9 = 0 THEN 'period has another shape' END AS reason FROM statements")
-def half_year(t: Tables) -> DataFrame:
-    said = F.when(F.col("part") % 9 == 0, "revenue for the second half of 2024").otherwise("revenue for 2024")
-    label = F.when(F.col("supp") % 9 == 0, F.concat(F.lit("H2 "), F.col("fiscal_year").cast("string"))).otherwise(F.col("target_period"))
-    return t.statements.select("record_id", G.period_shape(label, said).alias("reason"))
-
-
-@query("p12_tax_footnote", f"WITH {SENTENCES} SELECT record_id, false AS refused FROM sentences WHERE part % 8 IN (2, 3)")
-def tax_footnote(t: Tables) -> DataFrame:
-    return t.sentences.where("part % 8 in (2, 3)").select("record_id", G.is_tax_footnote(F.col("sentence")).alias("refused"))
-
-
 @query("g2_metric_known", f"WITH {STATEMENTS} SELECT record_id, part % 8 <> 3 AS known FROM statements")
 def metric_known(t: Tables) -> DataFrame:
     named = t.statements.select("record_id", F.when(F.col("part") % 8 == 3, "dividends").otherwise(F.col("metric")).alias("metric"))
@@ -58,57 +27,11 @@ def metric_known(t: Tables) -> DataFrame:
     return named.join(known, "metric", "left").select("record_id", F.coalesce("known", F.lit(False)).alias("known"))
 
 
-@query("g4_bare_value", f"WITH {SENTENCES} SELECT record_id, part % 8 = 7 AS bare FROM sentences")
-def bare_value(t: Tables) -> DataFrame:
-    return t.sentences.select("record_id", G.bare_value(F.col("sentence")).alias("bare"))
-
-
-@query("g6_column_shift", f"WITH {STATEMENTS} SELECT record_id, CASE part % 3 WHEN 0 THEN 'Q1 FY2024' WHEN 1 THEN 'FY2024' ELSE 'FY2025' END AS period FROM statements")
-def column_shift(t: Tables) -> DataFrame:
-    """As many empty cells before the first figure, so many header periods further."""
-    cells = F.when(F.col("part") % 3 == 0, "$5 | N/A | N/A").when(F.col("part") % 3 == 1, "N/A | $5 | N/A").otherwise("N/A | N/A | $5")
-    return t.statements.select("record_id", G.shifted_period(cells, F.lit("Q1 2024 | Full Year 2024 | FY25")).alias("period"))
-
-
-@query("g8_basis", f"WITH {STATEMENTS} SELECT record_id, CASE part % 4 WHEN 0 THEN 'GAAP' WHEN 1 THEN 'Adjustments' WHEN 2 THEN 'non-GAAP' END AS basis FROM statements")
-def basis(t: Tables) -> DataFrame:
-    """The basis of the header cell above a figure; an adjustments column is refused later."""
-    column = F.when(F.col("part") % 4 == 3, 9).otherwise(F.col("part") % 4).cast("int")
-    return t.statements.select("record_id", G.basis_of(F.lit("GAAP | Adjustments | Non-GAAP"), column).alias("basis"))
-
-
-@query("g11_spread_rule", f"WITH {STATEMENTS} SELECT record_id, part % 2 = 0 AND kind <> 'percent' AS relative FROM statements")
-def spread_rule(t: Tables) -> DataFrame:
-    return t.statements.select("record_id", G.spread_is_relative(F.when(F.col("part") % 2 == 0, "percent").otherwise("absolute"), F.col("kind")).alias("relative"))
-
-
-@query("g15_level_not_change", f"WITH {SENTENCES} SELECT record_id, CASE WHEN part % 8 = 4 THEN 'a change, not a level' END AS reason FROM sentences")
-def level_not_change(t: Tables) -> DataFrame:
-    return t.sentences.select("record_id", G.is_change(F.col("sentence")).alias("reason"))
-
-
 @query("g19_custom_id", f"WITH {STATEMENTS} SELECT record_id, replace(accession, '-', '') || '_' || line || '_sen' AS custom_id FROM statements")
 def custom_id(t: Tables) -> DataFrame:
     return t.statements.select("record_id", ids.custom_id(F.col("accession"), F.col("line"), F.lit("sentence")).alias("custom_id"))
 
 
-@query(
-    "g20_outcome_lines",
-    f"""WITH {SENTENCES} SELECT record_id, CASE WHEN part % 8 IN (0, 1) THEN 'prints a range' WHEN part % 8 IN (3, 4, 2) THEN 'forward-looking'
-        WHEN reported_at IS NOT NULL AND reported_at <= {"stated_at + 90"} THEN 'filed before the close' END AS reason FROM sentences WHERE part % 8 <> 7""",
-)
-def outcome_lines(t: Tables) -> DataFrame:
-    """Why a line cannot be an outcome; the first reason counts."""
-    rows = t.sentences.where("part % 8 <> 7")
-    s = F.col("sentence")
-    reason = F.coalesce(
-        F.when(G.prints_range(s), "prints a range"),
-        F.when(T.has_forward_term(s, CONFIG), "forward-looking"),
-        F.when(F.col("reported_at") <= F.date_add("stated_at", 90), "filed before the close"),
-    )
-    return rows.select("record_id", reason.alias("reason"))
-
-
 @query("g21_result_excerpt", f"WITH {SENTENCES} SELECT record_id, part % 8 IN (2, 5, 6, 7) AS ok FROM sentences")
 def result_excerpt(t: Tables) -> DataFrame:
     return t.sentences.select("record_id", G.is_result(F.col("sentence"), T.has_forward_term(F.col("sentence"), CONFIG)).alias("ok"))
@@ -155,16 +78,6 @@ def section_label(t: Tables) -> DataFrame:
     return t.read("conversations").select("conv_id", "turn", F.last(label, True).over(w.rowsBetween(-25, -1)).alias("label"), F.last(note, True).over(w.rowsBetween(-40, 0)).alias("note"))
 
 
-@query("t19_header_confirms", f"WITH {STATEMENTS} SELECT record_id, quarter IS NOT NULL AND part % 2 = 0 AS confirmed FROM statements")
-def header_confirms(t: Tables) -> DataFrame:
-    """A results table's header above a row names the draft's period, and the row has three figures."""
-    header = F.concat(periods.format_period(F.coalesce("quarter", F.lit(4)), F.col("fiscal_year") + 50), F.lit(" | Q1 2050"))
-    label = F.when(F.col("quarter").isNotNull(), periods.format_period(F.col("quarter"), F.col("fiscal_year") + 50)).otherwise("FY1900")
-    row = F.when(F.col("part") % 2 == 0, "Revenue 1 2 3").otherwise("Revenue 1 2")
-    header = F.regexp_replace(header, " FY", " ")
-    return t.statements.select("record_id", G.header_confirms(header, row, label).alias("confirmed"))
-
-
 @query("j10_stale_flags", f"WITH {STATEMENTS} SELECT DISTINCT accession FROM statements WHERE part % 5 = 0 AND accession NOT IN (SELECT accession FROM statements WHERE part % 5 <> 0 AND supp % 2 = 0)")
 def stale_flags(t: Tables) -> DataFrame:
     """Empty-block flags stay unless the block has a draft by now."""
@@ -290,11 +203,3 @@ def feed(t: Tables) -> DataFrame:
     pages = t.filings.groupBy("cik", "filed_at").agg(F.array_join(F.collect_list(entry), "").alias("entries"))
     pages = pages.select(F.concat(F.lit("<feed>"), "entries", F.lit("</feed>")).alias("page"))
     return S.feed_entries(pages).select("accession", "form", "filed_at", "items")
-
-
-@query("s15_guarded_write", "SELECT 'empty' AS case_name, false AS written UNION ALL SELECT 'full', count(*) > 0 FROM nation")
-def guarded_write(t: Tables) -> DataFrame:
-    path = scratch(t.spark, "guarded")
-    nation = t.read("nation")
-    done = [("empty", R.write_unless_empty(nation.where("n_nationkey < 0"), path)), ("full", R.write_unless_empty(nation, path))]
-    return t.spark.createDataFrame(done, "case_name string, written boolean")

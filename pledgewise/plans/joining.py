@@ -15,13 +15,6 @@ from .substrate import FILINGS, RESOLVED, SENTENCES, STATEMENTS, Tables
 CONFIG = Config()
 
 
-def _releases(t: Tables) -> DataFrame:
-    return t.filings.where("form = '8-K' and http_status = 200").select("cik", F.col("accession").alias("release"), "filed_at", "kind")
-
-
-_RELEASES = "releases AS (SELECT cik, accession AS release, filed_at, kind FROM filings WHERE form = '8-K' AND http_status = 200)"
-
-
 @query(
     "j1_answers_current",
     f"""WITH {STATEMENTS}, a AS (SELECT record_id, CASE WHEN part % 3 = 0 THEN 'old' WHEN part % 3 = 1 THEN 'new' ELSE 'stale' END AS fingerprint, supp FROM statements WHERE reviewed)
@@ -34,61 +27,23 @@ def answers_current(t: Tables) -> DataFrame:
     return t.statements.select("record_id").join(answers.where(F.col("fingerprint").isin("new", "old")), "record_id")
 
 
-@query(
-    "j2_later_releases",
-    f"""WITH {STATEMENTS}, {_RELEASES}, m AS (SELECT s.record_id, r.release, row_number() OVER (PARTITION BY s.record_id ORDER BY r.filed_at, r.release) AS n
-        FROM statements s JOIN releases r ON s.cik = r.cik AND r.filed_at > s.stated_at AND r.filed_at <= least(DATE '2001-06-30', s.stated_at + 550)
-        WHERE s.part % 4 = 0 AND s.quarter = 1 + month(r.filed_at) // 4) SELECT record_id, release, n AS rank FROM m WHERE n <= 3""",
-)
-def later_releases(t: Tables) -> DataFrame:
-    """Each draft with the first three releases after it, in 550 days, that report its quarter."""
-    drafts = t.statements.where("part % 4 = 0").select("record_id", "cik", "stated_at", "quarter")
-    horizon = F.least(F.lit("2001-06-30").cast("date"), F.date_add("stated_at", CONFIG.search_days))
-    met = interval_join(drafts, _releases(t), "cik", F.col("stated_at"), horizon, "filed_at").where(F.col("quarter") == 1 + F.floor(F.month("filed_at") / 4))
-    return first_per(met, ["record_id"], [F.col("filed_at"), F.col("release")], CONFIG.max_docs, "rank").select("record_id", "release", "rank")
-
-
-@query(
-    "j5_acknowledgements",
-    f"""WITH {RESOLVED}, m AS (SELECT r.record_id, f.accession AS filing, f.filed_at, row_number() OVER (PARTITION BY r.record_id ORDER BY f.filed_at, f.accession) AS n
-        FROM resolved r JOIN filings f ON r.cik = f.cik AND f.filed_at >= r.reported_at AND f.filed_at <= r.reported_at + 400
-        WHERE r.status = 'missed' AND ((f.kind = 'F' AND r.side = 'below') OR (f.kind = 'P' AND r.direction = 'worse')) AND f.form = '10-K')
-        SELECT record_id, filing, filed_at AS acknowledged_on FROM m WHERE n = 1""",
-)
-def acknowledgement_search(t: Tables) -> DataFrame:
-    """The first filing of any later 400 days that admits a miss, its start day included; filings are filtered before the join."""
-    missed = t.resolved.where("status = 'missed'").withColumn("below", F.col("reported_value") < F.col("target_low"))
-    missed = missed.select("record_id", "cik", "reported_at", "below", "direction")
-    admits = t.filings.where("form = '10-K' and kind in ('F', 'P')").select("cik", F.col("accession").alias("filing"), "filed_at", "kind")
-    met = interval_join(missed, admits, "cik", F.col("reported_at"), F.date_add("reported_at", CONFIG.ack_days), "filed_at", closed_low=True)
-    met = met.where("(kind = 'F' and below) or (kind = 'P' and direction = 'worse')")
-    return met.groupBy("record_id").agg(F.min(F.struct("filed_at", "filing")).alias("b")).select("record_id", "b.filing", F.col("b.filed_at").alias("acknowledged_on"))
-
-
-@query(
-    "j6_withdrawals",
-    f"""WITH {RESOLVED}, {_RELEASES} SELECT d.record_id, min(r.filed_at) AS withdrawn_on, count(*) AS candidates FROM resolved d JOIN releases r ON d.cik = r.cik
-        AND r.filed_at > d.stated_at AND r.filed_at <= d.period_close WHERE r.kind = 'P' GROUP BY d.record_id""",
-)
-def withdrawal_search(t: Tables) -> DataFrame:
-    """Releases with a withdrawal after the statement and up to the close of its period."""
-    drafts = t.resolved.select("record_id", "cik", "stated_at", "period_close")
-    met = interval_join(drafts, _releases(t).where("kind = 'P'"), "cik", F.col("stated_at"), F.col("period_close"), "filed_at")
-    return met.groupBy("record_id").agg(F.min("filed_at").alias("withdrawn_on"), F.count("*").alias("candidates"))
+TERMS = {"revenue": "revenue|net sales|total sales", "gross margin GAAP": "gross margin", "operating expenses GAAP": "operating expenses", "EPS GAAP": "earnings per share|eps|per diluted share|diluted earnings", "tax rate": "tax rate", "comparable sales": "comparable sales"}
 
 
-_TERMS = {"revenue": "revenue|net sales|total sales", "gross margin GAAP": "gross margin", "operating expenses GAAP": "operating expenses", "EPS GAAP": "earnings per share|eps|per diluted share|diluted earnings", "tax rate": "tax rate", "comparable sales": "comparable sales"}
+def about_metrics(t: Tables) -> DataFrame:
+    """``sentence_id, accession, sentence, metric``: sentences with a number, once for each metric that they are about."""
+    rows = t.sentences.select(F.col("record_id").alias("sentence_id"), "accession", "sentence").where(F.size(T.numbers(F.col("sentence"))) > 0)
+    return rows.withColumn("metric", F.explode(T.metrics_in(F.col("sentence"), CONFIG, list(TERMS))))
 
 
 @query(
     "j4_sentence_metric",
-    f"""WITH {SENTENCES}, x AS ({" UNION ALL ".join(f"SELECT record_id AS sentence_id, accession, '{m}' AS metric FROM sentences WHERE regexp_matches(lower(sentence), '{p}')" for m, p in _TERMS.items())})
+    f"""WITH {SENTENCES}, x AS ({" UNION ALL ".join(f"SELECT record_id AS sentence_id, accession, '{m}' AS metric FROM sentences WHERE regexp_matches(lower(sentence), '{p}')" for m, p in TERMS.items())})
         SELECT s.record_id, x.sentence_id FROM statements s JOIN x USING (accession, metric)""",
 )
 def sentence_metric(t: Tables) -> DataFrame:
     """Drafts meet the sentences of their filing by the metrics each sentence was found to be about, once."""
-    about = t.sentences.select(F.col("record_id").alias("sentence_id"), "accession", F.explode(T.metrics_in(F.col("sentence"), CONFIG, list(_TERMS))).alias("metric"))
-    return t.statements.select("record_id", "accession", "metric").join(about, ["accession", "metric"]).select("record_id", "sentence_id")
+    return t.statements.select("record_id", "accession", "metric").join(about_metrics(t), ["accession", "metric"]).select("record_id", "sentence_id")
 
 
 @query("j7_outcomes", f"WITH {RESOLVED} SELECT s.record_id, o.reported_value, o.status FROM statements s LEFT JOIN (SELECT * FROM resolved WHERE status = 'missed') o USING (record_id)")

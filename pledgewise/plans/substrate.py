@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import dims
@@ -54,6 +54,41 @@ class Tables:
             F.col("o_orderstatus").alias("kind"),
         )
 
+    @cached_property
+    def releases(self) -> DataFrame:
+        """Filings with the fiscal quarter that ended last before them (years thirty later, as titles name years of this century).
+
+        ``text`` begins with a title, ``line`` speaks of a miss, and ``withdrawal`` may withdraw guidance; 8-K alone has titles that count.
+        """
+        rows = self.filings.join(F.broadcast(self.companies.select("cik", "company", "fiscal_month", "named_for_end")), "cik")  # 25 rows
+        month, last = F.col("fiscal_month") - 1, F.year("filed_at") * 12 + F.month("filed_at") - 2
+        end = last - F.pmod(last - month, F.lit(3))
+        into = F.pmod(end - month, F.lit(12))
+        year = F.floor((end + F.pmod(12 - into, F.lit(12))) / 12).cast("int") - F.when(F.col("named_for_end") | (F.col("fiscal_month") == 12), 0).otherwise(1) + 30
+        rows = rows.withColumns({"q": F.when(into == 0, 4).otherwise(into / 3).cast("int"), "y": year})
+        ordinal = F.initcap(F.element_at(F.array(*[F.lit(x) for x in periods.ORDINALS]), F.col("q")))
+        full, short, q = F.col("y").cast("string"), F.lpad((F.col("y") % 100).cast("string"), 2, "0"), F.col("q").cast("string")
+        name, key = F.col("company"), F.col("o_orderkey")
+
+        def pick(n: int, *texts: tuple) -> Column:
+            parts = [F.concat(*[F.lit(x) if isinstance(x, str) else x for x in t]) for t in texts]
+            return F.element_at(F.array(*parts), (F.least(key % n, F.lit(len(texts) - 1)) + 1).cast("int"))
+
+        title = pick(
+            8, (name, " Reports ", ordinal, " Quarter Fiscal ", full, " Results"), (name, " Announces Q", q, " FY", short, " Results and 2030 Outlook"), (name, " Reports ", ordinal, " Quarter Earnings Results"),
+            (name, " Reports ", full, " Results"), (name, " to Host Conference Call on ", ordinal, " Quarter Results"), (name, " Declares Dividend Today"), ("EX-99.1\n", name, " net sales rise in Q", q),
+            (name, " Announces Its Results\nFor the ", ordinal, " Quarter of Fiscal ", full),
+        )
+        line = pick(
+            6, (ordinal, " quarter revenue of $5.2 billion was below our guidance."), ("In Q", q, " FY", short, ", results fell short of our prior outlook of $5 million."),
+            (ordinal, " quarter revenue of $7.1 billion exceeded our guidance."), ("Results were below our guidance.",), ("Revenue missed the expected range of $150 to $160.",), ("The board met twice.",),
+        )
+        closes = F.date_format(periods.period_end(F.col("fiscal_month"), F.col("named_for_end"), F.col("y") - 29, F.lit(None).cast("int")), "MMMM d, yyyy")
+        withdrawal = pick(
+            7, ("We are withdrawing our guidance for the year.",), ("We are suspending our outlook for the fiscal year ending ", closes, "."), ("Guidance was suspended.",), ("We suspended the dividend.",), ("The board met twice.",),
+        )
+        return rows.withColumns({"text": title, "line": line, "withdrawal": withdrawal})
+
     @cached_property
     def statements(self) -> DataFrame:
         """One row per line item: bounds, stated and reported dates, the reported value, period and metric."""
@@ -88,7 +123,7 @@ class Tables:
                 F.col("l_suppkey").alias("supp"),
             )
         )
-        return rows.join(F.broadcast(self.metrics), "metric_no").join(F.broadcast(self.companies), "cik").withColumn("target_period", periods.format_period(F.col("quarter"), F.col("fiscal_year")))
+        return rows.join(F.broadcast(self.metrics), "metric_no").join(self.companies, "cik").withColumn("target_period", periods.format_period(F.col("quarter"), F.col("fiscal_year")))
 
     @cached_property
     def resolved(self) -> DataFrame:
@@ -149,6 +184,16 @@ filings AS (
   FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
 
+RELEASES = """
+rel0 AS (SELECT f.*, company, fiscal_month, named_for_end, year(filed_at) * 12 + month(filed_at) - 2 AS last_m FROM filings f JOIN companies USING (cik)),
+rel1 AS (SELECT *, last_m - (last_m - fiscal_month + 1) % 3 AS end_m FROM rel0),
+rel2 AS (SELECT *, (end_m - fiscal_month + 1) % 12 AS into_y FROM rel1),
+rel AS (SELECT *, CASE WHEN into_y = 0 THEN 4 ELSE into_y // 3 END AS q, (end_m + (12 - into_y) % 12) // 12 - CASE WHEN named_for_end OR fiscal_month = 12 THEN 0 ELSE 1 END + 30 AS y FROM rel2),
+reported AS (SELECT accession AS release, cik, filed_at, q AS quarter, y FROM rel WHERE form = '8-K' AND http_status = 200 AND o_orderkey % 8 IN (0, 1, 2, 6, 7)
+  UNION ALL SELECT accession, cik, filed_at, 0, y FROM rel WHERE form = '8-K' AND http_status = 200 AND o_orderkey % 8 IN (0, 1, 2, 6, 7) AND q = 4
+  UNION ALL SELECT accession, cik, filed_at, unnest([0, 4]), y FROM rel WHERE form = '8-K' AND http_status = 200 AND o_orderkey % 8 = 3)"""
+
+
 def sql_period_end(year: str, quarter: str, month: str = "fiscal_month", named: str = "named_for_end") -> str:
     return f"last_day((make_date((CASE WHEN {named} OR {month} = 12 THEN {year} ELSE {year} + 1 END)::BIGINT, {month}::BIGINT, 1) - to_months((3 * (4 - coalesce({quarter}, 4)))::INT))::DATE)"
 

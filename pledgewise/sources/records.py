@@ -24,6 +24,12 @@ def read_jsonl(spark: SparkSession, path: str, schema: str = RECORD) -> DataFram
     return parsed.select("record", (F.col("record").isNotNull() & F.coalesce(closed, F.lit(False)) & F.col(f"record.{known[0]}").isNotNull()).alias("valid"))
 
 
+def answer_items(answer: Column, fields: str) -> Column:
+    """The items of a model's answer in JSON, with or without a code fence around it; null if it cannot be read or has no list of items."""
+    plain = F.regexp_replace(F.trim(answer), r"^```(?:json)?\s*|\s*```$", "")
+    return F.from_json(plain, f"items array<struct<{', '.join(f.replace(' ', ': ', 1) for f in fields.split(', '))}>>")["items"]
+
+
 def leaves(schema: T.StructType, prefix: str = "") -> list[tuple[str, T.DataType]]:
     """Dotted names and types of a schema's leaves, in order."""
     out = []

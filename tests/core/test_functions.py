@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from pledgewise.dims import METRICS, Config
 from pledgewise.functions import extract, guards, ids, periods, rubric, text
+from pledgewise.operators import candidates
 
 CONFIG = Config()
 
@@ -89,14 +90,26 @@ def test_guards(spark):
     got = ask(spark, [(1,)], "x int", a=spread, b=relative, c=reversed_)[0]
     assert tuple(got[0])[:2] == (61.9, 62.9) and tuple(got[1])[:2] == (196.0, 204.0) and got[2].reason == "reversed range"
     t = F.col("t")
-    assert ask(spark, [("Full Year and Fourth Quarter Net Earnings were $12.19 and $3.10",)], "t string", a=guards.pick_parallel(t, F.lit("fourth quarter"))) == [(3.1,)]
-    assert ask(spark, [("tax rate of (12)%",)], "t string", a=guards.signed_rate(F.lit(-12.0), t, F.lit(False)), b=guards.signed_rate(F.lit(-12.0), t, F.lit(True))) == [(12.0, -12.0)]
 
 
-def test_html_and_sentences():
+def test_html():
     page = b"<html><style>x</style><div>One\xc2\xa0 two</div><div style='display: none'>no<div>no</div>no</div><table><tr><td>a</td><td>b</td></tr></table><p>End</p>"
     assert [x for x in extract.raw_lines(page).split("\n") if x] == ["One two", "a b", "End"]
     assert extract.decode(b"\x93quoted\x94") == "“quoted”" and extract.raw_lines(None) == ""
-    said = "Acme Inc. rose 5.5%. It grew! e.g. this\n• Point one. next\nU.S. sales fell. J. Doe left."
-    assert [said[a:b] for a, b in extract.spans(said)] == ["Acme Inc. rose 5.5%.", "It grew! e.g. this", "Point one. next", "U.S. sales fell.", "J. Doe left."]
-    assert extract.spans(None) == extract.spans("") == []
+    page = "<!-- <p>no</p> --><script>if (a<b) no()</script><p title='a > b'>A &amp; B</p><ix:header/>C<br/>D<span hidden style=\"x;display:NONE\">no<br>no</span>E<title>no"
+    assert [x for x in extract.raw_lines(page).split("\n") if x] == ["A & B", "C", "DE"]
+
+
+SAID = [
+    ("Acme Inc. rose 5.5%. It grew! e.g. this\n• Point one. next\nU.S. sales fell. J. Doe left.", ["Acme Inc. rose 5.5%.", "It grew! e.g. this", "Point one. next", "U.S. sales fell.", "J. Doe left."]),
+    ('He said "stop." Then left.', ['He said "stop."', "Then left."]), ("", []), (None, []), ("a.  b. C\n\n - D", ["a.  b.", "C", " - D"]), ("One?) Two", ["One?)", "Two"]), ("日本。 é. Über", ["日本。 é.", "Über"]),
+]
+
+
+def test_sentences(spark):
+    rows = spark.createDataFrame([(str(i), t) for i, (t, _) in enumerate(SAID)], "accession string, text string")
+    found = candidates.sentences(rows).collect()
+    for i, (text, want) in enumerate(SAID):
+        own = sorted((r.sent_no, r.char_start, r.char_end, r.sentence) for r in found if r.accession == str(i))
+        assert [s for *_, s in own] == want and all((text or "")[a:b] == s for _, a, b, s in own)
+        assert [n for n, *_ in own] == list(range(len(own)))

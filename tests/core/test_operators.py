@@ -2,13 +2,11 @@ import random
 from datetime import date, timedelta
 
 import pytest
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from pledgewise.dims import Config
-from pledgewise.operators import candidates, dedupe, review
+from pledgewise.operators import candidates, dedupe, joins, orderstats, review
 from pledgewise.operators.joins import interval_join, replace_scope
 from pledgewise.plans.substrate import Tables
 from pledgewise.sources import filings, records
@@ -124,17 +122,87 @@ def test_stream_equals_batch(spark):
     assert a == b and a
 
 
-@settings(max_examples=30, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.text(alphabet="ab.!? \n•U1\"", max_size=60))
-def test_spans_hold_all_words(said):
-    from pledgewise.functions.extract import spans
-
-    found = spans(said)
-    assert all(a < b for a, b in found) and all(x[1] <= y[0] for x, y in zip(found, found[1:], strict=False))
-    left = list(said)
-    for a, b in found:
-        left[a:b] = [" "] * (b - a)
-    assert not set("".join(left)) & set("abU1")
+def test_sentences_hold_all_words(spark):
+    """Random texts: spans are ordered, verbatim, and leave nothing but spaces, line ends and bullets out."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choices(list("ab.!? \n•U1\"") + ["Inc. ", "e.g. "], k=rng.randint(0, 40))) for _ in range(300)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "accession int, text string")
+    found = {}
+    for r in candidates.sentences(rows).collect():
+        found.setdefault(r.accession, []).append((r.char_start, r.char_end, r.sentence))
+    for i, said in enumerate(texts):
+        spans = sorted(found.get(i, []))
+        assert all(said[a:b] == s and a < b for a, b, s in spans) and all(x[1] <= y[0] for x, y in zip(spans, spans[1:], strict=False))
+        left = list(said)
+        for a, b, _ in spans:
+            left[a:b] = [" "] * (b - a)
+        assert not set("".join(left)) & set("abU1IncegI")
+
+
+@pytest.mark.parametrize("same_day", [False, True])
+def test_next_rows_is_brute_force(spark, same_day):
+    rng, day = random.Random(4), date(2020, 1, 1)
+    left = [(i, rng.choice("ab"), rng.choice([None, day + timedelta(rng.randrange(300))])) for i in range(120)]
+    right = [(f"r{i:03}", rng.choice("abc"), rng.choice([None, day + timedelta(rng.randrange(300))])) for i in range(90)]
+    a, b = spark.createDataFrame(left, "i int, k string, at date"), spark.createDataFrame(right, "j string, k string, day date")
+    got = {(r.i, r.rank, r.j) for r in joins.next_rows(a, b, ["k"], "at", "day", "j", 3, same_day).collect()}
+    want = set()
+    for i, k, at in left:
+        later = sorted((d, j) for j, q, d in right if q == k and d and at and (d >= at if same_day else d > at))
+        want |= {(i, n, j) for n, (_, j) in enumerate(later[:3], 1)}
+    assert got == want
+    counts = {r.i: r.n for r in joins.counted_before(a, b, ["k"], "at", "day", "n", same_day).collect()}
+    assert counts == {i: sum(1 for _, q, d in right if q == k and d and at and (d <= at if same_day else d < at)) for i, k, at in left}
+
+
+def test_ranked_in_parts(spark):
+    rng = random.Random(6)
+    rows = [(i, rng.choice("ab"), rng.randrange(40), rng.random()) for i in range(200)]
+    df = joins.ranked_in_parts(spark.createDataFrame(rows, "i int, k string, day int, x double"), ["k"], [F.floor(F.col("day") / 10)], [F.col("day"), F.col("x")], "n")
+    for key in "ab":
+        own = sorted((d, x, i) for i, k, d, x in rows if k == key)
+        assert {r.i: r.n for r in df.where(F.col("k") == key).collect()} == {i: n for n, (_, _, i) in enumerate(own, 1)}
+
+
+def test_value_at(spark, monkeypatch):
+    """An outlier puts nearly all values in one span, which is narrowed until few are left."""
+    monkeypatch.setattr(orderstats, "FEW", 5)
+    rng = random.Random(7)
+    values = [(rng.choice([rng.random(), rng.random() * 1e-6, 0.25]), rng.randint(1, 3)) for _ in range(300)] + [(1e12, 1), (-1e9, 2)]
+    df = spark.createDataFrame(values, "v double, n long").cache()
+    flat = sorted(v for v, n in values for _ in range(n))
+    for at in (0, 1, 2, 50, 300, len(flat) - 2, len(flat) - 1):
+        assert orderstats.value_at(df, "v", "n", at) == flat[at]
+    assert orderstats.value_at(df, "v", "n", len(flat)) is None and orderstats.value_at(df.where("false"), "v", "n", 0) is None
+
+
+def test_blocks_are_brute_force(spark):
+    rng, config = random.Random(3), Config(block_lines=6)
+    docs = [[rng.choice([None] * 5 + ["heading", "end-heading", "gap"]) for _ in range(rng.randint(0, 40))] for _ in range(80)]
+    rows = spark.createDataFrame([(d, n, s) for d, stops in enumerate(docs) for n, s in enumerate(stops)], "accession int, line_no int, stop string")
+    got = {(r.accession, r.heading_no, r.end_no, r.reason) for r in candidates.block_lines(rows, config).where("line_no = heading_no").collect()}
+    members = {(r.accession, r.line_no, r.heading_no) for r in candidates.block_lines(rows, config).where("heading_no is not null").collect()}
+    want, inside = set(), set()
+    for d, stops in enumerate(docs):
+        for h in (n for n, s in enumerate(stops) if s == "heading"):
+            following = next((n for n in range(h + 1, len(stops)) if stops[n]), None)
+            most = h + config.block_lines + 1
+            end = min(len(stops) if following is None else following, most, len(stops))
+            reason = "max" if most < len(stops) and most <= (len(stops) if following is None else following) else stops[following] if following is not None else "eof"
+            if end > h + 1:
+                want.add((d, h, end, reason))
+                inside |= {(d, n, h) for n in range(h, end)}
+    assert got == want and members == inside
+
+
+def test_merged_tables(spark, tmp_path):
+    """Batches replace the rows of their keys; a batch that runs twice changes nothing."""
+    table, schema = f"{tmp_path}/t", "id long, v string"
+    for number, rows in enumerate([[(1, "a"), (2, "a")], [(2, "b"), (3, "b"), (3, "c")], [(1, "d")]]):
+        for _ in range(2):
+            incremental.merge_batches(table, ["id"])(spark.createDataFrame(rows, schema), number)
+    now = incremental.merged(spark, table, spark.createDataFrame([], schema).schema)
+    assert sorted(map(tuple, now.collect())) == [(1, "d"), (2, "b"), (3, "b"), (3, "c")]
 
 
 def test_entry(spark):
