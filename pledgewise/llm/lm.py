@@ -295,7 +295,7 @@ def train(docs: DataFrame, vocab: Vocabulary, shard_tokens: int = SHARD_TOKENS,
                 yield from fitted.rows(seen)
 
         columns = ", ".join(f"{v} double" for v in VALUES)
-        spread = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "key", "ids").select("shard", "ids")
+        spread = dealt.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "key", "ids").select("shard", "ids")
         fitted = spread.mapInArrow(run, f"name string, at int, seen double, {columns}")
         mean = fitted.groupBy("name", "at").agg(*[(F.sum(F.col(v) * F.col("seen")) / F.sum("seen")).alias(v) for v in VALUES])
         model.take(mean.collect())
@@ -307,7 +307,8 @@ def _score(sent) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, model, log_sum = sent.value
-        output = Outputs(vocab.words[: vocab.n_model])
+        outside = Outputs([])
+        own_of = np.array([i + FIRST if i < vocab.n_model else ending(w) for i, w in enumerate(vocab.words)] + [END], np.int64)
         get, begin = vocab.index().get, vocab.outputs
         logs, log_mass = np.log10(vocab.counts + 0.5), np.log10(vocab.mass())
         log_end, per_token = math.log10(vocab.n_docs + 0.5), math.log10(vocab.total + 0.5 * (vocab.distinct + 1))
@@ -315,12 +316,13 @@ def _score(sent) -> Callable:
             n, known, base, score, word, count, owner, ids = [], [], [], [], [], [], [], []
             for row, text in enumerate(batch.column("text").to_pylist()):
                 words = tokens(text)
-                place = np.array([get(w, -1) for w in words], np.int64)
-                rare = Counter([w for w, p in zip(words, place.tolist(), strict=True) if p < 0])
+                place = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+                own, unseen = own_of[place], np.flatnonzero(place < 0).tolist()
+                own[unseen] = [outside[words[i]] for i in unseen]
+                rare = Counter([words[i] for i in unseen])
                 word += [w.decode() for w in rare]
                 count += rare.values()
                 owner += [row] * len(rare)
-                own = np.fromiter(map(output.__getitem__, words), np.int64, len(words))
                 ids.append(np.append(own, END))
                 seen = logs[place[place >= 0]]
                 n.append(len(words) + 1)
