@@ -1,17 +1,16 @@
 """Substring deduplication by level-wise doubling.
 
-To find the runs of 13 words that start in an earlier document too, runs of four words are looked at first; only where
-those repeat are they extended to eight, and only where those repeat to thirteen (a level is at most twice the one
-before).  A long window can repeat only if every shorter one inside it does, so one shorter window stands for it: the one
+To find the runs of 13 words that start in an earlier document too, runs of seven words are looked at first, and only where
+those repeat are they extended to thirteen; longer windows have more levels, each at most twice the one before.  A long window can repeat only if every shorter one inside it does, so one shorter window stands for it: the one
 with the least hash, which equal windows choose alike wherever they are.  Neighbouring windows mostly share it, so a level
 hands on about one row for five words, and later levels see repeated text alone.  The search ends when no candidates survive
 or the full length is reached.
 
 Shorter runs are keyed by a 64-bit hash of the word sequence, which may pass a run on for nothing but never miss one; the full
-windows are keyed by two, so that unequal ones do not meet at any scale.  Counting is pre-aggregated per task; the way back to the
-documents is an equi-join that adaptive execution can split.  What survives a level is written to the checkpoint folder, so no level is
-worked out twice and a lost executor costs one level.  The first level reads documents where they lie; later levels read those with
-survivors alone, which meet by broadcast where survivors are proven few, else by a shuffle.  Exact copies of a
+windows are keyed by 96 bits, so that unequal ones do not meet at any scale.  Counting is pre-aggregated per task; the way back to the
+documents is an equi-join that adaptive execution can split.  What survives a level is written to the checkpoint folder, so no level but
+the last is worked out twice, and a lost executor costs one level.  The first level reads documents where they lie.  For the last
+level and the removal texts are dealt by document once, in one exchange that both use; survivors that are proven few are broadcast.  Exact copies of a
 text are found by digest beforehand, a digest that many share being spread by document: each of their windows starts in the least of them.
 
 Defined cases: null texts have no words; rows with a null id are never an earlier document and lose nothing; rows that share
@@ -39,7 +38,7 @@ SALTS, BROADCAST = 32, 1_000_000
 SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
-def levels(window: int, base: int = 4) -> list[int]:
+def levels(window: int, base: int = 7) -> list[int]:
     """Lengths that double from ``base`` and end at ``window``."""
     out = [min(base, window)]
     while out[-1] < window:
@@ -96,7 +95,7 @@ def _emit(length: int, below: int | None, window: int) -> Callable:
             at, value = standing_for(words, hashes, length, window)
             on = _survives(batch, words, hashes, at, below, window)
             second = words.windows(mix(hashes ^ SECOND), window)[1] if length == window else np.zeros(len(at), np.uint64)
-            rows, value, second = words.rows[at[on]], value[on], second[on]
+            rows, value, second = words.rows[at[on]], value[on], (second[on] >> np.uint64(32)).astype(np.uint32)
             change = np.ones(len(rows), bool)
             change[1:] = (rows[1:] != rows[:-1]) | (value[1:] != value[:-1])
             rows, value, second = rows[change], value[change], second[change]
@@ -104,7 +103,7 @@ def _emit(length: int, below: int | None, window: int) -> Callable:
             rows, value, second = rows[order], value[order], second[order]
             once = np.ones(len(rows), bool)
             once[1:] = (rows[1:] != rows[:-1]) | (value[1:] != value[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(value[once].view(np.int64)), pa.array(second[once].view(np.int64)), batch.column("doc_id").take(pa.array(rows[once]))], ["h", "g", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(value[once].view(np.int64)), pa.array(second[once].view(np.int32)), batch.column("doc_id").take(pa.array(rows[once]))], ["h", "g", "doc_id"])
 
     return run
 
@@ -140,7 +139,7 @@ def _small(table: DataFrame, numbers: int) -> DataFrame:
     return F.broadcast(table) if numbers <= BROADCAST else table
 
 
-def dedup_substrings(docs: DataFrame, window: int = 13, base: int = 4) -> DataFrame:
+def dedup_substrings(docs: DataFrame, window: int = 13, base: int = 7) -> DataFrame:
     """``doc_id, n_words, n_removed, text``: each document's words outside windows that start in a smaller doc_id too."""
     use_checkpoints(docs.sparkSession)
     docs = text_column(docs)
@@ -149,21 +148,32 @@ def dedup_substrings(docs: DataFrame, window: int = 13, base: int = 4) -> DataFr
     copies = _small(copies, 5 * copies.count())
     marked = named.withColumn("digest", F.unhex(F.sha2("text", 256))).join(copies, F.expr("doc_id = its_id and digest = its_digest"), "left")
     marked = marked.select("doc_id", "text", F.col("its_id").isNotNull().alias("copy"))
-    kept, below = None, None
-    for length in levels(window, base):
-        source = marked if kept is None else marked.join(kept, "doc_id")
-        rows = source.mapInArrow(_emit(length, below, window), "h long, g long, doc_id long")
-        repeated = rows.groupBy("h", "g").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").select("h", "g", "least")
-        back = rows.join(repeated, ["h", "g"])
-        kept = (back.where("doc_id > least") if length == window else back).groupBy("doc_id").agg(F.collect_set("h").alias("kept")).checkpoint()
+    kept, below, survivors = None, None, 1
+    *before, last = levels(window, base)
+    for length in before:
+        kept = repeated(marked if kept is None else marked.join(kept, "doc_id"), length, below, window).checkpoint()
         survivors = kept.agg(F.sum(F.size("kept"))).first()[0] or 0
         if not survivors:
             break
         kept, below = _small(kept, survivors), length
-    # without survivors only exact copies lose words; rows without an id lose none
-    found = marked.join(kept, "doc_id", "left").unionByName(docs.where("doc_id is null").withColumns({"copy": F.lit(False), "kept": F.lit(None).cast("array<long>")}))
+    nameless = docs.where("doc_id is null").withColumn("copy", F.lit(False))
+    if survivors:
+        dealt = marked.repartition("doc_id")
+        kept = repeated(dealt if kept is None else dealt.join(kept, "doc_id"), last, below, window)
+        marked = dealt.join(kept, "doc_id", "left")
+    else:  # only exact copies lose words
+        marked = marked.withColumn("kept", F.lit(None).cast("array<long>"))
+    found = marked.unionByName(nameless.withColumn("kept", F.lit(None).cast("array<long>")))  # rows without an id lose none
     return found.mapInArrow(_remove(window), "doc_id long, n_words long, n_removed long, text string")
 
 
+def repeated(source: DataFrame, length: int, below: int | None, window: int) -> DataFrame:
+    """``doc_id, kept``: hashes of a level that another document has too; of full windows, those that a smaller id has."""
+    rows = source.mapInArrow(_emit(length, below, window), "h long, g int, doc_id long")
+    many = rows.groupBy("h", "g").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").select("h", "g", "least")
+    back = rows.join(many, ["h", "g"])
+    return (back.where("doc_id > least") if length == window else back).groupBy("doc_id").agg(F.collect_set("h").alias("kept"))
+
+
 def digest_rows(deduped: DataFrame) -> DataFrame:
     return deduped.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))

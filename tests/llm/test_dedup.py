@@ -96,8 +96,21 @@ def test_substrings(docs, docs_df, empty_df, window):
     assert substrings.dedup_substrings(empty_df).count() == 0
 
 
+def test_substrings_over_more_levels(docs, docs_df):
+    out = substrings.digest_rows(substrings.dedup_substrings(docs_df, 13, 3))
+    assert rows(out, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(brute.substrings(docs, 13), key=repr)
+
+
+def test_substrings_without_repeats(spark):
+    """The search ends at its first level; only the exact copy loses words."""
+    texts = [" ".join(f"{a}{k}" for k in range(30)) for a in "abc"]
+    docs = [*enumerate(texts), (7, texts[1]), (None, texts[2]), (9, None)]
+    out = substrings.digest_rows(substrings.dedup_substrings(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert rows(out, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(brute.substrings(docs), key=repr)
+
+
 def test_levels():
-    assert substrings.levels(13) == [4, 8, 13] and substrings.levels(3) == [3] and substrings.levels(32) == [4, 8, 16, 32]
+    assert substrings.levels(13) == [7, 13] and substrings.levels(3) == [3] and substrings.levels(32, 4) == [4, 8, 16, 32]
 
 
 def test_media(docs, docs_df, empty_df):
