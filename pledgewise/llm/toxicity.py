@@ -4,7 +4,8 @@ A word is the mean of the vectors of its character n-grams and of itself; a text
 its distinct words, weighted by the roots of their counts; a linear softmax
 reads the text.  Vectors and softmax are trained together by gradient descent in numpy on a bounded sample of labelled
 rows (a number of rows of each class, of at most ``max_chars`` characters, the least by hash of the id), so a misspelling that was
-never seen is scored by the n-grams it shares with words that were.
+never seen is scored by the n-grams it shares with words that were.  N-grams of very few texts keep no vector: fewer than one in
+500 of the sample, and at most fewer than eight, so that a small sample is learned from whole.
 
 As the softmax is linear, a word adds a fixed number to a text's log-odds: executors work that number out once per distinct
 word and keep it in a bounded table.  Scoring is one pass without shuffles over whole texts.
@@ -71,8 +72,9 @@ class Bag:
         self.softmax = rng.normal(0, 0.3, (DIM, 2)).astype(np.float32)
         self.bias = np.zeros(2, np.float32)
 
-    def fit(self, texts: list[str], labels: np.ndarray, prior: float, steps: int = 60, rate: float = 0.05, decay: float = 1e-4, least_docs: int = 8) -> None:
+    def fit(self, texts: list[str], labels: np.ndarray, prior: float, steps: int = 60, rate: float = 0.05, decay: float = 1e-4, least_docs: int | None = None) -> None:
         """Full-batch Adam steps; n-grams of fewer than ``least_docs`` texts keep no vector."""
+        least_docs = max(1, min(8, len(texts) // 500)) if least_docs is None else least_docs
         place: dict[bytes, int] = {}
         word, doc, weight = [], [], []
         for d, text in enumerate(texts):

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pledgewise.llm import language, lm, pieces, quality, sentencepieces, toxicity
@@ -51,6 +52,77 @@ def test_toxicity(labelled):
     assert max(r.score for r in toxicity.score_texts(docs, labels.where("false")).collect()) < 1e-6
 
 
+def test_toxicity_against_a_plain_score(labelled):
+    """Scores of the operator from its own model, text by text and word by word."""
+    rows, docs, labels = labelled
+    model, _ = toxicity.train(docs, labels, toxicity.F.expr("crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2"))
+    got = {r.doc_id: r.score for r in toxicity.score_texts(docs, labels).collect()}
+    for i, text, _, _ in rows[:20]:
+        counts = Counter(text.lower().split())
+        bag, weight = np.zeros(toxicity.DIM), sum(math.sqrt(n) for n in counts.values())
+        for word, n in counts.items():
+            buckets, _ = toxicity.subword_buckets([toxicity.normal(word.encode())], toxicity.BUCKETS)
+            bag += math.sqrt(n) / weight * np.mean([model.vectors[b] for b in buckets], axis=0)
+        logits = bag * toxicity.SCALE @ model.softmax + model.bias
+        assert got[i] == pytest.approx(np.exp(logits[1]) / np.exp(logits).sum(), abs=1e-4)
+
+
+def test_toxicity_learns_from_few_rows(spark):
+    """Words of five toxic rows alone are learned, and misspellings share their n-grams."""
+    rng = random.Random(3)
+    plain = ["tano", "melri", "dosku", "kuri", "nota", "rimel"]
+    docs = [(i, " ".join(rng.choices(plain, k=30) + (["grotbag"] * 3 if i % 8 == 0 else []))) for i in range(40)]
+    docs += [(900, " ".join(plain * 4)), (901, " ".join(plain * 4 + ["grotbags"] * 3))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 8 == 0)) for i in range(40)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score_texts(df, labels, held_out=toxicity.F.col("doc_id") >= 900).collect()}
+    assert got[901] > 0.5 > 0.3 > got[900]
+
+
+def test_clashing_columns_and_repeated_rows(spark, labelled):
+    """Other columns with the operators' own names change nothing, and each of two equal rows gets a row."""
+    _, docs, labels = labelled
+    odd = docs.limit(80).selectExpr("*", "text as score", "doc_id as label", "1 as held_out", "'x' as declared", "'y' as words", "2 as h", "3 as size")
+    for run in (toxicity.score_texts, quality.score_texts):
+        one = sorted((r.doc_id, r.score) for r in run(docs.limit(80), labels).collect())
+        two = sorted((r.doc_id, r.score) for r in run(odd.union(odd), labels).collect())
+        assert [x for x, _ in two] == sorted([i for i, _ in one] * 2)
+    assert language.identify(odd.union(odd)).count() == 160
+
+
+def test_one_long_text(spark):
+    """More than two slices of text in one row, for every operator that scores or encodes."""
+    words = [f"w{i % 977}" for i in range(420_000)]
+    long = " ".join(words)
+    assert len(long) > 2 << 20
+    docs = spark.createDataFrame([(1, long, "en", len(long)), (2, "w1 w2", "en", 5), (3, None, "en", None)], "doc_id long, text string, lang string, n_chars long")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
+    assert toxicity.score_texts(docs, labels).count() == quality.score_texts(docs, labels).count() == language.identify(docs).count() == 3
+    got = {r.doc_id: r for r in lm.score_texts(docs, n_hot=100, n_model=50).collect()}
+    assert got[1].n_tokens == 420_001 and got[2].n_tokens == 3 and got[3].n_tokens == 1
+    assert sentencepieces.encode_and_check(docs).where("not round_trip").count() == 0
+
+
+def test_statistics_of_texts():
+    """The structure features against plain counts."""
+    texts = ["Ab 1!|é\nAb Ab", "", None, "x" * 10, "A1 b2\n\nA1"]
+    found = quality.features(pa.array(texts, pa.string()), np.array([np.nan, 7, np.nan, 5, 9.0]))[3]
+    for row, (text, declared) in enumerate(zip(texts, [None, 7, None, 5, 9], strict=True)):
+        raw, words = (text or "").encode(), (text or "").lower().split()
+        size, n = max(len(raw), 1), max(len(words), 1)
+
+        def share(test, raw=raw, size=size):
+            return sum(map(test, raw)) / size
+
+        symbol = share(lambda b: 32 < b < 127 and not chr(b).isalnum())
+        want = [
+            share(lambda b: 65 <= b <= 90), share(lambda b: 48 <= b <= 57), symbol, share(lambda b: b == 124), share(lambda b: b > 127), share(lambda b: b == 32), math.log1p(raw.count(10)),
+            len(set(words)) / n, sum(a == b for a, b in zip(words, words[1:], strict=False)) / n, sum(len(w.encode()) for w in words) / n, math.log1p(len(raw)), math.log1p(len(words)),
+            math.log1p(len(text or "") if declared is None else declared) - math.log1p(len(text or "")),
+        ]
+        assert np.allclose(found[row], want), quality.STATISTICS
+
+
 def test_quality(labelled):
     rows, docs, labels = labelled
     got = {r.doc_id: r for r in quality.score_texts(docs, labels).collect()}
