@@ -64,6 +64,15 @@ def ranked_in_parts(df: DataFrame, keys: list[str], part: list[Column], order: l
     return local.join(sizes, [*keys, *names]).withColumn(name, F.col(name) + F.col("before__")).drop("before__", *names)
 
 
+def running_sum(df: DataFrame, value: Column, part: Column, order: list[Column], name: str) -> DataFrame:
+    """The sum of ``value`` over all rows up to each in the order of ``part`` and then ``order``, worked out part by part."""
+    df = df.withColumns({"part__": part, "value__": value})
+    sums = df.groupBy("part__").agg(F.sum("value__").alias("sum__"))  # parts alone meet in one place
+    sums = sums.withColumn("before__", F.coalesce(F.sum("sum__").over(Window.orderBy("part__").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("sum__")
+    local = F.sum("value__").over(Window.partitionBy("part__").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return df.withColumn(name, local).join(sums, "part__").withColumn(name, F.col(name) + F.col("before__")).drop("part__", "value__", "before__")
+
+
 def counted_before(left: DataFrame, right: DataFrame, keys: list[str], at: str, right_at: str, name: str, same_day: bool = True) -> DataFrame:
     """Adds to ``left`` how many rows of ``right`` with its keys lie before ``at``, those of the same day included if ``same_day``.
 

@@ -201,17 +201,6 @@ def cost_projection(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    "a17_verdicts",
-    f"""WITH {STATEMENTS}, v AS (SELECT CASE WHEN part % 5 = 0 THEN 'no' ELSE 'yes' END AS verdict, CASE WHEN supp % 6 = 0 THEN 'n' ELSE 'y' END AS decision FROM statements)
-        SELECT verdict, count(*) FILTER (decision = 'y') AS approved, count(*) FILTER (decision = 'n') AS rejected, round(count(*) FILTER (decision = 'n') / count(*), 9) AS rejected_share FROM v GROUP BY verdict""",
-)
-def verdicts(t: Tables) -> DataFrame:
-    v = t.statements.select(F.when(F.col("part") % 5 == 0, "no").otherwise("yes").alias("verdict"), F.when(F.col("supp") % 6 == 0, "n").otherwise("y").alias("decision"))
-    rejected = F.count_if(F.col("decision") == "n")
-    return v.groupBy("verdict").agg(F.count_if(F.col("decision") == "y").alias("approved"), rejected.alias("rejected"), F.round(rejected / F.count("*"), 9).alias("rejected_share"))
-
-
 @query(
     "a19_hand_verified",
     f"WITH {STATEMENTS} SELECT company, round(avg((supp % 9 = 0)::INT), 9) AS share, avg((supp % 9 = 0)::INT) >= 0.1 AS enough FROM statements WHERE reviewed GROUP BY company",
@@ -274,12 +263,6 @@ def review_tiers(t: Tables) -> DataFrame:
     return t.resolved.groupBy("company", tier.alias("tier")).agg(F.count("*").alias("n"))
 
 
-@query("a25_no_outcome", f"WITH {RESOLVED} SELECT cik, CASE WHEN period_close > stated_at + 300 THEN 'period not closed' ELSE 'no later release' END AS reason, count(*) AS n FROM resolved WHERE reported_value IS NULL GROUP BY ALL")
-def no_outcome(t: Tables) -> DataFrame:
-    reason = F.when(F.col("period_close") > F.date_add("stated_at", 300), "period not closed").otherwise("no later release")
-    return t.resolved.where("reported_value is null").groupBy("cik", reason.alias("reason")).agg(F.count("*").alias("n"))
-
-
 @query("a26_filing_span", f"WITH {STATEMENTS} SELECT min(least(stated_at, reported_at)) AS first_filed, max(greatest(stated_at, reported_at)) AS last_filed FROM statements")
 def filing_span(t: Tables) -> DataFrame:
     return t.statements.select(F.explode(F.array("stated_at", "reported_at")).alias("filed_at")).agg(F.min("filed_at").alias("first_filed"), F.max("filed_at").alias("last_filed"))
@@ -295,21 +278,6 @@ def latest_answer(t: Tables) -> DataFrame:
     return t.read("events").groupBy("user_id").agg(best.alias("b")).select("user_id", "b.event_id", "b.event_type")
 
 
-@query("w9_prompt_dedup", "SELECT conv_id, turn, n > 1 AS suppressed FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY sha256(text) ORDER BY conv_id, turn) AS n FROM conversations)")
-def prompt_dedup(t: Tables) -> DataFrame:
-    w = Window.partitionBy(F.sha2("text", 256)).orderBy("conv_id", "turn")
-    return t.read("conversations").select("conv_id", "turn", (F.row_number().over(w) > 1).alias("suppressed"))
-
-
-@query(
-    "w11_spend_cap",
-    "SELECT event_id, upto FROM (SELECT event_id, user_id, sum(round(value * 100)::BIGINT) OVER (PARTITION BY user_id ORDER BY event_id)::BIGINT AS upto FROM events) WHERE upto <= 5000",
-)
-def spend_cap(t: Tables) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(Window.unboundedPreceding, 0)
-    return t.read("events").select("event_id", F.sum(F.round(F.col("value") * 100).cast("long")).over(w).alias("upto")).where("upto <= 5000")
-
-
 @query(
     "w12_revisions",
     f"""WITH {STATEMENTS} SELECT record_id, target_low - lag(target_low) OVER w AS low_change, target_high - lag(target_high) OVER w AS high_change,

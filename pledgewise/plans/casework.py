@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..dims import Config
-from ..functions import extract, periods, titles
+from ..functions import extract, periods, suggest, titles
 from ..functions import guards as G
 from ..functions import text as T
 from .registry import query
@@ -509,3 +509,21 @@ def headings() -> Column:
 def header_confirms() -> Column:
     part = F.split(c("extra"), ";")
     return G.header_confirms(part[0], c("text"), part[1])
+
+
+@cased(
+    "m8_suggested_notes",
+    [
+        Case("x", "'false alarm: period from header column 2'", extra="wrong_period;FY2024;Q1 2024 | Full Year 2024;"), Case("x", "'false alarm: period from header column 1'", extra="wrong_period;Q1 FY2024;Q1 2024 Full Year 2024;"),
+        Case("x", "'CHECK: period'", extra="wrong_period;FY2025;Q1 2024 | Full Year 2024;"), Case("${a}, plus or minus ${a}", "'false alarm: ± expands to 0-' || 2 * a", low=0.0, high=2.0, point=True, extra="wrong_value;FY2024;;"),
+        Case("${a}, plus or minus $1", "'CHECK: value'", low=0.0, high=2.0, point=True, extra="wrong_value;FY2024;;"), Case("${a}", "'CHECK: value'", low=1.0, high=1.0, point=True, extra="wrong_value;FY2024;;"),
+        Case("x", "'false alarm: metric in heading'", metric="EPS GAAP", extra="wrong_metric;FY2024;;GAAP EPS guidance"), Case("x", "'CHECK: metric'", metric="EPS GAAP", extra="wrong_metric;FY2024;;EPS guidance"),
+        Case("We expect Q3 FY2024 revenue of ${a} million.", "'false alarm: forward verb, period, number present'", extra="not_guidance;FY2024;;"), Case("We expect revenue of ${a} million.", "'CHECK: guidance'", extra="not_guidance;FY2024;;"),
+        Case("x", "'CHECK: wrong_sign'", extra="wrong_sign;FY2024;;"), Case("x", "'CHECK: other'", extra=";FY2024;;"), Case("x", "'CHECK: Q4 FY2020 closed before this was stated; likely Q1 FY2021'", extra="early;Q4 FY2020;;"),
+        Case("x", "'CHECK: period closes before stated'", extra="early;H1 2020;;"),
+    ],
+    note="VARCHAR",
+)
+def suggested_notes() -> Column:
+    part = F.split(c("extra"), ";")
+    return suggest.suggested_note(part[0], part[0] == "early", part[1], part[2], c("text"), c("low"), c("high"), c("metric"), part[3], CONFIG)

@@ -114,12 +114,6 @@ def plausible(t: Tables) -> DataFrame:
     return t.statements.where("reported_value is not null").select("record_id", found.alias("plausible"))
 
 
-@query("g28_review_filters", f"WITH {STATEMENTS} SELECT company, count(*) FILTER (reviewed AND part % 5 = 0) AS verify_no, count(*) FILTER (NOT reviewed AND line >= 5) AS slow, count(*) FILTER (acknowledged_at IS NOT NULL AND withdrawn_at IS NULL) AS ack_pending FROM statements GROUP BY company")
-def review_filters(t: Tables) -> DataFrame:
-    named = {"verify_no": "reviewed and part % 5 = 0", "slow": "not reviewed and line >= 5", "ack_pending": "acknowledged_at is not null and withdrawn_at is null"}
-    return t.statements.groupBy("company").agg(*[F.count_if(F.expr(f)).alias(name) for name, f in named.items()])
-
-
 @query("w4_prefer_prose", f"WITH {SENTENCES} SELECT record_id FROM (SELECT *, part % 8 <> 7 AS prose, bool_or(part % 8 <> 7) OVER (PARTITION BY accession) AS has_prose FROM sentences) WHERE prose OR NOT has_prose")
 def prefer_prose(t: Tables) -> DataFrame:
     """Table rows of a release go when it has a prose line."""

@@ -7,17 +7,17 @@ from pyspark.sql import functions as F
 
 from ..dims import Config
 from ..functions import guards as G
-from ..functions import periods, titles
+from ..functions import ids, periods, rubric, titles
 from ..functions import text as T
 from ..operators import candidates as C
 from ..operators import review, validate
-from ..operators.joins import counted_before, first_per, next_rows, ranked_in_parts
+from ..operators.joins import counted_before, first_per, next_rows, ranked_in_parts, running_sum
 from ..operators.orderstats import value_at
 from ..sources import records as R
 from .corpus import pages_with_guidance, scratch
 from .joining import TERMS, about_metrics
 from .registry import query
-from .substrate import FILINGS, RELEASES, RESOLVED, SENTENCES, STATEMENTS, Tables
+from .substrate import FILINGS, RELEASES, RESOLVED, SENTENCES, STATEMENTS, Tables, sql_period_end
 
 CONFIG = Config()
 LAST_DAY = "2001-06-30"
@@ -127,7 +127,8 @@ def withdrawal_search(t: Tables) -> DataFrame:
     drafts = t.resolved.select("record_id", "cik", "stated_at", "period_close", F.explode(F.array(F.lit("any"), "target_period")).alias("about")).where("stated_at < period_close")
     keys = ["cik", "about"]
     counted = counted_before(counted_before(drafts, lines, keys, "stated_at", "filed_at", "before"), lines, keys, "period_close", "filed_at", "upto").where("upto > before")
-    first = next_rows(counted, lines, keys, "stated_at", "filed_at", "accession", 1)
+    numbered = ranked_in_parts(lines, keys, [F.trunc("filed_at", "MM")], [F.col("filed_at"), F.col("accession")], "place")
+    first = counted.withColumn("place", F.col("before") + 1).join(numbered, [*keys, "place"])
     return first.groupBy("record_id").agg(F.min("filed_at").alias("withdrawn_on"), F.sum(F.col("upto") - F.col("before")).alias("candidates"))
 
 
@@ -347,3 +348,124 @@ def guarded_write(t: Tables) -> DataFrame:
     if written != (True, False):
         raise ValueError("an empty table was written")
     return t.spark.read.parquet(path).groupBy(F.col("o_orderpriority").alias("priority")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "a25_no_outcome",
+    _J2 + f""", r AS (SELECT DISTINCT record_id FROM m), o AS (SELECT s.*, {sql_period_end('fiscal_year', 'quarter')} AS closes FROM statements s WHERE reported_value IS NULL)
+    SELECT cik, CASE WHEN closes > DATE '{LAST_DAY}' THEN 'period not closed' WHEN r.record_id IS NULL THEN 'no release reports the period' ELSE 'no line gives the value' END AS reason, count(*) AS n FROM o LEFT JOIN r USING (record_id) GROUP BY ALL""",
+)
+def no_outcome(t: Tables) -> DataFrame:
+    """Why rows have no outcome, counted for each company."""
+    rows = t.resolved.where("reported_value is null").select("record_id", "cik", "period_close")
+    found = first_reports(t).select("record_id", F.lit(True).alias("reported")).distinct()
+    reason = F.when(F.col("period_close") > F.lit(LAST_DAY).cast("date"), "period not closed").when(F.col("reported").isNull(), "no release reports the period").otherwise("no line gives the value")
+    return rows.join(found, "record_id", "left").groupBy("cik", reason.alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "g28_review_filters",
+    f"""WITH {RESOLVED}, q AS (SELECT company, reviewed AS approved, part % 6 = 0 AS noted, part % 7 = 0 AS conflict, acknowledged_at IS NOT NULL AS ack, supp % 8 = 0 AS change, part % 11 = 0 AS flag, line % 2 = 1 AS sentence, part % 5 AS v,
+            CASE WHEN above OR below THEN CASE WHEN above = higher_is_better THEN 'better' ELSE 'worse' END END AS d FROM resolved),
+        u AS (SELECT *, NOT approved AND (NOT noted OR change OR ack) AS unreviewed FROM q),
+        f AS (SELECT *, unreviewed AND NOT (noted OR change OR ack OR conflict OR flag) AND sentence AND v NOT IN (0, 1) AND d IS DISTINCT FROM 'worse' AS fast FROM u)
+        SELECT company, count(*) FILTER (v = 0) AS verify_no, count(*) FILTER (NOT noted) AS no_note, count(*) FILTER (conflict) AS conflict, count(*) FILTER (ack) AS ack_pending, count(*) FILTER (change) AS change_pending,
+               count(*) FILTER (fast) AS fast, count(*) FILTER (unreviewed AND NOT fast) AS slow, count(*) FILTER (v = 0 AND conflict) AS both FROM f GROUP BY company""",
+)
+def review_filters(t: Tables) -> DataFrame:
+    """How many rows each named filter keeps, and two of them together."""
+    part = F.col("part")
+    low, high, value = F.col("target_low"), F.col("target_high"), F.col("reported_value")
+    queue = t.statements.select(
+        "company",
+        F.col("reviewed").alias("approved"),
+        F.when(part % 6 == 0, "seen").otherwise("").alias("note"),
+        (part % 7 == 0).alias("conflict"),
+        F.col("acknowledged_at").isNotNull().alias("ack_pending"),
+        (F.col("supp") % 8 == 0).alias("change_pending"),
+        F.lit(False).alias("empty_block"),
+        F.when(part % 11 == 0, "period").otherwise("").alias("flag_note"),
+        F.when(F.col("line") % 2 == 1, "sentence").otherwise("section").alias("capture_method"),
+        F.when(part % 5 == 0, "no").when(part % 5 != 1, "yes").alias("verify"),
+        rubric.direction(low, high, value, F.col("higher_is_better")).alias("direction"),
+        F.lit(True).alias("polarity_known"),
+        "reported_value",
+    )
+    named = review.filters()
+    counts = [F.count_if(p).alias(name.replace("-", "_")) for name, p in named.items()]
+    return queue.groupBy("company").agg(*counts, F.count_if(named["verify-no"] & named["conflict"]).alias("both"))
+
+
+@query(
+    "a17_verdicts",
+    f"""WITH {STATEMENTS}, v AS (SELECT CASE WHEN part % 5 = 0 THEN 'no' WHEN part % 5 = 1 THEN 'unsure' ELSE 'yes' END AS verdict, (ARRAY['wrong_period', 'wrong_value', 'other'])[1 + part % 3] AS class, supp % 6 = 0 AS rejected FROM statements),
+        s AS (SELECT count(*) FILTER (verdict = 'no' AND rejected) AS hit, count(*) FILTER (verdict = 'no') AS said, count(*) FILTER (rejected) AS were FROM v)
+        SELECT verdict, CASE WHEN verdict = 'no' THEN class END AS class, count(*) AS n, count(*) FILTER (rejected) AS rejected, round(any_value(hit / said), 9) AS precision_of_no, round(any_value(hit / were), 9) AS recall_of_no FROM v, s GROUP BY 1, 2""",
+)
+def verdicts(t: Tables) -> DataFrame:
+    """Verdicts by class against the reviewer's decisions, and precision and recall of "no" over all of them."""
+    part = F.col("part")
+    verdict = F.when(part % 5 == 0, "no").when(part % 5 == 1, "unsure").otherwise("yes")
+    kind = F.element_at(F.array(*[F.lit(x) for x in ("wrong_period", "wrong_value", "other")]), (part % 3 + 1).cast("int"))
+    v = t.statements.select(verdict.alias("verdict"), F.when(verdict == "no", kind).alias("class"), (F.col("supp") % 6 == 0).alias("no"))
+    counts = v.groupBy("verdict", "class").agg(F.count("*").alias("n"), F.count_if("no").alias("rejected"))
+    said = counts.agg(F.sum(F.when(F.col("verdict") == "no", F.col("rejected"))).alias("hit"), F.sum(F.when(F.col("verdict") == "no", F.col("n"))).alias("said"), F.sum("rejected").alias("were"))
+    both = counts.crossJoin(F.broadcast(said))  # one row
+    return both.select("verdict", "class", "n", "rejected", F.round(F.col("hit") / F.col("said"), 9).alias("precision_of_no"), F.round(F.col("hit") / F.col("were"), 9).alias("recall_of_no"))
+
+
+@query(
+    "t17_section_label",
+    r"""WITH c AS (SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN 'Section ' || role WHEN 1 THEN text || ' (in millions)' WHEN 2 THEN 'Item ' || turn ELSE text END AS line FROM conversations)
+       SELECT conv_id, turn, last(CASE WHEN len(regexp_extract_all(line, '[^ \t\n\x0B\f\r]+')) BETWEEN 1 AND 6 AND NOT regexp_matches(line, '[0-9]') AND NOT regexp_matches(line, '[.:]$') THEN line END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 25 PRECEDING AND 1 PRECEDING) AS label,
+              last(CASE WHEN regexp_matches(line, '(?i)\bin (millions|thousands|billions)\b') THEN substr(line, 1, 160) END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 40 PRECEDING AND CURRENT ROW) AS units FROM c""",
+)
+def section_label(t: Tables) -> DataFrame:
+    """The nearest label and note of units above each line; turns are given labels and notes of every kind."""
+    turn = F.col("turn") % 4
+    line = F.when(turn == 0, F.concat(F.lit("Section "), "role")).when(turn == 1, F.concat("text", F.lit(" (in millions)"))).when(turn == 2, F.concat(F.lit("Item "), F.col("turn").cast("string"))).otherwise(F.col("text"))
+    rows = t.read("conversations").select("conv_id", "turn", line.alias("line"))
+    return C.labelled(rows, CONFIG, ["conv_id"], "turn", "line").select("conv_id", "turn", "label", "units")
+
+
+@query("w9_prompt_dedup", "SELECT conv_id, turn, n > 1 AS suppressed FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY role, sha256(text) ORDER BY conv_id, turn) AS n FROM conversations)")
+def prompt_dedup(t: Tables) -> DataFrame:
+    """Prompts that the same source (here the role) has sent before; the first of each is found by partial aggregation."""
+    rows = t.read("conversations").select("conv_id", "turn", "role", F.sha2("text", 256).alias("prompt"))
+    first = rows.groupBy("role", "prompt").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
+    same = [F.col("r.role").eqNullSafe(F.col("f.role")), F.col("r.prompt").eqNullSafe(F.col("f.prompt"))]
+    return rows.alias("r").join(first.alias("f"), same).select("r.conv_id", "r.turn", (F.struct("r.conv_id", "r.turn") != F.col("first")).alias("suppressed"))
+
+
+@query("w11_spend_cap", "SELECT event_id, upto FROM (SELECT event_id, sum(round(value * 100)::BIGINT) OVER (ORDER BY event_id)::BIGINT AS upto FROM events) WHERE upto <= 500000")
+def spend_cap(t: Tables) -> DataFrame:
+    """The requests of a run before its spend would pass the cap, by a running sum in parts."""
+    rows = t.read("events").select("event_id", "value")
+    cents = F.round(F.col("value") * 100).cast("long")
+    return running_sum(rows, cents, F.floor(F.col("event_id") / 10_000), [F.col("event_id")], "upto").where("upto <= 500000").select("event_id", "upto")
+
+
+@query("j10_stale_flags", f"WITH {STATEMENTS}, f AS (SELECT DISTINCT accession, stated_at FROM statements WHERE part % 5 = 0) SELECT accession FROM f WHERE right(accession, 1) = '7' OR accession NOT IN (SELECT accession FROM statements WHERE part % 5 <> 0 AND supp % 2 = 0)")
+def stale_flags(t: Tables) -> DataFrame:
+    """Empty-block flags stay while touched, or while the block, found by its id worked out again, has no draft."""
+    def block() -> Column:
+        return ids.ulid(F.col("stated_at"), F.col("accession")).alias("block_id")
+
+    flags = t.statements.where("part % 5 = 0").select("accession", block(), (F.substring("accession", -1, 1) == "7").alias("touched")).distinct()
+    drafted = t.statements.where("part % 5 <> 0 and supp % 2 = 0").select(block()).distinct()
+    return flags.where("touched").unionByName(flags.where("not touched").join(drafted, "block_id", "left_anti")).select("accession")
+
+
+@query(
+    "j14_row_context",
+    rf"""WITH {SENTENCES}, d AS (SELECT record_id, replace(accession, '-', '') AS a, line FROM statements), x AS (SELECT replace(accession, '-', '') AS a, line, min(sentence) AS context FROM sentences
+        WHERE NOT regexp_matches(sentence, '(?i)\bQ[1-4]\b|\bFY ?[0-9]|fiscal (year )?[0-9]|full-year|[a-z]+ quarter|[1-4]Q[0-9]') GROUP BY 1, 2) SELECT d.record_id, x.context FROM d LEFT JOIN x USING (a, line)""",
+)
+def row_context(t: Tables) -> DataFrame:
+    """The candidate sentence of a draft, found by the filing and the place in its custom id, where the sentence names no period."""
+    own = t.statements.select("record_id", ids.custom_id(F.col("accession"), F.col("line"), F.lit("sentence")).alias("custom_id"))
+    part = F.split("custom_id", "_")
+    keyed = own.select("record_id", F.get(part, F.lit(0)).alias("filing"), F.get(part, F.lit(1)).cast("long").alias("place"))
+    bare = t.sentences.where(~F.col("sentence").rlike(r"(?i)\bQ[1-4]\b|\bFY ?\d|fiscal (?:year )?\d|full-year|[a-z]+ quarter|[1-4]Q\d"))
+    context = bare.groupBy(F.regexp_replace("accession", "-", "").alias("filing"), F.col("line").alias("place")).agg(F.min("sentence").alias("context"))
+    return keyed.join(context, ["filing", "place"], "left").select("record_id", "context")

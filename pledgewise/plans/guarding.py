@@ -66,25 +66,6 @@ def headings(t: Tables) -> DataFrame:
     return lines.groupBy("doc_id").agg(F.count_if(short).alias("short_lines"))
 
 
-@query(
-    "t17_section_label",
-    "SELECT conv_id, turn, last(CASE WHEN length(text) < 200 AND NOT regexp_matches(text, '[0-9]') THEN text END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 25 PRECEDING AND 1 PRECEDING) AS label, last(CASE WHEN role = 'user' THEN substr(text, 1, 160) END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 40 PRECEDING AND CURRENT ROW) AS note FROM conversations",
-)
-def section_label(t: Tables) -> DataFrame:
-    """The nearest label line before, and the nearest note up to and with the line."""
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    label = F.when((F.length("text") < 200) & ~F.col("text").rlike("[0-9]"), F.col("text"))
-    note = F.when(F.col("role") == "user", F.substring("text", 1, 160))
-    return t.read("conversations").select("conv_id", "turn", F.last(label, True).over(w.rowsBetween(-25, -1)).alias("label"), F.last(note, True).over(w.rowsBetween(-40, 0)).alias("note"))
-
-
-@query("j10_stale_flags", f"WITH {STATEMENTS} SELECT DISTINCT accession FROM statements WHERE part % 5 = 0 AND accession NOT IN (SELECT accession FROM statements WHERE part % 5 <> 0 AND supp % 2 = 0)")
-def stale_flags(t: Tables) -> DataFrame:
-    """Empty-block flags stay unless the block has a draft by now."""
-    flags = t.statements.where("part % 5 = 0").select("accession").distinct()
-    return flags.join(t.statements.where("part % 5 <> 0 and supp % 2 = 0").select("accession"), "accession", "left_anti")
-
-
 @query(
     "a21_outcome_audit",
     f"""WITH {RESOLVED} SELECT coalesce(company, 'TOTAL') AS company, count(*) FILTER (n > 0 AND NOT allowed) AS flagged, count(*) FILTER (n > 0 AND allowed) AS allowed, count(*) FILTER (n = 0) AS clean

@@ -112,13 +112,6 @@ def allowlist(t: Tables) -> DataFrame:
     return t.resolved.where("miss > 0.05").join(allowed, "record_id", "left").groupBy("company").agg(F.count_if(F.col("why").isNull()).alias("flagged"), F.count("why").alias("allowed"))
 
 
-@query("j14_row_context", f"WITH {SENTENCES} SELECT s.record_id, x.sentence AS context FROM statements s LEFT JOIN sentences x ON s.record_id = x.record_id AND NOT regexp_matches(lower(x.sentence), 'fy ?[0-9]{{2}}|[0-9]q[0-9]{{2}}|(19|20)[0-9]{{2}}')")
-def row_context(t: Tables) -> DataFrame:
-    """The sentence of a draft whose excerpt names no period."""
-    bare = t.sentences.where(~F.lower("sentence").rlike("fy ?[0-9]{2}|[0-9]q[0-9]{2}|(19|20)[0-9]{2}")).select("record_id", F.col("sentence").alias("context"))
-    return t.statements.select("record_id").join(bare, "record_id", "left")
-
-
 @query(
     "j15_decisions",
     f"""WITH {STATEMENTS}, d AS (SELECT CASE WHEN part % 10 = 0 THEN accession ELSE record_id END AS record_id, CASE WHEN supp % 5 = 0 THEN 'x' ELSE 'y' END AS decision, k * 1000 + supp AS seq
