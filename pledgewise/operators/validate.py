@@ -8,16 +8,36 @@ from pyspark.sql import functions as F
 from ..functions import rubric
 
 STATUSES = ("open", "met", "missed", "unresolved", "withdrawn")
-ACCESSION, SHA256, ULID = r"^\d{10}-\d{2}-\d{6}$", "^[0-9a-f]{64}$", "^[0-9A-HJKMNP-TV-Z]{26}$"
+ACCESSION = r"^\d{10}-\d{2}-\d{6}$"
+# What the columns of a record and its evidence look like, where a table has them.
+PATTERNS = {
+    "draft_id": "^[0-7][0-9A-HJKMNP-TV-Z]{25}$",
+    "cik": r"^\d{10}$",
+    "ticker": r"^[A-Z]{1,5}(?:[.-][A-Z])?$",
+    "content_sha256": "^[0-9a-f]{64}$",
+    "source_url": r"^https?://(?:www|efts)\.sec\.gov(?::\d+)?/",
+    "excerpt": r"^(?s).{1,400}$",
+    "filing_type": "^.",
+    "company": "^.",
+    "claim": "^.",
+}
 
 
 def _bad(check: str, when: Column, detail: Column) -> Column:
     return F.when(F.coalesce(when, F.lit(False)), F.struct(F.lit(check).alias("check"), detail.cast("string").alias("detail")))
 
 
+def schema_issues(records: DataFrame) -> list[Column]:
+    """Checks of the columns that ``records`` has of a record's schema: patterns, and an acknowledgement's day with its evidence."""
+    found = [_bad(name, ~F.coalesce(F.col(name), F.lit("")).rlike(pattern), F.col(name)) for name, pattern in PATTERNS.items() if name in records.columns]
+    if "acknowledgement_url" in records.columns:
+        found.append(_bad("acknowledgement", F.col("acknowledged_at").isNull() != F.col("acknowledgement_url").isNull(), F.col("acknowledgement_url")))
+    return found
+
+
 def issues(records: DataFrame) -> DataFrame:
     """``record_id, check, detail`` for ``record_id, accession, target_low, target_high, reported_value, stated_at, reported_at,
-    acknowledged_at, status, period_closed, withdrawn``; one pass without shuffles."""
+    acknowledged_at, status`` and the columns of ``PATTERNS`` that there are; one pass without shuffles."""
     low, high, value = F.col("target_low"), F.col("target_high"), F.col("reported_value")
     again = rubric.resolve(low, high, value, F.col("status") != "open", F.lit(True), F.col("status") == "withdrawn")
     found = [
@@ -26,11 +46,12 @@ def issues(records: DataFrame) -> DataFrame:
         _bad("status", ~F.col("status").isin(*STATUSES), F.col("status")),
         _bad("no target", low.isNull() & high.isNull(), F.lit("both bounds are empty")),
         _bad("reversed target", low > high, F.concat_ws(" > ", low.cast("int").cast("string"), high.cast("int").cast("string"))),
-        _bad("not finite", F.isnan(value) | (F.abs(value) == float("inf")), value),
+        *[_bad("not finite", F.isnan(x) | (F.abs(x) == float("inf")), x) for x in (low, high, value)],
         _bad("reported before stated", F.col("reported_at") <= F.col("stated_at"), F.col("reported_at")),
         _bad("acknowledged before reported", F.col("acknowledged_at") < F.col("reported_at"), F.col("acknowledged_at")),
         _bad("stored status", F.col("status") != again, F.concat_ws(" is ", F.col("status"), again)),
     ]
+    found += schema_issues(records)
     return records.select("record_id", F.explode(F.array_compact(F.array(*found))).alias("i")).select("record_id", "i.*")
 
 

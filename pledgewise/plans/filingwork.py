@@ -469,3 +469,32 @@ def row_context(t: Tables) -> DataFrame:
     bare = t.sentences.where(~F.col("sentence").rlike(r"(?i)\bQ[1-4]\b|\bFY ?\d|fiscal (?:year )?\d|full-year|[a-z]+ quarter|[1-4]Q\d"))
     context = bare.groupBy(F.regexp_replace("accession", "-", "").alias("filing"), F.col("line").alias("place")).agg(F.min("sentence").alias("context"))
     return keyed.join(context, ["filing", "place"], "left").select("record_id", "context")
+
+
+_BROKEN = {3: "cik", 4: "ticker", 5: "content_sha256", 6: "source_url", 7: "excerpt", 8: "acknowledgement", 9: "draft_id"}
+
+
+@query(
+    "v1_record_schema",
+    f"""WITH {STATEMENTS} SELECT record_id, CASE part % 12 {" ".join(f"WHEN {k} THEN '{name}'" for k, name in _BROKEN.items())} END AS "check" FROM statements WHERE part % 12 BETWEEN 3 AND 9""",
+)
+def record_schema(t: Tables) -> DataFrame:
+    """Records with evidence, one column of every other one broken: every pattern of the schema, and a day of acknowledgement without evidence."""
+    part = F.col("part") % 12
+
+    def broken(k: int, wrong: Column, right: Column) -> Column:
+        return F.when(part == k, wrong).otherwise(right)
+
+    long = F.repeat(F.lit("word "), 81)
+    rows = t.resolved.select(
+        "record_id", "accession", "target_low", "target_high", "reported_value", "stated_at", "reported_at", "status", "acknowledged_at", "company",
+        broken(3, F.col("supp").cast("string"), F.col("cik")).alias("cik"),
+        broken(4, F.lit("toolong"), F.lit("BRK.B")).alias("ticker"),
+        broken(5, F.md5("record_id"), F.sha2("record_id", 256)).alias("content_sha256"),
+        broken(6, F.concat(F.lit("https://example.org/"), "accession"), F.concat(F.lit("https://www.sec.gov/Archives/"), "accession")).alias("source_url"),
+        broken(7, F.when(F.col("supp") % 2 == 0, "").otherwise(long), F.substring(long, 1, 400)).alias("excerpt"),
+        broken(8, F.when(F.col("acknowledged_at").isNull(), "u"), F.when(F.col("acknowledged_at").isNotNull(), "u")).alias("acknowledgement_url"),
+        broken(9, F.lower("record_id"), ids.ulid(F.col("stated_at"), F.col("record_id"))).alias("draft_id"),
+    )
+    names = [*validate.PATTERNS, "acknowledgement"]
+    return validate.issues(rows).where(F.col("check").isin(names)).select("record_id", "check")

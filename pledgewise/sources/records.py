@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,9 +74,10 @@ def write_queue(queue: DataFrame, path: str) -> None:
 
 def write_release(records: DataFrame, path: str) -> None:
     """Approved records in order, flat in Parquet and nested in JSON lines; an empty release keeps its columns."""
-    ordered = records.orderBy("company", "assumption.stated_at", "record_id")
+    ordered = records.orderBy("company", "assumption.stated_at", "record_id").persist(StorageLevel.DISK_ONLY)  # sorted once for both files
     flatten(ordered).write.mode("overwrite").parquet(f"{path}/parquet")
     ordered.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/jsonl")
+    ordered.unpersist()
 
 
 def write_unless_empty(df: DataFrame, path: str) -> bool:
