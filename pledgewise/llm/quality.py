@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITESPACE, Words, byte_table, id_remainder, slices, text_bytes
+from .common import WHITESPACE, Words, byte_table, give_back, id_remainder, slices, text_bytes
 from .toxicity import labelled_sample
 
 BUCKETS, RANK = 1 << 15, 6
@@ -149,6 +149,8 @@ def train(docs: DataFrame, labels: DataFrame, learned: Column, per_class: int =
         return model
     texts = pa.array([r.text for r in sample], pa.string())
     model.fit(features(texts, np.array([np.nan if r.declared is None else r.declared for r in sample], np.float64)), truth, prior)
+    del sample, texts
+    give_back()
     return model
 
 

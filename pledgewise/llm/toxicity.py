@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_remainder, slices, text_column
+from .common import give_back, id_remainder, slices, text_column
 from .subwords import normal, subword_buckets
 
 BUCKETS, DIM, SCALE, EPSILON = 1 << 17, 8, 20.0, 1e-6
@@ -143,6 +143,8 @@ def train(docs: DataFrame, labels: DataFrame, learned: Column, positives: int =
         model.bias[:] = np.log([1 - edge, edge])
         return model, len(set(truth.tolist()))
     model.fit([r.text for r in sample], truth, prior)
+    del sample
+    give_back()
     return model, 2
 
 
