@@ -10,7 +10,8 @@ Shorter runs are keyed by a 64-bit hash of the word sequence, which may pass a r
 windows are keyed by 96 bits, so that unequal ones do not meet at any scale.  Counting is pre-aggregated per task; the way back to the
 documents is an equi-join that adaptive execution can split.  What survives a level is written to the checkpoint folder, so no level but
 the last is worked out twice, and a lost executor costs one level.  The first level reads documents where they lie.  For the last
-level and the removal texts are dealt by document once, in one exchange that both use; survivors that are proven few are broadcast.  Exact copies of a
+level and the removal, texts are dealt by document once, in one exchange that both use; where the documents with survivors are counted and few,
+theirs alone.  Survivors that are proven few are broadcast.  Exact copies of a
 text are found by digest beforehand, a digest that many share being spread by document: each of their windows starts in the least of them.
 
 Defined cases: null texts have no words; rows with a null id are never an earlier document and lose nothing; rows that share
@@ -20,6 +21,7 @@ an id are one document, each judged on its own text.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import compress
 
 import numpy as np
@@ -156,23 +158,34 @@ def dedup_substrings(docs: DataFrame, window: int = 13, base: int = 7) -> DataFr
         if not survivors:
             break
         kept, below = _small(kept, survivors), length
-    nameless = docs.where("doc_id is null").withColumn("copy", F.lit(False))
+    none = F.lit(None).cast("array<long>")
+    found = [docs.where("doc_id is null").withColumns({"copy": F.lit(False), "kept": none})]  # rows without an id lose none
     if survivors:
-        dealt = marked.repartition("doc_id")
-        kept = repeated(dealt if kept is None else dealt.join(kept, "doc_id"), last, below, window)
-        marked = dealt.join(kept, "doc_id", "left")
+        if kept is None:
+            dealt = marked.repartition("doc_id")
+        else:
+            keys = kept.select("doc_id")
+            n = keys.count()
+            if n <= BROADCAST:  # texts without survivors need not move
+                found.append(marked.join(F.broadcast(keys), "doc_id", "left_anti").withColumn("kept", none))
+                marked = marked.join(F.broadcast(keys), "doc_id", "left_semi")
+            dealt = marked.repartition("doc_id")
+        last_kept = repeated(dealt if kept is None else dealt.join(kept, "doc_id"), last, below, window)
+        found.append(dealt.join(last_kept, "doc_id", "left"))
     else:  # only exact copies lose words
-        marked = marked.withColumn("kept", F.lit(None).cast("array<long>"))
-    found = marked.unionByName(nameless.withColumn("kept", F.lit(None).cast("array<long>")))  # rows without an id lose none
-    return found.mapInArrow(_remove(window), "doc_id long, n_words long, n_removed long, text string")
+        found.append(marked.withColumn("kept", none))
+    return reduce(DataFrame.unionByName, found).mapInArrow(_remove(window), "doc_id long, n_words long, n_removed long, text string")
 
 
 def repeated(source: DataFrame, length: int, below: int | None, window: int) -> DataFrame:
     """``doc_id, kept``: hashes of a level that another document has too; of full windows, those that a smaller id has."""
     rows = source.mapInArrow(_emit(length, below, window), "h long, g int, doc_id long")
-    many = rows.groupBy("h", "g").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").select("h", "g", "least")
-    back = rows.join(many, ["h", "g"])
-    return (back.where("doc_id > least") if length == window else back).groupBy("doc_id").agg(F.collect_set("h").alias("kept"))
+    if length < window:
+        rows = rows.select("h", "doc_id")
+        back = rows.join(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "h")
+    else:
+        back = rows.join(rows.groupBy("h", "g").agg(F.min("doc_id").alias("least")), ["h", "g"]).where("doc_id > least")
+    return back.groupBy("doc_id").agg(F.collect_set("h").alias("kept"))
 
 
 def digest_rows(deduped: DataFrame) -> DataFrame:
