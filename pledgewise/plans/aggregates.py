@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import periods
 from .registry import query
-from .substrate import FILINGS, RESOLVED, STATEMENTS, Tables, sql_period_end
+from .substrate import FILINGS, RESOLVED, STATEMENTS, Tables
 
 
 def _missed() -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..dims import Config
-from ..functions import extract, periods, suggest, titles
+from ..functions import extract, suggest, titles
 from ..functions import guards as G
 from ..functions import text as T
 from .registry import query

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..dims import METRICS, UNITS, Config
+from ..dims import UNITS, Config
 from ..functions import guards as G
 from ..functions import periods
 from ..functions import text as T

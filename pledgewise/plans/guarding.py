@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..dims import Config
 from ..functions import guards as G
-from ..functions import ids, periods
+from ..functions import ids
 from ..functions import text as T
 from ..operators import review, validate
 from ..sources import filings as S
@@ -17,7 +17,6 @@ from .registry import query
 from .substrate import FILINGS, RESOLVED, SENTENCES, STATEMENTS, Tables
 
 CONFIG = Config()
-_MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 
 
 @query("g2_metric_known", f"WITH {STATEMENTS} SELECT record_id, part % 8 <> 3 AS known FROM statements")

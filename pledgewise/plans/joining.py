@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..dims import Config
 from ..functions import periods
 from ..functions import text as T
-from ..operators.joins import first_per, interval_join, replace_by_id, replace_scope
+from ..operators.joins import replace_by_id, replace_scope
 from .registry import query
 from .substrate import FILINGS, RESOLVED, SENTENCES, STATEMENTS, Tables
 
