@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 WHITESPACE = bytes([0x20, *range(0x09, 0x0E)])
 _MULT = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
