@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, linededup, lm, media, quality, sentencepieces, simhash, substrings, toxicity
+from . import codes, decontaminate, language, lexical, linededup, lm, media, quality, sentencepieces, simhash, substrings, topk, toxicity
 from .common import read
 
 
@@ -51,6 +51,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest_rows(substrings.dedup_substrings(read(spark, sf_dir, "documents")))
 
 
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.encode(read(spark, sf_dir, "embeddings"))[0].drop("label")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -64,6 +76,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_sentencepiece,
         op10_substring_dedup,
+        op11_topk,
+        op12_vector_codes,
+        op13_lexical_search,
     )
 }
 
@@ -71,6 +86,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ITEM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+_USABLE = "embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))"
+
+
+def _codes_sql(rounds: int = 4, entries: int = 256) -> str:
+    """The rounds one after another: assignments ``a0`` to ``a4``, codebooks ``b0`` to ``b4``."""
+    ctes = [
+        f"""kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings WHERE {_USABLE})""",
+        """parts AS MATERIALIZED (SELECT vec_id, p, v[p * len(v) // 4 + 1 : (p + 1) * len(v) // 4] AS x FROM kept, range(4) AS t(p))""",
+        f"""b0 AS MATERIALIZED (SELECT p, e, x FROM (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x FROM parts) WHERE e < {entries})""",
+    ]
+    for r in range(rounds + 1):
+        ctes.append(
+            f"""a{r} AS MATERIALIZED (SELECT vec_id, p, any_value(x) AS x, min(d) AS d, arg_min(e, (d, e)) AS e FROM (SELECT parts.vec_id, parts.p, parts.x, b.e,
+            list_sum(list_transform(range(1, len(b.x) + 1), lambda i: (parts.x[i] - b.x[i]) * (parts.x[i] - b.x[i])))::BIGINT AS d FROM parts JOIN b{r} AS b ON parts.p = b.p) GROUP BY vec_id, p)"""
+        )
+        if r < rounds:
+            ctes.append(
+                f"""b{r + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM b{r} AS b LEFT JOIN (SELECT p, e, list(floor(s / n)::BIGINT ORDER BY i) AS x
+            FROM (SELECT p, e, i, sum(x[i]) AS s, count(*) AS n FROM (SELECT p, e, x, unnest(range(1, len(x) + 1)) AS i FROM a{r}) GROUP BY p, e, i) GROUP BY p, e) AS m ON b.p = m.p AND b.e = m.e)"""
+            )
+    return f"""WITH {", ".join(ctes)},
+        digest AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds}),
+        coded AS (SELECT vec_id, string_agg(lower(printf('%02x', e)), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY vec_id)
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded JOIN kept USING (vec_id), digest"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": """
         WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
@@ -113,4 +155,22 @@ ORACLE_SQL: dict[str, str] = {
                  ANTI JOIN gone USING (doc_id, p) GROUP BY l.doc_id)
         SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
         FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op11_topk": f"""
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings WHERE {_USABLE}),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+              FROM v AS q JOIN v AS c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+        SELECT query_id, rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s) WHERE rank <= 5""",
+    "op12_vector_codes": _codes_sql(),
+    "op13_lexical_search": f"""
+        WITH d AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+        i AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+        size AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+        total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM size),
+        f AS (SELECT doc_id, term, count(*) AS tf FROM d WHERE term IN (SELECT term FROM i) GROUP BY doc_id, term),
+        w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM f GROUP BY term), total),
+        m AS (SELECT doc_id, 100 - 90 + (90 * n * docs) // terms AS m FROM size, total),
+        s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+              FROM i JOIN w USING (term) JOIN f USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id)
+        SELECT item_id, rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM s WHERE score > 0) WHERE rank <= 10""",
 }
