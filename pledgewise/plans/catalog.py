@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import aggregates, casework, corpus, drafting, filingwork, guarding, joining, resolution  # noqa: F401
+from . import aggregates, casework, chaining, corpus, drafting, filingwork, guarding, joining, resolution  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES  # noqa: F401
