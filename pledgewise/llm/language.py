@@ -33,7 +33,7 @@ from .pieces import PATH, Automaton, blocks, load
 
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = 1e-7  # probability of a character that no piece holds, in every language
-KEPT, RESCALE, PART = 400_000, 16, 200
+KEPT, RESCALE, PART, FARTHEST = 400_000, 16, 200, 600.0
 
 
 def _letters(found: str) -> list[str]:
@@ -71,39 +71,54 @@ def log_likelihood(words: list[str], automaton: Automaton, probability: np.ndarr
     return out
 
 
+class _Lattice:
+    """Where pieces stand in a block of words: edges from ``start`` to ``end``, by either."""
+
+    def __init__(self, automaton: Automaton, chars: np.ndarray, sizes: np.ndarray, times: np.ndarray):
+        self.shape, self.sizes, self.times = chars.shape, sizes, times
+        found = [(rows, np.full(len(rows), j + 1), states) for j, _, outputs in automaton.walk(chars, sizes) for rows, states in outputs]
+        self.row, self.end, states = (np.concatenate(x) if found else np.zeros(0, np.int64) for x in (zip(*found, strict=True) if found else ([], [], [])))
+        self.start, self.piece = self.end - automaton.depth[states], automaton.piece[states]
+        self.by_end, self.by_start = np.argsort(self.end, kind="stable"), np.argsort(self.start, kind="stable")
+        place = np.arange(chars.shape[1] + 2)
+        self.end_at, self.start_at = np.searchsorted(self.end[self.by_end], place), np.searchsorted(self.start[self.by_start], place)
+
+    def expected(self, probability: np.ndarray) -> np.ndarray:
+        """How often each edge is expected to be used, over all segmentations.
+
+        Sums are kept as logarithms: along letters that no piece holds they fall by UNKNOWN each, and would soon be zero.
+        """
+        n, wide = self.shape
+        p = probability[self.piece]
+        ahead, behind = np.zeros((n, wide + 1)), np.zeros((n, wide + 1))
+        for j in range(1, wide + 1):
+            own = self.by_end[self.end_at[j] : self.end_at[j + 1]]
+            row = self.row[own]
+            gap = np.minimum(ahead[row, self.start[own]] - ahead[row, j - 1], FARTHEST)
+            ahead[:, j] = ahead[:, j - 1] + np.log(UNKNOWN + np.bincount(row, weights=p[own] * np.exp(gap), minlength=n))
+        for i in range(wide - 1, -1, -1):
+            own = self.by_start[self.start_at[i] : self.start_at[i + 1]]
+            row = self.row[own]
+            gap = np.minimum(behind[row, self.end[own]] - behind[row, i + 1], FARTHEST)
+            now = behind[:, i + 1] + np.log(UNKNOWN + np.bincount(row, weights=p[own] * np.exp(gap), minlength=n))
+            behind[:, i] = np.where(i < self.sizes, now, 0)
+        whole = ahead[np.arange(n), self.sizes]
+        return self.times[self.row] * p * np.exp(np.minimum(ahead[self.row, self.start] + behind[self.row, self.end] - whole[self.row], FARTHEST))
+
+
 def fit(texts: list[str], automaton: Automaton, n_pieces: int, rounds: int = 3, smooth: float = 0.05) -> np.ndarray:
     """Piece probabilities of one language."""
     counts = Counter(w[k : k + PART] for t in texts for w in words_of(t) for k in range(0, len(w), PART))
-    expected = np.zeros(n_pieces)
-    held = []
-    for numbers, chars, sizes in blocks([f" {w}" for w in counts]):
-        edges = [(rows, np.full(len(rows), j + 1), states) for j, _, outputs in automaton.walk(chars, sizes) for rows, states in outputs]
-        times = np.array(list(counts.values()), np.float64)[numbers]
-        held.append((chars.shape, sizes, times, edges))
-        for rows, _, states in edges:
-            expected += np.bincount(automaton.piece[states], weights=times[rows], minlength=n_pieces)
-    probability = (expected + smooth) / (expected + smooth).sum()
+    times = np.array(list(counts.values()), np.float64)
+    held = [_Lattice(automaton, chars, sizes, times[numbers]) for numbers, chars, sizes in blocks([f" {w}" for w in counts])]
+
+    def shares(uses: list[np.ndarray]) -> np.ndarray:
+        expected = sum((np.bincount(x.piece, weights=u, minlength=n_pieces) for x, u in zip(held, uses, strict=True)), np.full(n_pieces, smooth))
+        return expected / expected.sum()
+
+    probability = shares([x.times[x.row] for x in held])
     for _ in range(rounds):
-        expected[:] = 0
-        for (n, wide), sizes, times, edges in held:
-            ahead, behind = np.zeros((n, wide + 1)), np.zeros((n, wide + 1))
-            ahead[:, 0], behind[np.arange(n), sizes] = 1, 1
-            by_end: list[list] = [[] for _ in range(wide + 2)]
-            for rows, end, states in edges:
-                by_end[end[0]].append((rows, states, automaton.depth[states], probability[automaton.piece[states]]))
-            for j in range(1, wide + 1):
-                ahead[:, j] += ahead[:, j - 1] * UNKNOWN
-                for rows, _, size, p in by_end[j]:
-                    ahead[rows, j] += ahead[rows, j - size] * p
-            for j in range(wide, 0, -1):
-                behind[:, j - 1] += behind[:, j] * UNKNOWN
-                for rows, _, size, p in by_end[j]:
-                    behind[rows, j - size] += behind[rows, j] * p
-            whole = times / np.maximum(ahead[np.arange(n), sizes], 1e-300)
-            for j in range(1, wide + 1):
-                for rows, states, size, p in by_end[j]:
-                    expected += np.bincount(automaton.piece[states], weights=ahead[rows, j - size] * p * behind[rows, j] * whole[rows], minlength=n_pieces)
-        probability = (expected + smooth) / (expected + smooth).sum()
+        probability = shares([x.expected(probability) for x in held])
     return probability
 
 

@@ -33,15 +33,21 @@ CACHE = 400_000
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learned: Column, most: dict[int, int], max_chars: int, carry: tuple[str, ...] = ()) -> list:
-    """At most ``most[label]`` rows ``doc_id, text, label`` and ``carry`` of each label; ids are chosen from the labels, so no text is shuffled."""
-    labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(learned & F.col("doc_id").isNotNull())
+    """At most ``most[label]`` rows ``doc_id, text, label`` and ``carry`` of each label, the least by hash of the id, whatever the partitions.
+
+    Ids are drawn from those labels whose document is there, not empty and of at most ``max_chars`` characters; only ids are shuffled for
+    that, and the texts of the drawn ids alone are fetched.  Of several rows of an id the least by hash of the text is taken.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry).where((F.length("text") <= max_chars) & (F.length("text") > 0))
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where(learned & F.col("doc_id").isNotNull() & F.col("label").isin(*most))
+    usable = known.join(texts.select("doc_id"), "doc_id", "left_semi").distinct()
     chosen = None
     for value, n in most.items():
-        part = labels.where(F.col("label") == value).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+        part = usable.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
         chosen = part if chosen is None else chosen.union(part)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry).where((F.length("text") <= max_chars) & (F.length("text") > 0))
-    rows = texts.join(F.broadcast(chosen), "doc_id").limit(2 * sum(most.values())).collect()
-    return sorted(rows, key=lambda r: (r.doc_id, r.label, r.text))
+    first = F.min_by(F.struct("text", *carry), F.struct(F.xxhash64("text"), "text", *carry))
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(first.alias("one")).select("doc_id", "label", "one.*").collect()
+    return sorted(rows, key=lambda r: (r.doc_id, r.label))
 
 
 def words_of(text: str | None) -> list[bytes]:

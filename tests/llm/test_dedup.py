@@ -76,6 +76,11 @@ def test_decontaminate(spark, docs, docs_df, empty_df):
     columns = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     assert rows(decontaminate.decontaminate(docs_df, bench), *columns) == want
     assert rows(decontaminate.decontaminate(docs_df, bench, block_windows=9), *columns) == want
+    shared = [*items, *[(100 + i, passage) for i in range(30)]]  # windows of more items than travel with them
+    many = spark.createDataFrame(shared, "item_id long, text string")
+    want_many = sorted(brute.decontaminate(docs, shared), key=repr)
+    assert rows(decontaminate.decontaminate(docs_df, many), *columns) == want_many
+    assert rows(decontaminate.decontaminate(docs_df, many, block_windows=9, few=2), *columns) == want_many
     assert decontaminate.decontaminate(empty_df, bench).count() == 0
     assert {r.n_hit for r in decontaminate.decontaminate(docs_df, bench.where("false")).collect()} == {0}
 

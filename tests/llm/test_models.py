@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from pledgewise.llm import language, lm, pieces, quality, sentencepieces, toxicity
 
@@ -203,6 +204,22 @@ def test_ties_and_repeated_rows_of_languages(spark):
     assert [(r.lang_pred, round(r.score, 6)) for r in got] == [("x", 0.5)] * 2
 
 
+def test_letters_outside_the_vocabulary_do_not_hide_what_follows():
+    """Sixty letters that no piece holds before a word: the pieces of the word are still learned from."""
+    automaton = language.Automaton([" the", "the", "t", "h", "e", " q"])
+    fitted = language.fit([" ".join("\u4e00" * 60 + "the" for _ in range(50))], automaton, 6)
+    assert fitted[1] > 0.9 and abs(fitted.sum() - 1) < 1e-9
+
+
+def test_sample_does_not_depend_on_unusable_ids_or_partitions(spark):
+    docs = [(i, f"text {i}") for i in range(20)] + [(3, f"other {k}") for k in range(200)] + [(50, ""), (51, None), (52, "x" * 99)]
+    labels = [(i, i % 2) for i in range(20)] + [(i, i % 2) for i in range(50, 5050)] + [(4, None), (5, 7)]
+    docs, labels = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = [toxicity.labelled_sample(docs.repartition(n), labels.repartition(n), "toxic", F.lit(True), {0: 50, 1: 50}, 90) for n in (1, 7)]
+    assert got[0] == got[1] and [r.doc_id for r in got[0]] == list(range(20))
+    assert len(toxicity.labelled_sample(docs, labels, "toxic", F.lit(True), {0: 5, 1: 3}, 90)) == 8
+
+
 def test_all_segmentations_are_summed():
     rng = np.random.default_rng(3)
     vocabulary = [" ", "a", "b", "ab", "ba", "aba", " a", "bab"]
