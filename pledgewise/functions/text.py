@@ -71,14 +71,25 @@ def is_table_line(text: Column) -> Column:
     return (F.size(numeric) >= 3) & (F.size(words) - F.size(numeric) <= 4)
 
 
+#: Words in a metric's name that say nothing about it.
+PLAIN_WORDS = ("gaap", "non", "adjusted", "diluted", "full", "year", "growth", "expected", "total", "rate")
+
+
+def metric_pattern(name: str, config: Config) -> str | None:
+    """What a line about a metric must say: all patterns that the name calls for, else the name's own words; None if it has none."""
+    terms = [match for when, match in config.metric_terms if re.search(when, name, re.IGNORECASE)]
+    terms = terms or [w for w in re.findall("[a-z]{4,}", name.lower()) if w not in PLAIN_WORDS]
+    return _any(tuple(terms)) if terms else None
+
+
 def metrics_in(text: Column, config: Config, names: list[str]) -> Column:
-    """The metrics whose words the text has: of each metric, every pattern group that matches its name counts."""
-    found = []
+    """The metrics whose words the text has; metrics of the same words are looked for once."""
+    alike: dict[str, list[str]] = {}
     for name in names:
-        terms = [match for when, match in config.metric_terms if re.search(when, name, re.IGNORECASE)]
-        if terms:
-            found.append(F.when(text.rlike(f"(?i){_any(tuple(terms))}"), F.lit(name)))
-    return F.array_compact(F.array(*found))
+        if pattern := metric_pattern(name, config):
+            alike.setdefault(pattern, []).append(name)
+    none = F.array().cast("array<string>")
+    return F.flatten(F.array(none, *[F.when(text.rlike(f"(?i){p}"), F.array(*[F.lit(m) for m in own])).otherwise(none) for p, own in alike.items()]))
 
 
 def acknowledges(text: Column, side: str, direction: str, config: Config) -> Column:

@@ -498,17 +498,24 @@ def headings() -> Column:
     return T.is_heading(c("text"), CONFIG)
 
 
+_HEADED, _OTHER, _BARE = "Q1 2024 Full Year 2024;FY2024", "Q1 2024 Full Year 2024;FY2023", ";FY2024"
+
+
 @cased(
     "t19_header_confirms",
     [
-        Case("Revenue {a} {b} 3", YES, extra="Q1 2024 | Full Year 2024;FY2024"), Case("Revenue {a} {b}", NO, extra="Q1 2024 | Full Year 2024;FY2024"), Case("Revenue {a} {b} 3", NO, extra="Q1 2024 | Full Year 2024;FY2023"),
-        Case("Revenue {a} {b} 3 compared to 4", NO, extra="Q1 2024 | Full Year 2024;FY2024"), Case("Revenue {a} {b} 3", YES, extra="4Q23 | 4Q22;Q4 FY2022"),
+        Case("Revenue ${a} ${b} $3", YES, extra=_HEADED), Case("Revenue ${a} ${b}", YES, extra=_BARE), Case("Revenue ${a} ${b} $3", NO, extra=_OTHER), Case("Revenue ${a} ${b} $3", NO, extra=_BARE),
+        Case("Revenue of ${a} compared to ${b} and $3", YES, extra=_BARE), Case("Revenue rose from ${a} and ${b} to $3", NO, extra=_OTHER), Case("Revenue ${a} ${b} $3 a year ago", YES, extra=_BARE),
+        Case("Revenue ${a} was up sequentially, ${b} and $3", YES, extra=_OTHER), Case("Revenue {a} {b} 3 4", YES, extra=_BARE), Case("Revenue $({a}) $ {b} $3.5 up 4%", NO, extra=_BARE),
+        Case("Gross margin {a}% {b}% (3.5)%", NO, kind="percent", extra=_BARE), Case("Gross margin {a}% {b}% (3.5)%", YES, kind="percent", extra=_HEADED), Case("Gross margin {a}% $1 $2 $3", YES, kind="percent", extra=_BARE),
+        Case("Revenue ${a} ${b} $3", YES, extra="4Q23 4Q22;Q4 FY2022"), Case("Revenue ${a} ${b} $3", NO, extra="4Q23 4Q22;FY2022"),
     ],
     confirmed="BOOLEAN",
 )
 def header_confirms() -> Column:
+    """Any line of one reading is confirmed; a row of three or more figures of its unit needs a header with the period."""
     part = F.split(c("extra"), ";")
-    return G.header_confirms(part[0], c("text"), part[1])
+    return G.column_confirmed(c("kind"), c("text"), F.nullif(part[0], F.lit("")), part[1])
 
 
 @cased(

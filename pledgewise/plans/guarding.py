@@ -31,15 +31,39 @@ def custom_id(t: Tables) -> DataFrame:
     return t.statements.select("record_id", ids.custom_id(F.col("accession"), F.col("line"), F.lit("sentence")).alias("custom_id"))
 
 
-@query("g21_result_excerpt", f"WITH {SENTENCES} SELECT record_id, part % 8 IN (2, 5, 6, 7) AS ok FROM sentences")
+_AHEAD = r"(^|[^A-Za-z0-9_])(expected|expects|guidance|outlook|anticipates)([^A-Za-z0-9_]|$)"
+_REPORTING = (
+    "was were had did used delivered reported returned grew increased decreased declined rose fell totaled totalled generated achieved completed recorded posted reached earned gained lost exceeded repurchased paid"
+).split()
+
+
+@query(
+    "g21_result_excerpt",
+    f"""WITH {SENTENCES} SELECT record_id, NOT regexp_matches(lower(sentence), '{_AHEAD}') OR len(list_intersect(regexp_split_to_array(lower(sentence), '[^a-z]+'), {_REPORTING!r})) > 0
+        OR contains(lower(sentence), 'came in') AS ok FROM sentences""",
+)
 def result_excerpt(t: Tables) -> DataFrame:
-    return t.sentences.select("record_id", G.is_result(F.col("sentence"), T.has_forward_term(F.col("sentence"), CONFIG)).alias("ok"))
+    """Whether a sentence can report a result: "increased 7 percent, which exceeded our prior outlook" can, "is expected to be" cannot."""
+    return t.sentences.select("record_id", G.is_result(F.col("sentence")).alias("ok"))
+
+
+#: What a line says of sales, and which way it goes alone.
+_SALES = [
+    ("Comparable sales decreased", -1), ("Comparable sales increased", 1), ("Comparable sales were flat", 0), ("Comparable sales were lower", -1), ("Comparable sales were higher", 1),
+    ("Comparable sales grew in stores and declined online", 0), ("U.S. Comparable Sales FELL", -1), ("Comparable sales rose", 1), ("Comparable sales were set up, then down", 0),
+]
 
 
-@query("g24_sales_sign", f"WITH {STATEMENTS} SELECT record_id, CASE WHEN part % 3 = 0 THEN -abs(reported_value) ELSE reported_value END AS value FROM statements")
+@query(
+    "g24_sales_sign",
+    f"""WITH {STATEMENTS}, v AS (SELECT record_id, metric, CASE WHEN supp % 2 = 0 THEN -reported_value ELSE reported_value END AS v, ({[way for _, way in _SALES]!r})[1 + supp % {len(_SALES)}] AS way FROM statements)
+        SELECT record_id, CASE WHEN metric <> 'comparable sales' OR way = 0 OR v = 0 THEN v ELSE way * abs(v) END AS value FROM v""",
+)
 def sales_sign(t: Tables) -> DataFrame:
-    said = F.when(F.col("part") % 3 == 0, "Comparable sales decreased").when(F.col("part") % 3 == 1, "Comparable sales increased").otherwise("Comparable sales were flat")
-    return t.statements.select("record_id", G.sales_sign(F.col("reported_value"), said).alias("value"))
+    """Values of all metrics, read with either sign; on comparable sales a line that goes one way alone decides."""
+    said = F.element_at(F.array(*[F.lit(text) for text, _ in _SALES]), (F.col("supp") % len(_SALES) + 1).cast("int"))
+    value = F.when(F.col("supp") % 2 == 0, -F.col("reported_value")).otherwise(F.col("reported_value"))
+    return t.statements.select("record_id", G.comparable_sales_sign(F.col("metric"), value, said).alias("value"))
 
 
 @query("g29_publishable", f"WITH {STATEMENTS} SELECT company, count(*) FILTER (reviewed) AS approved, count(*) FILTER (NOT reviewed) AS pending, count(*) FILTER (reviewed AND publish) AS publishable FROM statements GROUP BY company")
@@ -49,11 +73,23 @@ def publishable(t: Tables) -> DataFrame:
     return rows.groupBy("company").agg(F.count_if("reviewed").alias("approved"), F.count_if(~F.col("reviewed")).alias("pending"), F.count_if(F.col("reviewed") & F.col("listed").isNotNull()).alias("publishable"))
 
 
-@query("g30_touched", f"WITH {STATEMENTS} SELECT record_id, part % 3 = 0 AS rejected, part % 3 <> 2 OR reviewed AS touched FROM statements")
+#: Notes, and whether they reject.
+_NOTES = [
+    ("duplicate: of a", True), (" seen ", False), ("  ", False), ("Not guidance, a result", True), ("component figure", False), ("wrong metric", False), ("wrong period (FY2024)", True), ("CONFLICT LOSER", True),
+    ("a duplicate", False), (None, False), ("duplicated by hand", True),
+]
+
+
+@query(
+    "g30_touched",
+    f"""WITH {STATEMENTS}, n AS (SELECT record_id, reviewed, part % {len(_NOTES)} AS k FROM statements) SELECT record_id, k IN {tuple(k for k, (_, no) in enumerate(_NOTES) if no)} AS rejected,
+        reviewed OR k NOT IN {tuple(k for k, (note, _) in enumerate(_NOTES) if not (note or "").strip())} AS touched FROM n""",
+)
 def touched(t: Tables) -> DataFrame:
-    note = F.when(F.col("part") % 3 == 0, "duplicate: of a").when(F.col("part") % 3 == 1, " seen ").otherwise("  ")
+    """Notes that reject, by how they begin, and rows that a person has approved or noted."""
+    note = F.element_at(F.array(*[F.lit(text) for text, _ in _NOTES]), (F.col("part") % len(_NOTES) + 1).cast("int"))
     rows = t.statements.withColumn("note", note)
-    return rows.select("record_id", review.is_rejection(F.col("note")).alias("rejected"), (F.col("reviewed") | (F.trim("note") != "")).alias("touched"))
+    return rows.select("record_id", review.is_rejection(F.col("note")).alias("rejected"), (F.col("reviewed") | (F.trim(F.coalesce("note", F.lit(""))) != "")).alias("touched"))
 
 
 @query("t7_headings", "SELECT doc_id, count(*) FILTER (len(regexp_extract_all(trim(line), '[^ \\t\\x0B\\f\\r]+')) <= 8 AND NOT regexp_matches(line, '[.!?;,][ \\t\\x0B\\f\\r]*$')) AS short_lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL) WHERE trim(line) <> '' GROUP BY doc_id")

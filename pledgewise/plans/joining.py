@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..dims import Config
+from ..dims import METRICS, Config
 from ..functions import periods
 from ..functions import text as T
 from ..operators.joins import replace_by_id, replace_scope
@@ -27,7 +27,8 @@ def answers_current(t: Tables) -> DataFrame:
     return t.statements.select("record_id").join(answers.where(F.col("fingerprint").isin("new", "old")), "record_id")
 
 
-TERMS = {"revenue": "revenue|net sales|total sales", "gross margin GAAP": "gross margin", "operating expenses GAAP": "operating expenses", "EPS GAAP": "earnings per share|eps|per diluted share|diluted earnings", "tax rate": "tax rate", "comparable sales": "comparable sales"}
+#: By metric, what a line about it must say.
+TERMS = {m: T.metric_pattern(m, CONFIG) for m, _, _ in METRICS}
 
 
 def about_metrics(t: Tables) -> DataFrame:
