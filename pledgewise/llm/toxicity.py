@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import give_back, id_remainder, slices, text_column
 from .subwords import normal, subword_buckets
 
-BUCKETS, DIM, SCALE, EPSILON = 1 << 17, 8, 20.0, 1e-6
+BUCKETS, DIM, SCALE, EPSILON = 1 << 17, 4, 20.0, 1e-6
 CACHE = 400_000
 
 
@@ -78,7 +78,7 @@ class Bag:
         self.softmax = rng.normal(0, 0.3, (DIM, 2)).astype(np.float32)
         self.bias = np.zeros(2, np.float32)
 
-    def fit(self, texts: list[str], labels: np.ndarray, prior: float, steps: int = 60, rate: float = 0.05, decay: float = 1e-4, least_docs: int | None = None) -> None:
+    def fit(self, texts: list[str], labels: np.ndarray, prior: float, steps: int = 120, rate: float = 0.05, decay: float = 1e-4, least_docs: int | None = None) -> None:
         """Full-batch Adam steps; n-grams of fewer than ``least_docs`` texts keep no vector."""
         least_docs = max(1, min(8, len(texts) // 500)) if least_docs is None else least_docs
         place: dict[bytes, int] = {}
@@ -137,7 +137,7 @@ def word_odds(words: list[bytes], along: np.ndarray) -> np.ndarray:
     return _sums(along[subword], begin) / np.diff(begin)
 
 
-def train(docs: DataFrame, labels: DataFrame, learned: Column, positives: int = 1500, negatives: int = 2500, max_chars: int = 8000) -> tuple[Bag, int]:
+def train(docs: DataFrame, labels: DataFrame, learned: Column, positives: int = 1500, negatives: int = 4000, max_chars: int = 8000) -> tuple[Bag, int]:
     """The model, and how many classes it has seen; the sample's bounds are ``positives``, ``negatives`` and ``max_chars``."""
     shares = {r.label: r.n for r in labels.where(learned).groupBy(F.col("toxic").cast("int").alias("label")).agg(F.count("*").alias("n")).collect() if r.label in (0, 1)}
     prior = shares.get(1, 0) / max(sum(shares.values()), 1)
