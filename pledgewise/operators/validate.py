@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import rubric
 
@@ -73,3 +74,24 @@ def calendar_issues(companies: DataFrame) -> DataFrame:
     """``company, check`` of companies without a fiscal month from 1 to 12, or a rule by which years are named."""
     found = F.array_compact(F.array(F.when(~F.coalesce(F.col("fiscal_month").between(1, 12), F.lit(False)), "fiscal month"), F.when(F.col("named_for_end").isNull(), "naming of years")))
     return companies.select("company", F.explode(found).alias("check"))
+
+
+def unknown_keys(rows: DataFrame, value: str, schema: str) -> DataFrame:
+    """All columns of ``rows`` and ``key``, a row for each key of the JSON text that the schema does not have, in dots from the top.
+
+    The checks are made by walking the schema: every object it describes is asked for its keys.  Objects that are null or absent have none;
+    what an unknown key holds is not looked into.  Names differ by case.
+    """
+
+    def walk(fields: list[T.StructField], path: str) -> list[Column]:
+        known = F.array(*[F.lit(f.name) for f in fields])
+        whole = F.col(value) if not path else F.get_json_object(value, f"$.{path}")
+        prefix = f"{path}." if path else ""
+        keys = F.transform(F.array_except(F.json_object_keys(whole), known), lambda k: F.concat(F.lit(prefix), k))
+        found = [F.coalesce(keys, F.array().cast("array<string>"))]
+        for f in fields:
+            if isinstance(f.dataType, T.StructType):
+                found += walk(f.dataType.fields, prefix + f.name)
+        return found
+
+    return rows.withColumn("key", F.explode(F.flatten(F.array(*walk(T.StructType.fromDDL(schema).fields, "")))))

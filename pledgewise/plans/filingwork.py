@@ -298,11 +298,11 @@ def flatten(t: Tables) -> DataFrame:
 @query(
     "v3_document_checks",
     """SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN 'missing' WHEN doc_id % 11 = 0 THEN 'hash differs' ELSE 'excerpt not verbatim' END AS issue FROM documents
-       WHERE text IS NOT NULL AND length(text) > 60 AND (doc_id % 13 = 0 OR doc_id % 11 = 0 OR doc_id % 7 = 0)""",
+       WHERE text IS NOT NULL AND (doc_id % 13 = 0 OR doc_id % 11 = 0 OR doc_id % 7 = 0)""",
 )
 def document_checks(t: Tables) -> DataFrame:
     """Evidence against the documents that it cites: there, unchanged, and holding the excerpt word for word."""
-    docs = t.read("documents").where("length(text) > 60")
+    docs = t.read("documents").where("text is not null")
     excerpt = F.when(F.col("doc_id") % 7 == 0, F.concat(F.substring("text", 5, 40), F.lit("\u0002"))).otherwise(F.substring("text", 5, 40))
     evidence = docs.select("doc_id", excerpt.alias("excerpt"), F.when(F.col("doc_id") % 11 == 0, F.lit("0")).otherwise(F.sha2("text", 256)).alias("content_sha256"))
     return validate.document_issues(evidence, docs.where("doc_id % 13 <> 0").select("doc_id", "text"), "doc_id")
@@ -318,7 +318,7 @@ def dimensions(t: Tables) -> DataFrame:
 
 @query(
     "m3_proposals",
-    f"""WITH {STATEMENTS} SELECT record_id, CASE WHEN part % 4 IN (0, 3) THEN 'target_low=' || (target_low + 1)::VARCHAR WHEN part % 4 = 2 THEN 'target_low=' || (-target_low)::VARCHAR END AS proposal FROM statements WHERE target_low IS NOT NULL""",
+    f"""WITH {STATEMENTS} SELECT record_id, CASE WHEN part % 4 IN (0, 3) THEN 'target_low=' || (target_low + 1)::VARCHAR WHEN part % 4 = 2 THEN 'target_low=' || (-target_low)::VARCHAR END AS proposal FROM statements""",
 )
 def proposals(t: Tables) -> DataFrame:
     """What a refresh proposes to a person's row: what differs from the row and from what the pipeline said last.
@@ -327,8 +327,8 @@ def proposals(t: Tables) -> DataFrame:
     """
     kind, low = F.col("part") % 4, F.col("target_low")
     fresh = F.when(kind == 2, -low).when(kind == 1, low).otherwise(low + 1)
-    rows = t.statements.where("target_low is not null and part % 4 <> 3").select("record_id", low.alias("low"), fresh.alias("fresh"), kind.alias("kind"))
-    again = t.statements.where("target_low is not null and part % 4 = 3").select("record_id", low.alias("low"), fresh.alias("fresh"), F.lit(0).alias("kind"))
+    rows = t.statements.where("part % 4 <> 3").select("record_id", low.alias("low"), fresh.alias("fresh"), kind.alias("kind"))
+    again = t.statements.where("part % 4 = 3").select("record_id", low.alias("low"), fresh.alias("fresh"), F.lit(0).alias("kind"))
     rows = rows.unionByName(again)
 
     def as_map(x: Column) -> Column:
