@@ -15,7 +15,7 @@ occurrence (all stay or lose the same lines).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 3
@@ -48,6 +48,12 @@ def repeats(windows: DataFrame) -> DataFrame:
     return windows.join(first, ["h1", "h2"]).where(F.struct("doc_id", "row_hash", "pos") != F.col("first_place")).select("doc_id", "row_hash", "pos")
 
 
+def _chosen(lines: Column, kept: Column) -> Column:
+    """The lines at these places, joined; the text is split once for all of them, so a text of very many lines costs no more than its size."""
+    chosen = F.transform(F.array(lines), lambda own: F.array_join(F.transform(kept, lambda i: F.element_at(own, i + 1)), "\n"))
+    return F.element_at(chosen, 1)
+
+
 def dedup_lines(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, n_lines, n_removed, text``: each document without the lines that repeat a window seen before it.
 
@@ -68,6 +74,6 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...] =
         "doc_id",
         F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.coalesce(F.size(F.array_distinct("covered")), F.lit(0)).cast("long").alias("n_removed"),
-        F.when(F.col("covered").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.element_at(lines, i + 1)), "\n")).alias("text"),
+        F.when(F.col("covered").isNull(), F.col("text")).otherwise(_chosen(lines, kept)).alias("text"),
         *[F.col(f"carried.{c}").alias(c) for c in carry],
     )

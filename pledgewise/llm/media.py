@@ -9,7 +9,8 @@ baseline JPEG, all frames that share a header in step: coefficients exactly as s
 than the mean plus three deviations of the differences just before it.
 
 Each file is handled by one task with its neighbours, without shuffles; batches are bounded by bytes.  Empty or null
-payloads become one frame of spaces; equal texts give equal files and features.
+payloads become one frame of spaces; equal texts give equal files and features.  A long text is stored and decoded by groups of frames, so that
+only its bytes and its file are held whole.  Sizes in a file are of 32 bits, as a cell of a table is: a text whose file would pass 2 GB raises.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ BIAS = 96
 FPS = 25
 BINS = 16
 STEP = 8192  # frames in work at a time
+GROUP = 4 * STEP  # frames whose coefficients are held together
 
 # Fixed values of the JPEG standard (ITU-T T.81, table K.3): luminance DC code counts by length, and their symbols.
 DC_COUNTS = [0, 1, 5, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0, 0, 0]
@@ -399,7 +401,9 @@ def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
         first = np.concatenate([[0], np.cumsum(counts)])
         payload = np.full(int(first[-1]) * FRAME, 32, np.uint8)
         payload[np.arange(len(raw)) + np.repeat(first[:-1] * FRAME - offsets[:-1], sizes)] = raw
-        jpegs = encode_bytes(payload.reshape(-1, FRAME))
+        shown, jpegs = payload.reshape(-1, FRAME), []
+        for at in range(0, len(shown), GROUP):
+            jpegs += encode_bytes(shown[at : at + GROUP])
         yield batch, sizes, [write_avi(jpegs[a:b]) for a, b in zip(first, first[1:], strict=False)]
 
 
@@ -433,10 +437,15 @@ def read_back(media: DataFrame) -> DataFrame:
         for batch in slices(batches, "avi"):
             files = batch.column("avi").to_pylist()
             found = [read_index(f) for f in files]
-            stored = decode_coefficients([f[a : a + n] for f, (_, places) in zip(files, found, strict=True) for a, n in places])
-            header, values = stored[0][0], np.stack([own for _, own in stored])  # all of them are of ``encode``
-            payload = (values.reshape(len(values), -1) + BIAS).astype(np.uint8)
-            levels, means = _brightness(header, values)
+            shown = [(f, a, n) for f, (_, places) in zip(files, found, strict=True) for a, n in places]
+            payload, levels, means = [], [], []
+            for at in range(0, len(shown), GROUP):  # what is decoded is bounded, however long a text is
+                stored = decode_coefficients([f[a : a + n] for f, a, n in shown[at : at + GROUP]])
+                header, values = stored[0][0], np.stack([own for _, own in stored])  # all of them are of ``encode``
+                payload.append((values.reshape(len(values), -1) + BIAS).astype(np.uint8))
+                for kept, part in zip((levels, means), _brightness(header, values), strict=True):
+                    kept.append(part)
+            payload, levels, means = (np.concatenate(x) for x in (payload, levels, means))
             first = np.concatenate([[0], np.cumsum([len(places) for _, places in found])])
             parts = [slice(a, b) for a, b in zip(first, first[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(

@@ -231,3 +231,34 @@ def test_media_feature(spark):
 def test_shots():
     samples = np.concatenate([np.full((20, media.FRAME), 10), np.full((20, media.FRAME), 200), np.full((5, media.FRAME), 90)]).astype(np.uint8)
     assert media.shots(media.histograms(samples)) == [0, 20, 40]
+
+
+def test_one_long_text(spark, monkeypatch):
+    """Texts of more than a slice through the operators that look for what repeats."""
+    own = [f"w{i % 70_001}" for i in range(260_000)]
+    docs = [(2, " ".join(own)), (1, " ".join(own[1000:1040])), (3, "\n".join(own[:90_000])), (4, "\n".join(["x", *own[:4], "y"])), (5, "alone")]
+    assert len(docs[0][1]) > 1.4 * (1 << 20)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert rows(linededup.dedup_lines(df), "doc_id", "n_lines", "n_removed", "text") == sorted(brute.line_dedup_merged(docs), key=repr)
+    out = substrings.digest_rows(substrings.dedup_substrings(df))
+    assert rows(out, "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(brute.substrings(docs), key=repr)
+    items = [(1, docs[1][1]), (2, "w70000 w0 w1")]
+    found = decontaminate.decontaminate(df, spark.createDataFrame(items, "item_id long, text string"))
+    assert rows(found, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == sorted(brute.decontaminate(docs, items), key=repr)
+    fps = [brute.fingerprint(t) for _, t in docs]
+    want = sorted(zip([i for i, _ in docs], [f"{f:016x}" for f in fps], brute.components([(i, f) for (i, _), f in zip(docs, fps, strict=True)]), strict=True), key=repr)
+    assert rows(simhash.near_duplicates(df), "doc_id", "fingerprint", "component_id") == want
+    monkeypatch.setattr(media, "GROUP", 1000)  # the long text is stored and decoded in several groups
+    for r in media.digest(df).collect():
+        raw = dict(docs)[r.doc_id].encode()
+        payload = raw + b" " * (-len(raw) % 192)
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest())
+
+
+def test_substrings_past_the_limit_of_broadcasts_and_with_a_hot_id(spark, docs, docs_df, monkeypatch):
+    hot = [(7, t) for _, t in docs[:60]] + [(3, docs[3][1])]
+    many = spark.createDataFrame([*docs, *hot], "doc_id long, text string").repartition(4)
+    want = sorted(brute.substrings([*docs, *hot]), key=repr)
+    assert rows(substrings.digest_rows(substrings.dedup_substrings(many)), "doc_id", "n_words", "n_removed", "kept_sha256") == want
+    monkeypatch.setattr(substrings, "BROADCAST", 0)
+    assert rows(substrings.digest_rows(substrings.dedup_substrings(many)), "doc_id", "n_words", "n_removed", "kept_sha256") == want

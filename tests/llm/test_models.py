@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 import re
@@ -136,6 +137,29 @@ def test_quality(labelled):
     assert quality.score_texts(docs.where("false"), labels).count() == 0
 
 
+def test_quality_against_a_plain_score(labelled):
+    """Scores of the operator from its own model: every pair of a text's features, one by one."""
+    rows, docs, labels = labelled
+    model = quality.train(docs, labels, F.expr("coalesce(crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0, true)"))
+    got = {r.doc_id: r.score for r in quality.score_texts(docs, labels).collect()}
+    for i, text, _, _ in rows[:12]:
+        _, bucket, value, statistics = quality.features(pa.array([text], pa.string()), np.array([float(len(text))]))
+        assert len(bucket) == len(set(bucket.tolist())) and value == pytest.approx([math.sqrt(n / len(text.split())) for n in _by_bucket(text, bucket)])
+        x = {int(b): float(v) for b, v in zip(bucket, value, strict=True)}
+        x |= {quality.BUCKETS + k: min(max((v - c) / w, -4), 4) for k, (v, c, w) in enumerate(zip(statistics[0], model.centre, model.width, strict=True))}
+        odds = model.bias + sum(model.weights[a] * v for a, v in x.items())
+        odds += sum(float(model.factors[a] @ model.factors[b]) * x[a] * x[b] for a, b in itertools.combinations(x, 2))
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-odds)), abs=1e-9)
+
+
+def _by_bucket(text, buckets):
+    """How many words of the text are in each bucket, found word by word."""
+    own = Counter()
+    for word in text.split():
+        own[int(quality.features(pa.array([word], pa.string()), np.array([1.0]))[1][0])] += 1
+    return [own[int(b)] for b in buckets]
+
+
 def test_machine_sums_all_pairs():
     model, rng = quality.Machine(), np.random.default_rng(2)
     model.factors = rng.normal(size=model.factors.shape)
@@ -295,6 +319,36 @@ def test_lm_base_scores(docs, docs_df, empty_df):
     assert lm.score_texts(empty_df).count() == 0
 
 
+@pytest.mark.parametrize("hot", [200_000, 30])
+def test_lm_against_a_plain_score(docs, docs_df, hot):
+    """Scores of the operator from its own model: a softmax over all outputs for every token, and a share of its class for each word outside."""
+    texts = docs_df.select("doc_id", "text")
+    training = texts.where(~F.coalesce(F.expr("crc32(cast(cast(doc_id as string) as binary)) % 5 = 1"), F.lit(False)))
+    vocab = lm.vocabulary(lm.count_words(training).checkpoint(), training.count(), hot, 12)
+    parts = lm.train(training, vocab).parts
+    train = [t for i, t in docs if i is None or crc(i, 5) != 1]
+    counts = Counter(w for t in train for w in brute.SPACES.findall(brute.lower(t)))
+    inside = {w.decode(): lm.FIRST + k for k, w in enumerate(vocab.words[:12])}
+    mass = Counter({k: 0.5 for k in range(1, lm.FIRST)})
+    for w, n in counts.items():
+        if w not in inside:
+            mass[lm.ending(w.encode())] += n + 0.5
+    got = {(r.doc_id, r.n_tokens, round(r.base_score, 6)): r.score for r in lm.score_texts(docs_df, n_hot=hot, n_model=12).collect()}
+    below = sum(counts.values()) + len(train)
+    below += 0.5 * (len(counts) + 1 + 1)
+    for i, t in docs[:40]:
+        words, near, far, want = brute.SPACES.findall(brute.lower(t)), vocab.outputs, vocab.outputs, 0.0
+        base = sum(math.log10((counts[w] + 0.5) / below) for w in words) + math.log10((len(train) + 0.5) / below)
+        for w in [*words, None]:
+            out = lm.END if w is None else inside.get(w, lm.ending(w.encode()))
+            logits = (parts["near"][near].astype(float) + parts["far"][far]) @ parts["out"].T.astype(float) + parts["bias"][:, 0]
+            want += (logits[out] - np.logaddexp.reduce(logits)) / math.log(10)
+            if w is not None and w not in inside:
+                want += math.log10((counts[w] + 0.5) / mass[out])
+            near, far = out, near
+        assert got[i, len(words) + 1, round(base, 6)] == pytest.approx(want, abs=1e-3 * (len(words) + 1))
+
+
 def test_lm_is_normalised_and_learns():
     rng = np.random.default_rng(1)
     model = lm.Bilinear(np.array([0.1, 0.2, 0.3, 0.4]))
