@@ -51,8 +51,11 @@ _J2 = f"""WITH {STATEMENTS}, {RELEASES}, m AS (SELECT s.record_id, r.release, ro
 def first_reports(t: Tables) -> DataFrame:
     """Each draft with the first three releases after it, in 550 days, whose headlines report its period."""
     drafts = t.statements.select("record_id", "cik", "stated_at", F.coalesce("quarter", F.lit(0)).alias("quarter"), (F.col("fiscal_year") + 30).alias("year"))
-    met = next_rows(drafts, reported(t), ["cik", "quarter", "year"], "stated_at", "filed_at", "release", CONFIG.max_docs)
-    return met.where(F.col("filed_at") <= F.least(F.lit(LAST_DAY).cast("date"), F.date_add("stated_at", CONFIG.search_days)))
+    keys = ["cik", "quarter", "year"]
+    asked = drafts.select(*keys, "stated_at").distinct()  # drafts of one period and day ask the same; there are no more of these than days
+    met = next_rows(asked, reported(t), keys, "stated_at", "filed_at", "release", CONFIG.max_docs)
+    met = met.where(F.col("filed_at") <= F.least(F.lit(LAST_DAY).cast("date"), F.date_add("stated_at", CONFIG.search_days)))
+    return drafts.join(met, [*keys, "stated_at"])
 
 
 @query("j2_later_releases", _J2 + " SELECT record_id, release, n AS rank FROM m WHERE n <= 3")

@@ -149,22 +149,28 @@ _KEY = "cik, metric, target_period, stated_at"
           AND (r.target_high IS NULL OR p.target_low <= r.target_high) GROUP BY 1""",
 )
 def points_in_ranges(t: Tables) -> DataFrame:
+    """The first range of a point's key that holds it; figures meet figures, each once, and points learn their figure's range."""
     keys = ["cik", "metric", "target_period", "stated_at"]
     point = F.col("target_low").eqNullSafe(F.col("target_high"))
     points = t.statements.where(point).select(*keys, F.col("record_id").alias("point_id"), F.col("target_low").alias("at"))
-    ranges = t.statements.where(~point).select(*keys, "record_id", "target_low", "target_high")
+    ranges = t.statements.where(~point).groupBy(*keys, "target_low", "target_high").agg(F.min("record_id").alias("range_id"))
     held = (F.col("target_low").isNull() | (F.col("at") >= F.col("target_low"))) & (F.col("target_high").isNull() | (F.col("at") <= F.col("target_high")))
-    return points.join(ranges, keys).where(held).groupBy("point_id").agg(F.min("record_id").alias("range_id"))
+    found = points.select(*keys, "at").distinct().join(ranges, keys).where(held).groupBy(*keys, "at").agg(F.min("range_id").alias("range_id"))
+    return points.join(found, [*keys, "at"]).select("point_id", "range_id")
 
 
-@query("j17_conflict_pairs", f"WITH {STATEMENTS} SELECT a.record_id AS first_id, b.record_id AS second_id FROM statements a JOIN statements b USING ({_KEY}) WHERE a.record_id < b.record_id AND (a.target_low IS DISTINCT FROM b.target_low OR a.target_high IS DISTINCT FROM b.target_high)")
+@query(
+    "j17_conflict_pairs",
+    f"""WITH {STATEMENTS}, c AS (SELECT {_KEY}, target_low, target_high, min(record_id) AS id, count(*) AS n FROM statements GROUP BY ALL) SELECT a.id AS first_id, b.id AS second_id, a.n AS n_first, b.n AS n_second
+        FROM c a JOIN c b USING ({_KEY}) WHERE a.id < b.id""",
+)
 def conflict_pairs(t: Tables) -> DataFrame:
-    """Pairs on one key that state different numbers; keys are as fine as a company, metric, period and day."""
+    """Pairs of different numbers stated on one key, each by the first record that states them, with how many records do."""
     keys = ["cik", "metric", "target_period", "stated_at"]
-    a = t.statements.select(*keys, F.col("record_id").alias("first_id"), F.col("target_low").alias("l1"), F.col("target_high").alias("h1"))
-    b = t.statements.select(*keys, F.col("record_id").alias("second_id"), F.col("target_low").alias("l2"), F.col("target_high").alias("h2"))
-    differ = ~(F.col("l1").eqNullSafe(F.col("l2")) & F.col("h1").eqNullSafe(F.col("h2")))
-    return a.join(b, keys).where((F.col("first_id") < F.col("second_id")) & differ).select("first_id", "second_id")
+    figures = t.statements.groupBy(*keys, "target_low", "target_high").agg(F.min("record_id").alias("id"), F.count("*").alias("n"))
+    a = figures.select(*keys, F.col("id").alias("first_id"), F.col("n").alias("n_first"))
+    b = figures.select(*keys, F.col("id").alias("second_id"), F.col("n").alias("n_second"))
+    return a.join(b, keys).where("first_id < second_id").select("first_id", "second_id", "n_first", "n_second")
 
 
 @query("u1_union_priority", f"WITH {STATEMENTS} SELECT record_id, CASE WHEN part % 2 = 0 THEN 'fresh' ELSE 'stub' END AS origin FROM statements WHERE part % 2 = 0 OR part % 3 = 0")
