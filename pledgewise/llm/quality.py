@@ -147,9 +147,16 @@ def train(docs: DataFrame, labels: DataFrame, learned: Column, per_class: int =
         edge = min(max(prior, 1e-9), 1 - 1e-9)
         model.bias = float(np.log(edge / (1 - edge)))
         return model
-    texts = pa.array([r.text for r in sample], pa.string())
-    model.fit(features(texts, np.array([np.nan if r.declared is None else r.declared for r in sample], np.float64)), truth, prior)
-    del sample, texts
+    found = [[], [], [], []]
+    batch = pa.RecordBatch.from_arrays([pa.array([r.text for r in sample], pa.string()), pa.array([r.declared for r in sample], pa.float64())], ["text", "declared"])
+    del sample
+    at = 0
+    for part in slices(iter([batch])):  # a slice of texts at a time, as on the executors, so that the driver needs no more than they do
+        row, bucket, value, statistics = features(part.column("text"), _declared(part.column("declared")))
+        for kept, x in zip(found, (row + at, bucket, value, statistics), strict=True):
+            kept.append(x)
+        at += part.num_rows
+    model.fit(tuple(np.concatenate(x) for x in found), truth, prior)
     give_back()
     return model
 

@@ -85,8 +85,8 @@ class Bag:
         word, doc, weight = [], [], []
         for d, text in enumerate(texts):
             words, n = counted(text)
-            word.append(np.array([place.setdefault(w, len(place)) for w in words], np.int64))
-            doc.append(np.full(len(n), d))
+            word.append(np.array([place.setdefault(w, len(place)) for w in words], np.int32))
+            doc.append(np.full(len(n), d, np.int32))
             weight.append(n / max(n.sum(), 1))
         word, doc, weight = np.concatenate(word), np.concatenate(doc), (np.concatenate(weight) * SCALE).astype(np.float32)[:, None]
         subword, begin = subword_buckets([normal(w) for w in place], BUCKETS)
@@ -95,15 +95,18 @@ class Bag:
         docs_of = np.bincount(subword, weights=np.bincount(word, minlength=len(place))[owner], minlength=BUCKETS)
         self.vectors[docs_of < least_docs] = 0
         held = docs_of[subword] >= least_docs
-        subword, owner = subword[held], owner[held]
+        subword, owner = subword[held].astype(np.int32), owner[held].astype(np.int32)
+        del held
         begin = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(place)))])
         share = (1 / size).astype(np.float32)[:, None]
         used, subword = np.unique(subword, return_inverse=True)
+        subword = subword.astype(np.int32)
         by_doc = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(texts)))])
-        to_word, to_subword = np.argsort(word, kind="stable"), np.argsort(subword, kind="stable")
+        to_word, to_subword = np.argsort(word, kind="stable").astype(np.int32), np.argsort(subword, kind="stable").astype(np.int32)
         by_word = np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(place)))])
         by_subword = np.concatenate([[0], np.cumsum(np.bincount(subword, minlength=len(used)))])
         doc_by_word, weight_by_word, owner_by_subword = doc[to_word], weight[to_word], owner[to_subword]
+        del to_word, to_subword
         truth = np.eye(2, dtype=np.float32)[labels]
         share_1 = labels.mean()
         cost = np.where(labels == 1, prior / share_1, (1 - prior) / (1 - share_1)).astype(np.float32)[:, None]
