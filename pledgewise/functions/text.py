@@ -108,7 +108,7 @@ def names_quarter(text: Column, quarter: Column) -> Column:
 
 def names_year(text: Column, year: Column) -> Column:
     full, short = year.cast("string"), F.lpad((year % 100).cast("string"), 2, "0")
-    return F.rlike(text, F.concat(F.lit(r"(?i)\b(?:(?:fiscal(?: year)? ?|FY ?)(?:"), full, F.lit("|"), short, F.lit(")|"), full, F.lit(r")\b")))
+    return F.rlike(text, F.concat(F.lit(r"(?i)\b(?:fiscal(?: year)? ?|FY ?)(?:"), full, F.lit("|"), short, F.lit(r")\b|\b"), full, F.lit(r"\b")))
 
 
 def period_signal(text: Column, quarter: Column, year: Column) -> Column:

@@ -170,7 +170,7 @@ def left_out(t: Tables) -> DataFrame:
 )
 def manifest(t: Tables) -> DataFrame:
     latest = t.filings.groupBy("cik").agg(F.max("filed_at").alias("last_filing_date"))
-    return t.filings.join(F.broadcast(latest), "cik").where("filed_at = last_filing_date").groupBy("cik", "last_filing_date").agg(F.sort_array(F.collect_list("accession")).alias("accessions_on_last_date"))
+    return t.filings.join(latest, "cik").where("filed_at = last_filing_date").groupBy("cik", "last_filing_date").agg(F.sort_array(F.collect_list("accession")).alias("accessions_on_last_date"))
 
 
 @query("a14_run_summary", f"WITH {FILINGS} SELECT date_trunc('week', filed_at)::DATE AS week, form, count(*) AS filings, count(DISTINCT cik) AS companies FROM filings GROUP BY ALL")

@@ -68,7 +68,7 @@ def sales_sign(t: Tables) -> DataFrame:
 
 @query("g29_publishable", f"WITH {STATEMENTS} SELECT company, count(*) FILTER (reviewed) AS approved, count(*) FILTER (NOT reviewed) AS pending, count(*) FILTER (reviewed AND publish) AS publishable FROM statements GROUP BY company")
 def publishable(t: Tables) -> DataFrame:
-    published = F.broadcast(t.companies.where("publish").select("cik", F.lit(True).alias("listed")))
+    published = t.companies.where("publish").select("cik", F.lit(True).alias("listed"))
     rows = t.statements.join(published, "cik", "left")
     return rows.groupBy("company").agg(F.count_if("reviewed").alias("approved"), F.count_if(~F.col("reviewed")).alias("pending"), F.count_if(F.col("reviewed") & F.col("listed").isNotNull()).alias("publishable"))
 

@@ -92,7 +92,7 @@ _ENDS = ", ".join(f"({k})" for k in (-2, -1, 0, 1))
 def year_reported(t: Tables) -> DataFrame:
     rows = t.filings.select("cik", "filed_at").distinct().withColumn("quarter", F.explode(F.expr("array(1, 2, 3, 4, cast(null as int))")))
     year = periods.fiscal_year_reported(F.col("fiscal_month"), F.col("named_for_end"), F.col("quarter"), F.col("filed_at"))
-    return rows.join(F.broadcast(t.companies), "cik").select("cik", "filed_at", F.coalesce("quarter", F.lit(0)).alias("quarter"), year.cast("int").alias("fiscal_year"))
+    return rows.join(t.companies, "cik").select("cik", "filed_at", F.coalesce("quarter", F.lit(0)).alias("quarter"), year.cast("int").alias("fiscal_year"))
 
 
 @query(
@@ -104,7 +104,7 @@ def year_reported(t: Tables) -> DataFrame:
                (SELECT 'Q' || q || ' FY' || y FROM c WHERE c.cik = f.cik AND c.filed_at = f.filed_at AND q IS NOT NULL) AS quarter_label FROM f""",
 )
 def label_for_end(t: Tables) -> DataFrame:
-    rows = t.filings.select("cik", "filed_at").distinct().join(F.broadcast(t.companies), "cik")
+    rows = t.filings.select("cik", "filed_at").distinct().join(t.companies, "cik")
     args = F.col("fiscal_month"), F.col("named_for_end"), F.col("filed_at")
     return rows.select("cik", "filed_at", periods.fiscal_label_for_end(*args, quarterly=False).alias("year_label"), periods.fiscal_label_for_end(*args, quarterly=True).alias("quarter_label"))
 

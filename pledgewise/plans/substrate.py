@@ -60,7 +60,7 @@ class Tables:
 
         ``text`` begins with a title, ``line`` speaks of a miss, and ``withdrawal`` may withdraw guidance; 8-K alone has titles that count.
         """
-        rows = self.filings.join(F.broadcast(self.companies.select("cik", "company", "fiscal_month", "named_for_end")), "cik")  # 25 rows
+        rows = self.filings.join(self.companies.select("cik", "company", "fiscal_month", "named_for_end"), "cik")
         month, last = F.col("fiscal_month") - 1, F.year("filed_at") * 12 + F.month("filed_at") - 2
         end = last - F.pmod(last - month, F.lit(3))
         into = F.pmod(end - month, F.lit(12))
