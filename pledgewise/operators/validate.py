@@ -70,6 +70,78 @@ def document_issues(evidence: DataFrame, documents: DataFrame, key: str) -> Data
     return met.select(key, issue.alias("issue")).where("issue is not null")
 
 
+#: Where a record's evidence stands.
+EVIDENCES = ("assumption.evidence", "outcome.evidence", "acknowledgement_evidence")
+
+
+def record_issues(records: DataFrame) -> DataFrame:
+    """``record_id, check, detail`` of nested records: what the schema of a record refuses, by the dotted name of the value.
+
+    Cells must not be empty, names must look as they should, evidence must come from the right hosts with an excerpt of 1 to 400
+    characters, numbers must be finite, bounds in order, the status known, and an acknowledgement's day must come with its evidence.
+    Evidence that a record need not have is checked where it is.
+    """
+
+    def matches(name: str, pattern: str, there: Column | None = None, value: Column | None = None) -> Column:
+        text = F.coalesce(F.col(name) if value is None else value, F.lit(""))
+        return _bad(name, ~text.rlike(pattern) if there is None else there & ~text.rlike(pattern), text)
+
+    def present(name: str, there: Column) -> Column:
+        return _bad(name, there & F.col(name).isNull(), F.lit("missing"))
+
+    def number(name: str) -> Column:
+        return _bad(name, F.isnan(name) | (F.abs(F.col(name)) == float("inf")), F.col(name))
+
+    def upper(name: str) -> Column:
+        return F.upper(F.trim(F.col(name)))
+
+    always = F.lit(True)
+    found = [
+        matches("record_id", PATTERNS["draft_id"], value=upper("record_id")),
+        matches("ticker", r"^[A-Z0-9.\-]{1,10}$", value=upper("ticker")),
+        matches("cik", PATTERNS["cik"]),
+        *[matches(name, "^(?s).") for name in ("company", "claim", "invalidation_condition", "reviewer", "assumption.text", "assumption.metric", "assumption.unit", "assumption.target_period")],
+        *[present(name, always) for name in ("assumption.stated_at", "last_reviewed_at")],
+        present("outcome.reported_at", F.col("outcome").isNotNull()),
+        *[number(name) for name in ("assumption.target_low", "assumption.target_high", "outcome.reported_value")],
+        _bad("assumption", (F.col("assumption.target_low") > F.col("assumption.target_high")) & ~F.isnan("assumption.target_low"), F.lit("bounds are not in order")),
+        _bad("status", ~F.coalesce(F.col("status").isin(*STATUSES), F.lit(False)), F.col("status")),
+        _bad("acknowledged_at", F.col("acknowledged_at").isNull() != F.col("acknowledgement_evidence").isNull(), F.lit("day and evidence come together")),
+    ]
+    for place in EVIDENCES:
+        needed = {"assumption.evidence": always, "outcome.evidence": F.col("outcome").isNotNull()}.get(place, F.col(place).isNotNull())
+        found += [
+            matches(f"{place}.source_url", PATTERNS["source_url"], needed),
+            matches(f"{place}.accession_number", ACCESSION, needed),
+            matches(f"{place}.filing_type", "^.", needed, F.trim(F.col(f"{place}.filing_type"))),
+            *[present(f"{place}.{name}", needed) for name in ("filed_at", "fetched_at")],
+            matches(f"{place}.content_sha256", PATTERNS["content_sha256"], needed, F.lower(F.trim(F.col(f"{place}.content_sha256")))),
+            matches(f"{place}.excerpt", PATTERNS["excerpt"], needed),
+        ]
+    return records.select("record_id", F.explode(F.array_compact(F.array(*found))).alias("i")).select("record_id", "i.*")
+
+
+def evidence_issues(records: DataFrame, documents: DataFrame) -> DataFrame:
+    """``record_id, check`` of evidence, up to three a record, whose document is not in the cache, has changed, or lacks the excerpt word for word.
+
+    ``records`` are nested; ``documents`` has ``cik, accession, text``.  All evidence is met in one join, and a text is hashed once.
+    """
+    given = F.array(*[F.when(F.col(place).isNotNull(), F.struct(F.lit(place).alias("place"), F.col(place).alias("e"))) for place in EVIDENCES])
+    rows = records.select("record_id", "cik", F.explode(F.array_compact(given)).alias("g"))
+    rows = rows.select("record_id", "cik", "g.place", F.col("g.e.accession_number").alias("accession"), F.col("g.e.content_sha256").alias("sha"), F.col("g.e.excerpt").alias("excerpt"))
+    kept = documents.select("cik", "accession", "text", F.sha2("text", 256).alias("its_sha"))
+    met = rows.join(kept, ["cik", "accession"], "left")
+    there = F.col("text").isNotNull()
+    found = F.array_compact(
+        F.array(
+            F.when(~there, "cached_document"),
+            F.when(there & ~F.col("its_sha").eqNullSafe(F.col("sha")), "content_sha256"),
+            F.when(there & ~F.coalesce(F.contains("text", "excerpt"), F.lit(False)), "excerpt"),
+        )
+    )
+    return met.select("record_id", F.explode(F.transform(found, lambda c: F.concat("place", F.lit("."), c))).alias("check"))
+
+
 def calendar_issues(companies: DataFrame) -> DataFrame:
     """``company, check`` of companies without a fiscal month from 1 to 12, or a rule by which years are named."""
     found = F.array_compact(F.array(F.when(~F.coalesce(F.col("fiscal_month").between(1, 12), F.lit(False)), "fiscal month"), F.when(F.col("named_for_end").isNull(), "naming of years")))

@@ -210,36 +210,6 @@ def hand_verified(t: Tables) -> DataFrame:
     return t.statements.where("reviewed").groupBy("company").agg(F.round(share, 9).alias("share"), (share >= 0.1).alias("enough"))
 
 
-@query(
-    "a20_before_after",
-    f"""WITH {RESOLVED}, d AS (SELECT company, reported_value AS b, CASE WHEN part % 10 = 0 THEN NULL WHEN part % 10 = 1 THEN reported_value + 1 WHEN part % 10 = 2 THEN coalesce(reported_value, 5) ELSE reported_value END AS a FROM resolved)
-        SELECT coalesce(company, 'TOTAL') AS company, count(b) AS before, count(a) AS after, count(*) FILTER (b IS NULL AND a IS NOT NULL) AS gained,
-               count(*) FILTER (b IS NOT NULL AND a IS NULL) AS lost, count(*) FILTER (a <> b) AS changed FROM d GROUP BY ROLLUP (company)""",
-)
-def before_after(t: Tables) -> DataFrame:
-    """Two snapshots joined in full on the record id, counted per company with a total."""
-    before = t.resolved.select("record_id", "company", F.col("reported_value").alias("b"))
-    part = F.col("part") % 10
-    after = t.resolved.select("record_id", F.when(part == 0, None).when(part == 1, F.col("reported_value") + 1).when(part == 2, F.coalesce("reported_value", F.lit(5.0))).otherwise(F.col("reported_value")).alias("a"))
-    return compare_snapshots(before, after)
-
-
-def compare_snapshots(before: DataFrame, after: DataFrame) -> DataFrame:
-    both = before.join(after, "record_id", "full_outer")
-    a, b = F.col("a"), F.col("b")
-    return (
-        both.rollup("company")
-        .agg(
-            F.count("b").alias("before"),
-            F.count("a").alias("after"),
-            F.count_if(b.isNull() & a.isNotNull()).alias("gained"),
-            F.count_if(b.isNotNull() & a.isNull()).alias("lost"),
-            F.count_if(a != b).alias("changed"),
-        )
-        .withColumn("company", F.coalesce("company", F.lit("TOTAL")))
-    )
-
-
 @query("a22_approximate")
 def approximate(t: Tables) -> DataFrame:
     """Approximate counterparts of the exact medians and counts, for tables where exact ones cost too much."""

@@ -101,36 +101,6 @@ def headings(t: Tables) -> DataFrame:
     return lines.groupBy("doc_id").agg(F.count_if(short).alias("short_lines"))
 
 
-@query(
-    "a21_outcome_audit",
-    f"""WITH {RESOLVED} SELECT coalesce(company, 'TOTAL') AS company, count(*) FILTER (n > 0 AND NOT allowed) AS flagged, count(*) FILTER (n > 0 AND allowed) AS allowed, count(*) FILTER (n = 0) AS clean
-        FROM (SELECT company, (part % 9 = 0)::INT + (NOT (above OR below))::INT AS n, part % 6 = 0 AS allowed FROM resolved WHERE reviewed AND reported_value IS NOT NULL) GROUP BY ROLLUP (company)""",
-)
-def outcome_audit(t: Tables) -> DataFrame:
-    """Reasons to doubt an outcome per approved row, less an allowlist, per company with a total."""
-    rows = t.resolved.where("reviewed and reported_value is not null")
-    inside = F.when(F.col("reported_value").between(F.coalesce("target_low", F.lit(float("-inf"))), F.coalesce("target_high", F.lit(float("inf")))), "in range")
-    reasons = F.array_compact(F.array(F.when(F.col("part") % 9 == 0, "keyword"), inside))
-    allowed = t.statements.where("part % 6 = 0").select("record_id", F.lit(True).alias("allow"))
-    rows = rows.withColumn("n", F.size(reasons)).join(allowed, "record_id", "left")
-    allow = F.col("allow").isNotNull()
-    counts = rows.rollup("company").agg(F.count_if((F.col("n") > 0) & ~allow).alias("flagged"), F.count_if((F.col("n") > 0) & allow).alias("allowed"), F.count_if(F.col("n") == 0).alias("clean"))
-    return counts.withColumn("company", F.coalesce("company", F.lit("TOTAL")))
-
-
-def _g(x: str) -> str:
-    return f"{x}::INT"
-
-
-@query(
-    "m1_build_row",
-    f"""WITH {STATEMENTS} SELECT record_id, company || ' expects ' || target_period || ' ' || metric || ' ' || CASE WHEN target_low IS NULL THEN 'of at most ' || {_g('target_high')} WHEN target_high IS NULL THEN 'of at least ' || {_g('target_low')}
-        WHEN target_low = target_high THEN 'of ' || {_g('target_low')} ELSE 'between ' || {_g('target_low')} || ' and ' || {_g('target_high')} END AS claim, 'open' AS status FROM statements""",
-)
-def build_row(t: Tables) -> DataFrame:
-    return t.statements.select("record_id", review.claim(F.col("company"), F.col("target_period"), F.col("metric"), F.col("target_low"), F.col("target_high")).alias("claim"), F.lit("open").alias("status"))
-
-
 @query("m4_propose_acknowledgement", f"WITH {RESOLVED} SELECT record_id, CASE WHEN part % 4 <> 0 AND part % 4 <> 1 THEN acknowledged_at END AS proposal FROM resolved WHERE acknowledged_at IS NOT NULL")
 def propose_acknowledgement(t: Tables) -> DataFrame:
     """An acknowledgement is proposed unless the row has it already or a note rejects that day and address."""

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EVIDENCE = "struct<source_url: string, accession_number: string, filing_type: string, filed_at: date, fetched_at: timestamp, content_sha256: string, excerpt: string>"
+ASSUMPTION = f"struct<text: string, metric: string, target_low: double, target_high: double, unit: string, target_period: string, stated_at: date, evidence: {EVIDENCE}>"
+OUTCOME = f"struct<reported_value: double, reported_at: date, evidence: {EVIDENCE}>"
 RECORD = (
     "record_id string, company string, ticker string, cik string, claim string, "
-    f"assumption struct<text: string, metric: string, target_low: double, target_high: double, unit: string, target_period: string, stated_at: date, evidence: {EVIDENCE}>, "
-    f"outcome struct<reported_value: double, reported_at: date, evidence: {EVIDENCE}>, invalidation_condition string, status string, acknowledged_at date, "
+    f"assumption {ASSUMPTION}, "
+    f"outcome {OUTCOME}, invalidation_condition string, status string, acknowledged_at date, "
     f"acknowledgement_evidence {EVIDENCE}, days_to_falsifiable int, days_to_acknowledged int, last_reviewed_at date, reviewer string"
 )
 
