@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .chain import UNREAD
+
 # Words that look ahead, numbers in text, ranges of numbers, and words of guidance in an excerpt.
 KEYWORDS = ("expect", "guidance", "outlook", "forecast", "anticipate", "target")
 NUMBER = r"\d[\d,]*(?:\.\d+)?"
@@ -149,3 +151,43 @@ def project_costs(requests: DataFrame, expected_output: Column, committed: DataF
     rows = sums.join(committed.groupBy("stage").agg(F.sum("usd").alias("committed")), "stage", "left").withColumn("committed", F.coalesce("committed", F.lit(0.0)))
     expected, worst = prices.usd(F.col("input_tokens"), expected_output * F.col("requests")), prices.usd(F.col("input_tokens"), F.col("max_output"))
     return rows.select("stage", "requests", "input_tokens", F.round(expected, 6).alias("usd_expected"), F.round(worst, 6).alias("usd_worst"), (worst <= F.lit(prices.budget) - F.col("committed")).alias("fits"))
+
+
+def guard_funnel(candidates: DataFrame, derived: DataFrame, judged: DataFrame, decisions: DataFrame) -> DataFrame:
+    """``step, stage, reason, n``: what was sent to the model, what came back, and where it was lost on its way to a release.
+
+    ``candidates`` is what was asked, ``derived`` every item with its reason (an answer that could not be read gave no item), ``judged``
+    the drafts' verdicts of ``dedupe``, and ``decisions`` has ``draft_id, approved`` (null: undecided) and ``published`` of kept drafts.
+    """
+    kept = judged.where("outcome = 'kept'").select("draft_id", "conflict").join(decisions, "draft_id", "left")
+    approved = F.col("approved")
+
+    def part(step: int, stage: str, rows: DataFrame, reason: Column | None = None) -> DataFrame:
+        named = rows.select((F.lit(None).cast("string") if reason is None else reason).alias("reason"))
+        return named.groupBy("reason").agg(F.count("*").alias("n")).select(F.lit(step).alias("step"), F.lit(stage).alias("stage"), "reason", "n")
+
+    parts = [
+        part(1, "sent", candidates),
+        part(2, "returned", derived.where(~F.col("reason").eqNullSafe(UNREAD))),
+        part(3, "rejected", derived.where("reason is not null"), F.col("reason")),
+        part(4, "dropped", judged.where("outcome <> 'kept'"), F.col("outcome")),
+        part(5, "conflicts", kept.where("conflict")),
+        part(6, "review", kept),
+        part(7, "rejected in review", kept.where(~approved)),
+        part(8, "undecided", kept.where(approved.isNull())),
+        part(9, "published", kept.where(approved & F.coalesce("published", F.lit(False)))),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def sector_coverage(companies: DataFrame) -> DataFrame:
+    """``sector, companies, place`` of published companies, most first and then by name; a published company without a sector is an error.
+
+    ``companies`` has ``cik, company, publish, sector``.
+    """
+    named = F.coalesce(F.nullif("sector", F.lit("")), F.raise_error(F.concat(F.lit("a published company has no sector: "), "company")).cast("string"))
+    counts = companies.where("publish").select("cik", named.alias("sector")).groupBy("sector").agg(F.countDistinct("cik").alias("companies"))
+    return counts.withColumn("place", F.row_number().over(Window.orderBy(F.desc("companies"), "sector")))  # a row a sector

@@ -29,6 +29,10 @@ def _looked_up(name: Column, table: list[tuple], value: int) -> Column:
 _TWO_BASES = [m[: -len(" GAAP")] for m, _, _ in dims.METRICS if m.endswith(" GAAP") and m.replace(" GAAP", " non-GAAP") in {x for x, _, _ in dims.METRICS}]
 
 
+#: The reason of an answer that has no items to judge.
+UNREAD = "output did not parse as a list of items"
+
+
 def answered_items(candidates: DataFrame, answers: DataFrame) -> DataFrame:
     """A row for each item of each usable answer with its candidate, and one row with a reason for an answer that cannot be read.
 
@@ -38,7 +42,7 @@ def answered_items(candidates: DataFrame, answers: DataFrame) -> DataFrame:
     read = answers.where("status = 'ok'").select("custom_id", R.answer_items(F.col("text"), ITEM).alias("items"))
     met = candidates.join(read, "custom_id")
     rows = met.select("*", F.posexplode_outer("items").alias("item_index", "item")).where("items is null or item_index is not null")
-    unread = F.when(F.col("items").isNull(), "output did not parse as a list of items")
+    unread = F.when(F.col("items").isNull(), UNREAD)
     return rows.withColumns({"item_index": F.coalesce("item_index", F.lit(0)), "reason": unread}).drop("items")
 
 

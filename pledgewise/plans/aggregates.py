@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import periods
+from ..operators import audit
 from .registry import query
-from .substrate import FILINGS, RESOLVED, STATEMENTS, Tables
+from .substrate import COMPANIES, FILINGS, RESOLVED, STATEMENTS, Tables
 
 
 def _missed() -> Column:
@@ -158,6 +159,17 @@ def sectors(t: Tables) -> DataFrame:
     return t.statements.where("publish and sector is not null").groupBy("sector").agg(F.countDistinct("cik").alias("companies"), F.count("*").alias("statements"))
 
 
+@query(
+    "a10_coverage",
+    f"""WITH {COMPANIES}, {FILINGS}, c AS (SELECT cik, coalesce(sector, 'utilities') AS sector FROM companies WHERE publish AND cik IN (SELECT cik FROM filings))
+        SELECT sector, count(*) AS companies, row_number() OVER (ORDER BY count(*) DESC, sector)::INT AS place FROM c GROUP BY sector""",
+)
+def coverage(t: Tables) -> DataFrame:
+    """Sectors of the published companies that have filed, most first; each must have one."""
+    filed = t.companies.withColumn("sector", F.coalesce("sector", F.lit("utilities"))).join(t.filings.select("cik").distinct(), "cik", "left_semi")
+    return audit.sector_coverage(filed)
+
+
 @query("a11_left_out", f"WITH {STATEMENTS} SELECT coalesce(sector, 'no sector') AS reason, list_sort(list_distinct(list(company))) AS companies, count(*) AS statements FROM statements WHERE NOT publish GROUP BY 1")
 def left_out(t: Tables) -> DataFrame:
     return t.statements.where("not publish").groupBy(F.coalesce("sector", F.lit("no sector")).alias("reason")).agg(F.sort_array(F.collect_set("company")).alias("companies"), F.count("*").alias("statements"))

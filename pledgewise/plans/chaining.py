@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import chain
+from ..operators import audit, chain
+from ..operators.dedupe import dedupe
 from .corpus import scratch
 from .registry import query
 from .substrate import STATEMENTS, Tables
@@ -117,3 +118,25 @@ def rejected_blocks(t: Tables) -> DataFrame:
     candidates, answers, derived = _derived(t)
     drafts, rejects = chain.write(derived, scratch(t.spark, "derived-blocks"))
     return chain.empty_blocks(candidates, answers, drafts, rejects).select(F.col("custom_id").alias("record_id"), "accession", "reason")
+
+
+@query(
+    "a18_guard_funnel",
+    f"""WITH {_WANTED}, d AS (SELECT k.*, st.stated_at, st.publish, dense_rank() OVER (PARTITION BY k.cik, metric, k.target_period, stated_at ORDER BY k.target_low, k.target_high) AS nth FROM chained k JOIN (SELECT record_id, stated_at, publish FROM statements) st USING (record_id) WHERE reason IS NULL),
+        g AS (SELECT cik, metric, target_period, stated_at, target_low, target_high, any_value(publish) AS publish, any_value(conflict) AS conflict, any_value(floor(target_low)::BIGINT % 5) AS said FROM (SELECT *, max(nth) OVER (PARTITION BY cik, metric, target_period, stated_at) > 1 AS conflict FROM d) GROUP BY cik, metric, target_period, stated_at, target_low, target_high)
+        SELECT * FROM (SELECT 1 AS step, 'sent' AS stage, NULL::VARCHAR AS reason, count(*) AS n FROM chained UNION ALL SELECT 2, 'returned', NULL, count(*) FILTER (reason IS DISTINCT FROM 'output did not parse as a list of items') FROM chained
+          UNION ALL SELECT 3, 'rejected', reason, count(*) FROM chained WHERE reason IS NOT NULL GROUP BY reason UNION ALL SELECT 4, 'dropped', 'duplicate', (SELECT count(*) FROM d) - count(*) FROM g UNION ALL SELECT 5, 'conflicts', NULL, count(*) FROM g WHERE conflict
+          UNION ALL SELECT 6, 'review', NULL, count(*) FROM g UNION ALL SELECT 7, 'rejected in review', NULL, count(*) FROM g WHERE said = 0 UNION ALL SELECT 8, 'undecided', NULL, count(*) FROM g WHERE said = 1
+          UNION ALL SELECT 9, 'published', NULL, count(*) FROM g WHERE said > 1 AND publish) WHERE n > 0""",
+)
+def whole_funnel(t: Tables) -> DataFrame:
+    """From candidates to a release in one table: sent, returned, rejected by reason, dropped, in conflict, reviewed, published."""
+    candidates, _, derived = _derived(t)
+    path = scratch(t.spark, "funnel")
+    derived.select("draft_id", "cik", "metric", "target_period", "stated_at", "capture_method", "char_start", "item_index", "target_low", "target_high", "unit", "reason").write.parquet(path)
+    items = t.spark.read.parquet(path)  # the chain runs once for all stages
+    drafts = items.where("reason is null").drop("reason")
+    judged = dedupe(drafts)
+    said = F.floor("target_low") % 5
+    decisions = drafts.join(t.companies.select("cik", "publish"), "cik").select("draft_id", F.when(said == 0, False).when(said > 1, True).alias("approved"), F.col("publish").alias("published"))
+    return audit.guard_funnel(candidates, items, judged, decisions)

@@ -103,16 +103,26 @@ def jsonl(t: Tables) -> DataFrame:
     return R.read_jsonl(t.spark, path, "record_id string, company string").groupBy("valid").agg(F.count("*").alias("n"))
 
 
-@query("s11_index_documents", "SELECT page_id::VARCHAR AS page_id, CASE WHEN page_id % 2 = 0 THEN 'EX-99.1' ELSE 'EX-99' END AS doc_type, '/Archives/b' || page_id AS path FROM pages")
+_FOLDER = "/Archives/edgar/data/12/000000001224000001/"
+
+
+@query("s11_index_documents", f"SELECT page_id::VARCHAR AS page_id, CASE WHEN page_id % 2 = 0 THEN 'EX-99.1' ELSE 'EX-99' END AS doc_type, '{_FOLDER}b' || page_id || '&c.htm' AS path FROM pages")
 def index_documents(t: Tables) -> DataFrame:
-    """Index tables of filings: the exhibit is picked before the form itself."""
+    """Index tables of filings: an exhibit is picked before the form itself; viewers, other hosts, other folders, character references, and links
+    outside the document's own column."""
     key = F.col("page_id").cast("string")
-    kind = F.when(F.col("page_id") % 2 == 0, "EX-99.1").otherwise("EX-99")
-    row = '<tr><td>%s</td><td>x</td><td><a href="%s%s">d</a></td><td>%s</td></tr>'
-    html = F.concat(
-        F.col("html"), F.format_string("<table>" + row, F.lit("1"), F.lit("/ix?doc=/Archives/a"), key, F.lit("8-K")), F.format_string(row, F.lit("2"), F.lit("/Archives/b"), key, kind),
-        F.format_string(row + "</table>", F.lit("3"), F.lit("/elsewhere/c"), key, F.lit("EX-99.1")),
-    )
+    kind = F.when(F.col("page_id") % 2 == 0, " EX-99.1").otherwise("<b>EX-99</b>\n&nbsp;")
+    row = '<tr class="x"><td scope="row">%s</td><td>%s</td><td><a\nhref="%s%s%s">d</a></td><td>%s</td></tr>'
+    host = F.when(F.col("page_id") % 3 == 0, "https://www.sec.gov").when(F.col("page_id") % 3 == 1, "//efts.sec.gov:443").otherwise("")
+    rows = [
+        (F.lit("1"), F.lit("x"), F.lit(f"/ix?doc={_FOLDER}a"), key, F.lit(".htm&amp;x=1"), F.lit("8-K")),
+        (F.lit("&nbsp;2 "), F.lit('<a href="/elsewhere">x</a>'), F.concat(host, F.lit(f"{_FOLDER}b")), key, F.lit("&amp;c.htm#top"), kind),
+        (F.lit("3"), F.lit(f'<a href="{_FOLDER}x">x</a>'), F.lit("/elsewhere/c"), key, F.lit(""), F.lit("EX-99.1")),
+        (F.lit("4"), F.lit("x"), F.lit(f"https://example.com{_FOLDER}d"), key, F.lit(""), F.lit("EX-99.1")),
+        (F.lit("x"), F.lit("x"), F.lit(f"{_FOLDER}e"), key, F.lit(""), F.lit("EX-99.1")),
+        (F.lit("5"), F.lit("x"), F.lit(f"{_FOLDER}deep/f"), key, F.lit(""), F.lit("EX-99.1")),
+    ]
+    html = F.concat(F.col("html"), F.lit("<table>"), *[F.format_string(row, *cells) for cells in rows], F.lit("</table>"))
     pages = t.read("pages").select(key.alias("page_id"), html.alias("html"))
     return S.pick_document(S.index_documents(pages))
 

@@ -135,6 +135,13 @@ def year_in_label(t: Tables) -> DataFrame:
     return t.statements.select("target_period").distinct().select("target_period", periods.year_in(F.col("target_period")).alias("year"))
 
 
-@query("g18_ulid")
+_HEX = "lpad(to_base((stated_at - DATE '1970-01-01')::BIGINT * 86400000, 16), 12, '0') || sha256(cik || '|' || record_id)[1:20]"
+
+
+@query(
+    "g18_ulid",
+    f"""WITH {STATEMENTS}, b AS (SELECT record_id, '00' || array_to_string(list_transform(string_split(lower({_HEX}), ''), lambda c: lpad(bin(strpos('0123456789abcdef', c) - 1), 4, '0')), '') AS bits FROM statements)
+        SELECT record_id, array_to_string(list_transform(range(26), lambda k: ('{ids.CROCKFORD}')[1 + list_sum(list_transform(range(5), lambda i: (bits[1 + 5 * k + i])::INT * (16 >> i::INT)))::INT]), '') AS ulid FROM b""",
+)
 def ulid(t: Tables) -> DataFrame:
     return t.statements.select("record_id", ids.ulid(F.col("stated_at"), F.concat_ws("|", "cik", "record_id")).alias("ulid"))

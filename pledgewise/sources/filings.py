@@ -48,16 +48,36 @@ def feed_entries(pages: DataFrame, page: str = "page") -> DataFrame:
     return _complete(pages.select(F.explode(parsed["entry"]).alias("e")).select("e.*"))
 
 
+# Character references that index pages use, hosts that links may name, and where documents lie in the archive.
+REFERENCES = [("&nbsp;", " "), ("&#160;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&#38;", "&"), ("&amp;", "&")]
+HOSTS = r"www\.sec\.gov|efts\.sec\.gov"
+ARCHIVE = r"^/Archives/edgar/data/\d+/\d{18}/[^/?#]+$"
+
+
+def _decoded(text: Column) -> Column:
+    for name, char in REFERENCES:  # the ampersand last, so that what it makes is not read again
+        text = F.replace(text, F.lit(name), F.lit(char))
+    return text
+
+
+def archive_path(href: Column) -> Column:
+    """Where in the archive a link leads, without a viewer around it; null for other hosts and places."""
+    local = F.regexp_replace(href, f"^(?:https?:)?//(?:{HOSTS})(?::\\d+)?(?=/)", "")
+    shown = F.regexp_extract(local, r"^/ix\?doc=([^&#]*)", 1)
+    path = F.when(shown != "", shown).otherwise(F.regexp_extract(local, r"^[^?#]*", 0))
+    return F.when(path.rlike(ARCHIVE), path)
+
+
 def index_documents(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Rows of an index page's tables with at least four cells and a number first: position, type and path."""
-    rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))
+    """Rows of an index page's tables with four cells or more, a number first and a link into the archive in the third: position, type and path."""
+    rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
     found = pages.select("page_id", F.posexplode(rows).alias("position", "row"))
-    cells = F.regexp_extract_all("row", F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), F.lit(1))
+    cells = F.regexp_extract_all("row", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), F.lit(1))
     found = found.withColumn("cells", cells).where(F.size("cells") >= 4)
-    plain = F.transform("cells", lambda c: F.trim(F.regexp_replace(c, "(?s)<[^>]*>", "")))
-    path = F.regexp_replace(F.regexp_extract("row", r'(?i)href="([^"]*)"', 1), r"^/ix\?doc=", "")
-    out = found.select("page_id", "position", F.get(plain, F.lit(0)).alias("seq"), F.get(plain, F.lit(3)).alias("doc_type"), path.alias("path"))
-    return out.where(F.col("seq").rlike(r"^\d+$") & F.col("path").startswith("/Archives/")).drop("seq")
+    plain = F.transform("cells", lambda c: F.trim(F.regexp_replace(_decoded(F.regexp_replace(c, "(?s)<[^>]*>", "")), r"\s+", " ")))
+    link = _decoded(F.regexp_extract(F.get("cells", F.lit(2)), r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']""", 1))
+    out = found.select("page_id", "position", F.get(plain, F.lit(0)).alias("seq"), F.get(plain, F.lit(3)).alias("doc_type"), archive_path(link).alias("path"))
+    return out.where(F.col("seq").rlike(r"^\d+$") & F.col("path").isNotNull()).drop("seq")
 
 
 def pick_document(documents: DataFrame) -> DataFrame:

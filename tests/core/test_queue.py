@@ -5,11 +5,14 @@ import random
 import re
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from pledgewise.functions import wording
 from pledgewise.operators import audit, validate
 from pledgewise.operators import queue as Q
+from pledgewise.operators.chain import UNREAD
+from pledgewise.sources import filings
 from pledgewise.sources import records as R
 
 DAY = datetime.date(2024, 2, 1)
@@ -155,3 +158,32 @@ def test_summary_counts_candidates_of_new_filings_alone(spark):
     changes = spark.createDataFrame([("r", "2", True), ("s", "4", False)], "record_id string, cik string, new_row boolean")
     got = {r.cik: (r.filings, r.candidates, r.new_row) for r in audit.refresh_summary(filings, candidates, changes).collect()}
     assert got == {"1": (2, 2, 0), "2": (1, 0, 1), "4": (0, 0, 0), "TOTAL": (3, 2, 1)}
+
+
+def test_sectors_of_published_companies(spark):
+    rows = [("1", "A", True, "tech"), ("2", "B", True, "tech"), ("3", "C", True, "care"), ("4", "D", False, None)]
+    companies = spark.createDataFrame(rows, "cik string, company string, publish boolean, sector string")
+    assert [tuple(r) for r in audit.sector_coverage(companies).orderBy("place").collect()] == [("tech", 2, 1), ("care", 1, 2)]
+    for nothing in (None, ""):
+        worse = companies.union(spark.createDataFrame([("5", "E", True, nothing)], companies.schema))
+        with pytest.raises(Exception, match="a published company has no sector: E"):
+            audit.sector_coverage(worse).collect()
+
+
+def test_paths_into_the_archive(spark):
+    place = "/Archives/edgar/data/1/000000000124000001/a.htm"
+    cases = [
+        (place, place), (f"https://www.sec.gov{place}?x#y", place), (f"//efts.sec.gov:443{place}", place), (f"/ix?doc={place}&xbrl=true", place), (f"https://www.sec.gov/ix?doc={place}", place), (f"https://www.sec.gov.evil.com{place}", None),
+        (f"https://example.com{place}", None), ("/Archives/edgar/data/1/1/a.htm", None), (f"{place}/b", None), ("", None), (None, None), (f"/ix?doc=https://example.com{place}", None),
+    ]
+    got = [r[0] for r in spark.createDataFrame([(k, h) for k, (h, _) in enumerate(cases)], "k int, h string").orderBy("k").select(filings.archive_path(F.col("h"))).collect()]
+    assert got == [want for _, want in cases]
+
+
+def test_the_funnel_counts_every_item_once(spark):
+    candidates = spark.createDataFrame([(k,) for k in range(5)], "custom_id int")
+    derived = spark.createDataFrame([(0, None), (0, "bad"), (0, UNREAD), (0, None), (0, None)], "item_index int, reason string")
+    judged = spark.createDataFrame([("a", "kept", True), ("b", "kept", True), ("c", "duplicate", False)], "draft_id string, outcome string, conflict boolean")
+    said = spark.createDataFrame([("a", True, True), ("c", True, True)], "draft_id string, approved boolean, published boolean")
+    got = {(r.stage, r.reason): r.n for r in audit.guard_funnel(candidates, derived, judged, said).collect()}
+    assert got == {("sent", None): 5, ("returned", None): 4, ("rejected", "bad"): 1, ("rejected", UNREAD): 1, ("dropped", "duplicate"): 1, ("conflicts", None): 2, ("review", None): 2, ("undecided", None): 1, ("published", None): 1}
