@@ -90,5 +90,7 @@ def write_unless_empty(df: DataFrame, path: str) -> bool:
     return True
 
 
-def write_by_company(df: DataFrame, path: str) -> None:
-    df.repartition("cik").write.mode("overwrite").partitionBy("cik").json(path)
+def write_by_company(df: DataFrame, path: str, files: int = 8) -> None:
+    """JSON lines in a folder for each ``cik``, dealt over up to ``files`` files there by the other columns' hash, so a large company is not one task."""
+    rest = F.xxhash64(*[c for c in df.columns if c != "cik"])
+    df.repartition("cik", F.pmod(rest, F.lit(files))).write.mode("overwrite").partitionBy("cik").json(path)
