@@ -159,18 +159,16 @@ def points_in_ranges(t: Tables) -> DataFrame:
     return points.join(found, [*keys, "at"]).select("point_id", "range_id")
 
 
-@query(
-    "j17_conflict_pairs",
-    f"""WITH {STATEMENTS}, c AS (SELECT {_KEY}, target_low, target_high, min(record_id) AS id, count(*) AS n FROM statements GROUP BY ALL) SELECT a.id AS first_id, b.id AS second_id, a.n AS n_first, b.n AS n_second
-        FROM c a JOIN c b USING ({_KEY}) WHERE a.id < b.id""",
-)
+@query("j17_conflict_pairs", f"WITH {STATEMENTS} SELECT a.record_id AS first_id, b.record_id AS second_id FROM statements a JOIN statements b USING ({_KEY}) WHERE a.record_id < b.record_id AND (a.target_low IS DISTINCT FROM b.target_low OR a.target_high IS DISTINCT FROM b.target_high)")
 def conflict_pairs(t: Tables) -> DataFrame:
-    """Pairs of different numbers stated on one key, each by the first record that states them, with how many records do."""
+    """Pairs of records on one key that state different numbers; figures meet figures first, so that no pair is made only to be dropped."""
     keys = ["cik", "metric", "target_period", "stated_at"]
-    figures = t.statements.groupBy(*keys, "target_low", "target_high").agg(F.min("record_id").alias("id"), F.count("*").alias("n"))
-    a = figures.select(*keys, F.col("id").alias("first_id"), F.col("n").alias("n_first"))
-    b = figures.select(*keys, F.col("id").alias("second_id"), F.col("n").alias("n_second"))
-    return a.join(b, keys).where("first_id < second_id").select("first_id", "second_id", "n_first", "n_second")
+    # a missing bound is met as a number that no bound is
+    records = t.statements.select(*keys, *[F.coalesce(c, F.lit(float("-inf"))).alias(c) for c in ("target_low", "target_high")], "record_id")
+    figures = records.drop("record_id").distinct()
+    differ = figures.toDF(*keys, "l1", "h1").join(figures.toDF(*keys, "l2", "h2"), keys).where(F.struct("l1", "h1") < F.struct("l2", "h2"))
+    met = differ.join(records.toDF(*keys, "l1", "h1", "a"), [*keys, "l1", "h1"]).join(records.toDF(*keys, "l2", "h2", "b"), [*keys, "l2", "h2"])
+    return met.where("a <> b").select(F.least("a", "b").alias("first_id"), F.greatest("a", "b").alias("second_id"))
 
 
 @query("u1_union_priority", f"WITH {STATEMENTS} SELECT record_id, CASE WHEN part % 2 = 0 THEN 'fresh' ELSE 'stub' END AS origin FROM statements WHERE part % 2 = 0 OR part % 3 = 0")

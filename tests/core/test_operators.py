@@ -1,5 +1,6 @@
 import random
 from datetime import date, timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ import __spark_entry__ as entry
 from pledgewise.dims import Config
 from pledgewise.operators import candidates, dedupe, joins, orderstats, review
 from pledgewise.operators.joins import interval_join, replace_scope
+from pledgewise.plans.joining import conflict_pairs
 from pledgewise.plans.substrate import Tables
 from pledgewise.sources import filings, records
 from pledgewise.streaming import incremental
@@ -205,6 +207,17 @@ def test_merged_tables(spark, tmp_path):
     assert sorted(map(tuple, now.collect())) == [(1, "d"), (2, "b"), (3, "b"), (3, "c")]
 
 
+def test_conflict_pairs_are_of_records(spark):
+    """Every record of a figure meets every record of another one on its key; records that agree do not meet."""
+    figures = [(5.0, 6.0)] * 3 + [(7.0, None)] * 2 + [(None, None), (5.0, 6.0), (None, 7.0)]
+    rows = [(f"r{7 * i % 8}", "1" if i < 7 else None, "eps", "FY2024", date(2024, 2, 1 + (i == 6)), *f) for i, f in enumerate(figures)]
+    rows += [(*rows[0][:5], 9.0, 9.0), rows[3]]
+    statements = spark.createDataFrame(rows, "record_id string, cik string, metric string, target_period string, stated_at date, target_low double, target_high double")
+    got = sorted(map(tuple, conflict_pairs(SimpleNamespace(statements=statements)).collect()))
+    keyed = [r for r in rows if r[1]]
+    assert got == sorted((a[0], b[0]) for a in keyed for b in keyed if a[0] < b[0] and a[1:5] == b[1:5] and a[5:] != b[5:])
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 26
     assert set(entry.oracle_sql()) <= set(entry.queries())
