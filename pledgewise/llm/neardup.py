@@ -9,7 +9,7 @@ bound passes nearly every pair of unrelated texts.  So what is left is completed
 shingles, two sets this alike share a shingle among the first n - ceil(0.8 n) + 1 of each; a class is entered under these alone,
 and classes of different groups that meet under a shingle, where sizes and places leave room for 0.8, are candidates.  Each is first held against one
 under the shingle, that which shares most; then only those outside the least one's group are paired with the others.  Any order gives the same
-links.  Shingles that are frequent in a sample of the texts come last, so passages shared by many texts are
+links.  Shingles that are frequent in all texts come last, so passages shared by many texts are
 seldom entered.  Where that pairing would still be large for what stands under a shingle (``CROWD``), classes meet under it and a second one
 instead: two sets this alike share at least two shingles among one more of their first, and the first shared comes before the second.
 
@@ -29,15 +29,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import simhash
-from .common import WHITESPACE, Words, byte_table, range_hash, slices, use_checkpoints
+from .common import WHITESPACE, Words, byte_table, give_back, range_hash, slices, use_checkpoints
 from .components import components
 
 TABLE = byte_table(WHITESPACE, lower=True)
-SHINGLE, CELLS = 5, 256
+SHINGLE, CELLS, PLACE_BITS = 5, 256, 21
 BROADCAST, CROWD = 2_000_000, 64
 SAME_ROW = "h = its_h and doc_id <=> its_id"
 
@@ -77,33 +78,66 @@ def cell_counts(first: np.ndarray, got: np.ndarray) -> np.ndarray:
     return np.minimum(counts, 65_535).astype(np.uint16).reshape(-1, CELLS)
 
 
-def frequent(docs: DataFrame, sampled: int | None = None, least: int = 3, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles in at least ``least`` texts of a sample, ascending, and in how many; they shape the order and nothing else.
-
-    The sample is of about ``sampled`` texts, 8,000 or one in fifty if that is more, and grows with the table, so that a shingle counts as frequent
-    from the same share of texts on at any size; of the shingles found, the ``most`` frequent are kept.
-    """
+def _total(*keys: str):
+    """The sums of counts that stand in a row under equal ``keys``; they stop at the largest 32-bit number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(shingle_sets(batch.column("text"))[1].view(np.int64))], ["k"])
+        now, held = None, np.zeros(1 << PLACE_BITS - 6, np.int64)
+
+        def done() -> pa.RecordBatch:
+            total = np.minimum(held, np.iinfo(np.int32).max).astype(np.int32)
+            held[:] = 0
+            return pa.RecordBatch.from_arrays([pa.array([now["part"]], pa.int32()), pa.array([now["block"]], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["part", "block", "counts"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if now is not None and any(row[k] != now[k] for k in keys):
+                    yield done()
+                now = row
+                held += np.frombuffer(row["counts"], np.int32)
+        if now is not None:
+            yield done()
 
-    n = docs.count()
-    share = min(1.0, (max(8000, n // 50) if sampled is None else sampled) / max(n, 1))
-    chosen = docs.where(F.pmod(F.xxhash64("h", "text"), F.lit(1_000_000)) < share * 1_000_000).select("h", "text").dropDuplicates(["h"])
-    counted = chosen.select("text").mapInArrow(run, "k long").groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    found = counted.orderBy(F.desc("n"), "k").limit(most).toArrow()
-    keys, often = found["k"].to_numpy().view(np.uint64), found["n"].to_numpy()
-    order = np.argsort(keys)
-    return keys[order], often[order]
+    return run
 
 
-def entries(docs: DataFrame, sampled: int | None = None) -> DataFrame:
+def frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Places that frequent shingles share, ascending, and how often texts have shingles there; they shape the order and nothing else.
+
+    The shingles of all texts are counted by the first ``PLACE_BITS`` bits of their hashes, so that a task counts in bounded memory; counts are
+    added up by blocks of places, of 64 tasks first.  A place is frequent that has six standard deviations more than evenly spread shingles would give it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << PLACE_BITS, np.int32)
+        for batch in slices(batches):
+            place, n = np.unique(shingle_sets(batch.column("text"))[1] >> np.uint64(64 - PLACE_BITS), return_counts=True)
+            counts[place.astype(np.int64)] += n.astype(np.int32)
+        part = TaskContext.get().partitionId() // 64
+        for block, piece in enumerate(counts.reshape(64, -1)):
+            if piece.any():
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([piece.tobytes()], pa.binary())], ["part", "block", "counts"])
+
+    schema = "part int, block int, counts binary"
+    pieces = docs.select("text").mapInArrow(run, schema)
+    for keys in (["part", "block"], ["block"]):
+        pieces = pieces.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_total(*keys), schema)
+    total, found = np.zeros((64, 1 << PLACE_BITS - 6), np.int32), pieces.toArrow()
+    for block, counts in zip(found["block"].to_pylist(), found["counts"], strict=True):
+        total[block] = np.frombuffer(counts.as_buffer(), np.int32)
+    del found
+    give_back()
+    total, mean = total.ravel(), total.mean()
+    places = np.flatnonzero(total >= mean + 6 * np.sqrt(mean) + 3)
+    return places.astype(np.uint64), total[places].astype(np.int64)
+
+
+def entries(docs: DataFrame) -> DataFrame:
     """``doc_id, h, class, n, fp, prefix, cells``: a row for each text; the class stands for its set, ``h`` for the text itself.
 
     ``prefix`` has one shingle more than must be entered, where there is one.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(frequent(docs, sampled))
+    sent = docs.sparkSession.sparkContext.broadcast(frequent(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, often = sent.value
@@ -115,8 +149,9 @@ def entries(docs: DataFrame, sampled: int | None = None) -> DataFrame:
             prints, cells = set_fingerprints(first, got), [bytes(c) for c in cell_counts(first, got)]
             rank = np.zeros(len(got), np.int64)
             if len(known):
-                place = np.minimum(np.searchsorted(known, got), len(known) - 1)
-                rank = np.where(known[place] == got, often[place], 0)
+                own = got >> np.uint64(64 - PLACE_BITS)
+                place = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                rank = np.where(known[place] == own, often[place], 0)
             got = got[np.lexsort((got, rank, row))]
             size = np.where(n > 0, n - (4 * n + 4) // 5 + 1, 0)
             size = np.minimum(size + 1, n)
@@ -213,7 +248,7 @@ def _across(placed: DataFrame, classes: DataFrame) -> DataFrame:
     return paired(placed.join(crowded, "k", "left_anti"), ["k"]).union(paired(second, ["k", "k2"]))
 
 
-def drop_near_duplicates(docs: DataFrame, sampled: int | None = None) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One row of each component of alike texts, the least by (id, hash of the text) with null ids last, and all its columns.
 
     The caller's columns may have any names: they travel in one column of their own until the end.
@@ -223,7 +258,7 @@ def drop_near_duplicates(docs: DataFrame, sampled: int | None = None) -> DataFra
     whole = docs.select("doc_id", "text", F.struct(*columns).alias("whole_row"), F.xxhash64(F.lit("text"), F.coalesce("text", F.lit(""))).alias("h"))
     docs = whole.select("doc_id", "h", "text")
     # numbered once written, so that the numbers stay
-    rows = entries(docs, sampled).withColumn("c", F.monotonically_increasing_id()).checkpoint()
+    rows = entries(docs).withColumn("c", F.monotonically_increasing_id()).checkpoint()
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "c")
     copies = rows.groupBy("class").agg(F.min(first).alias("one"), F.count("*").alias("k")).where("k > 1").select("class", F.col("one.c").alias("one"))
     named = rows.select("class", "c", "doc_id", "h").join(sized(copies), "class", "left").select("c", "doc_id", "h", F.coalesce("one", "c").alias("one"))

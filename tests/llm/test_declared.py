@@ -30,3 +30,23 @@ def test_declared_length_that_never_differs_has_no_say(spark):
     text = pa.array(["a b c d"])
     odds = [model.odds(*model.rows(quality.features(text, np.array([n]))), 1)[0] for n in (7.0, 700.0)]
     assert odds[0] == odds[1]
+
+
+def test_every_labelled_row_is_learned_from(spark, monkeypatch):
+    """Of a class of many rows each is learned from, long texts too, in any number of partitions and shards."""
+    rng = random.Random(5)
+    docs = [(i, " ".join(rng.choices("abcdefgh" if i % 2 else "efghijkl", k=8 if i else 9000)), None) for i in range(4000)]
+    df, labels = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame([(i, i % 2, 0) for i in range(4000)], "doc_id long, quality int, toxic int")
+    rows = quality.learned_rows(df, labels, quality.F.lit(True))
+    assert rows.count() == 4000 and rows.where("statistics[10] > 9").count() == 1
+    text, declared = pa.array([t for _, t, _ in docs]), np.full(4000, np.nan)
+    found = quality.features(text, declared)
+    models = []
+    for parts, shard in ((1, 20_000), (7, 20_000), (3, 10_000_000)):
+        models.append(quality.train(df.repartition(parts), labels.repartition(parts), quality.F.lit(True), shard=shard))
+        assert np.allclose(models[-1].centre, found[3].mean(axis=0), atol=1e-8)
+        odds, _ = models[-1].odds(*models[-1].rows(found), 4000)
+        assert ((odds > 0) == np.arange(4000) % 2).mean() > 0.95
+    assert np.allclose(models[0].weights, models[1].weights, atol=1e-6) and np.allclose(models[0].factors, models[1].factors, atol=1e-6)
+    monkeypatch.setattr(quality, "BROADCAST", 0)
+    assert quality.learned_rows(df, labels, quality.F.lit(True)).count() == 4000

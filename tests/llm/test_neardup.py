@@ -113,3 +113,18 @@ def test_one_long_text_with_a_near_copy(spark):
     long = " ".join(f"w{k % 70_000}" for k in range(200_000))
     docs = [(1, "x " + long), (2, long + " y"), (3, "short text of a few words")]
     assert sorted(i for i, _ in run(spark, docs)) == [1, 3]
+
+
+def test_frequent_shingles_are_counted_over_all_texts(spark):
+    """Counts by place are those of all texts, however they are cut and added up."""
+    rng = random.Random(8)
+    shared = " ".join(f"s{k}" for k in range(9))
+    docs = [f"{shared} {shared}" if i % 900 == 7 else " ".join(rng.choices("abcdefghij", k=12)) + f" x{i}" for i in range(9000)]
+    df = spark.createDataFrame([(i, t, i) for i, t in enumerate(docs)], "doc_id long, text string, h long")
+    _, got = neardup.shingle_sets(neardup.pa.array(docs))
+    first = neardup.np.uint64(64 - neardup.PLACE_BITS)
+    want = neardup.np.bincount((got >> first).astype(int), minlength=1 << neardup.PLACE_BITS)
+    for parts in (1, 70):
+        places, often = neardup.frequent(df.repartition(parts))
+        assert {*neardup.shingle_sets(neardup.pa.array([shared]))[1] >> first} <= {*places}
+        assert often.tolist() == want[places.astype(int)].tolist() and len(places) < 1000
