@@ -17,7 +17,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
@@ -51,6 +51,13 @@ def use_checkpoints(spark: SparkSession) -> None:
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
 
 
+def written(df: DataFrame, *sums: Column) -> tuple[DataFrame, Row]:
+    """The table, checkpointed, and aggregates of it that are taken as it is written: no job reads it again for them."""
+    seen = Observation()
+    df = df.observe(seen, *sums).checkpoint()
+    return df, Row(**seen.get)
+
+
 def byte_table(separators: bytes, lower: bool) -> np.ndarray:
     """Maps each byte to itself, separators to a space, and A-Z to a-z where asked."""
     table = np.arange(256, dtype=np.uint8)

@@ -1,8 +1,8 @@
 """SimHash near-deduplication at a stated similarity: texts whose sets of five-word shingles are at least 0.8 alike are linked.
 
 Texts with equal sets are one class.  Each class has the SimHash fingerprint of its set; ``simhash.links`` finds fingerprints
-within two bits through the segment-popcount grid, and each group so linked is held against its least class.  Sets are
-compared whole, so no wrong link is made, and most copies with small changes are joined here at one comparison each.
+within two bits through the segment-popcount grid, and each class is held against the least one of the least fingerprint linked to its own.
+Sets are compared whole, so no wrong link is made, and most copies with small changes are joined here at one comparison each.
 
 Fingerprints alone would miss links: at a similarity of 0.8 about ten of 64 bits differ, and within ten bits the popcount
 bound passes nearly every pair of unrelated texts.  So what is left is completed by a prefix-filtered join.  In one order of all
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import simhash
-from .common import WHITESPACE, Words, byte_table, give_back, range_hash, slices, use_checkpoints
+from .common import WHITESPACE, Words, byte_table, give_back, range_hash, slices, use_checkpoints, written
 from .components import components
 
 TABLE = byte_table(WHITESPACE, lower=True)
@@ -167,8 +167,8 @@ def entries(docs: DataFrame) -> DataFrame:
 
 def sized(keys: DataFrame) -> DataFrame:
     """Written once, and marked for broadcast if it is small; ``keys`` holds a few numbers a row."""
-    keys = keys.checkpoint()
-    return F.broadcast(keys) if keys.count() <= BROADCAST else keys
+    keys, seen = written(keys, F.count(F.lit(1)).alias("rows"))
+    return F.broadcast(keys) if seen.rows <= BROADCAST else keys
 
 
 def _room(n: str, i: str, m: str, j: str) -> Column:
@@ -200,7 +200,9 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     """The pairs of classes ``a, b`` whose whole sets are at least 0.8 alike; ``b`` should be the one in fewer pairs."""
     cells = classes.select("c", "cells", "n")
     held = pairs.join(cells.select(F.col("c").alias("b"), F.col("cells").alias("y"), F.col("n").alias("m")), "b").join(cells.select(F.col("c").alias("a"), F.col("cells").alias("x"), "n"), "a")
-    pairs = held.select("a", "b", "x", "y", "n", "m").mapInArrow(_near_enough, "a long, b long").checkpoint()
+    pairs, seen = written(held.select("a", "b", "x", "y", "n", "m").mapInArrow(_near_enough, "a long, b long"), F.count(F.lit(1)).alias("rows"))
+    if not seen.rows:
+        return pairs
     needed = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
     keys = sized(classes.select("c", "doc_id", "h").join(needed, "c").selectExpr("c", "doc_id as its_id", "h as its_h"))
     texts = docs.select("doc_id", "h", "text").join(keys, F.expr(SAME_ROW)).select("c", "text").dropDuplicates(["c"]).checkpoint()
@@ -210,11 +212,13 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
 
 def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Edges ``a, b`` that connect all classes ``c`` whose sets are at least 0.8 alike, each verified."""
-    linked = components(simhash.links(classes.select("fp"))).withColumnRenamed("node", "fp")
-    grouped = classes.select("c", "fp").join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    heads = grouped.groupBy("root").agg(F.min("c").alias("a"), F.count("*").alias("k")).where("k > 1").select("root", "a")
-    alike = verified(grouped.join(heads, "root").where("c <> a").select("a", F.col("c").alias("b")), docs, classes)
+    linked = simhash.links(classes.select("fp")).groupBy(F.greatest("a", "b").alias("fp")).agg(F.min(F.least("a", "b")).alias("its_fp"))
+    narrow = classes.select("c", "fp")
+    heads = narrow.groupBy(F.col("fp").alias("its_fp")).agg(F.min("c").alias("a"))
+    placed = narrow.join(linked, "fp", "left").select(F.col("c").alias("b"), F.coalesce("its_fp", "fp").alias("its_fp"))
+    alike = verified(placed.join(heads, "its_fp").where("a <> b").select("a", "b"), docs, classes)
 
+    # classes of one root are linked; a root may have a root of its own
     root = sized(alike.select(F.col("b").alias("c"), F.col("a").alias("root")))
     entered = classes.select("c", "n", "prefix").join(root, "c", "left").withColumn("root", F.coalesce("root", "c"))
     entered = entered.select("c", "n", "root", F.posexplode("prefix").alias("at", "k")).where("at < n - (4 * n + 4) div 5 + 1")
@@ -226,12 +230,12 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     under = met.join(hub.select("k", "hub.c", "hub.n", "hub.at", "hub.root").toDF("k", "hub", "m", "j", "hub_root"), "k")
     near = verified(under.where("root <> hub_root").where(_room("n", "at", "m", "j")).select(F.col("hub").alias("a"), F.col("c").alias("b")).distinct(), docs, classes)
 
-    edges = alike.union(near)
-    root = sized(components(edges).toDF("c", "new_root"))
+    root = sized(components(alike.union(near)).toDF("c", "new_root"))
     placed = under.drop("root", "hub_root", "m", "j").join(root, "c", "left").withColumn("root", F.coalesce("new_root", "c")).drop("new_root")
     placed = placed.join(placed.where("c = hub").select("k", F.col("root").alias("main")), "k")
     placed = placed.select("k", "c", "n", "at", "root", "main", (F.col("c") == F.col("hub")).alias("is_hub")).checkpoint()
-    return edges.union(verified(_across(placed, classes).distinct(), docs, classes))
+    # what was found so far goes on as stars
+    return root.where("c <> new_root").toDF("a", "b").union(verified(_across(placed, classes).distinct(), docs, classes))
 
 
 def _across(placed: DataFrame, classes: DataFrame) -> DataFrame:
@@ -268,6 +272,6 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     same = placed.groupBy("root", "doc_id", "h").agg(F.count("*").alias("k"))
     kept = same.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("one"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
     judged = same.join(sized(kept), "root", "left").withColumn("stays", F.col("one").isNull() | (F.col("one.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("one.h") == F.col("h"))))
-    judged = judged.where("not stays or k > 1").selectExpr("doc_id as its_id", "h as its_h", "stays").checkpoint()
-    repeated = whole.join(sized(judged.where("stays").drop("stays")), F.expr(SAME_ROW), "left_semi").dropDuplicates(["doc_id", "h"])
-    return whole.join(sized(judged.drop("stays")), F.expr(SAME_ROW), "left_anti").union(repeated).select("whole_row.*")
+    judged = sized(judged.where("not stays or k > 1").selectExpr("doc_id as its_id", "h as its_h", "stays"))
+    repeated = whole.join(judged.where("stays"), F.expr(SAME_ROW), "left_semi").dropDuplicates(["doc_id", "h"])
+    return whole.join(judged, F.expr(SAME_ROW), "left_anti").union(repeated).select("whole_row.*")

@@ -128,3 +128,14 @@ def test_frequent_shingles_are_counted_over_all_texts(spark):
         places, often = neardup.frequent(df.repartition(parts))
         assert {*neardup.shingle_sets(neardup.pa.array([shared]))[1] >> first} <= {*places}
         assert often.tolist() == want[places.astype(int)].tolist() and len(places) < 1000
+
+
+def test_few_jobs(spark, docs_df):
+    """What the driver keeps grows with the jobs that are started, so no table is read again to be counted."""
+    context = spark.sparkContext
+    context.setJobGroup("near-duplicates", "")
+    try:
+        neardup.drop_near_duplicates(docs_df).collect()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(context.statusTracker().getJobIdsForGroup("near-duplicates")) <= 150
