@@ -35,11 +35,11 @@ from pyspark.sql import functions as F
 
 from . import simhash
 from .common import WHITESPACE, Words, byte_table, give_back, range_hash, slices, use_checkpoints, written
-from .components import components
+from .components import stars
 
 TABLE = byte_table(WHITESPACE, lower=True)
 SHINGLE, CELLS, PLACE_BITS = 5, 256, 21
-BROADCAST, CROWD = 2_000_000, 64
+BROADCAST, CROWD, TASK_ROWS = 2_000_000, 64, 100_000
 SAME_ROW = "h = its_h and doc_id <=> its_id"
 
 
@@ -168,7 +168,11 @@ def entries(docs: DataFrame) -> DataFrame:
 def sized(keys: DataFrame) -> DataFrame:
     """Written once, and marked for broadcast if it is small; ``keys`` holds a few numbers a row."""
     keys, seen = written(keys, F.count(F.lit(1)).alias("rows"))
-    return F.broadcast(keys) if seen.rows <= BROADCAST else keys
+    return _marked(keys, seen.rows)
+
+
+def _marked(keys: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(keys) if rows <= BROADCAST else keys
 
 
 def _room(n: str, i: str, m: str, j: str) -> Column:
@@ -184,7 +188,7 @@ def _near_enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         far = np.abs(x - y).sum(axis=1)
         # a full cell may hide more: it still bounds from below
         sizes = batch.column("n").to_numpy() + batch.column("m").to_numpy()
-        yield batch.select(["a", "b"]).filter(pa.array(9 * far <= sizes))
+        yield batch.select(["a", "b", "at_a", "at_b"]).filter(pa.array(9 * far <= sizes))
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,18 +200,25 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(alike))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs of classes ``a, b`` whose whole sets are at least 0.8 alike; ``b`` should be the one in fewer pairs."""
-    cells = classes.select("c", "cells", "n")
-    held = pairs.join(cells.select(F.col("c").alias("b"), F.col("cells").alias("y"), F.col("n").alias("m")), "b").join(cells.select(F.col("c").alias("a"), F.col("cells").alias("x"), "n"), "a")
-    pairs, seen = written(held.select("a", "b", "x", "y", "n", "m").mapInArrow(_near_enough, "a long, b long"), F.count(F.lit(1)).alias("rows"))
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, int]:
+    """The pairs of classes ``a, b`` whose whole sets are at least 0.8 alike, and how many; ``b`` should be the one in fewer pairs.
+
+    Each pair takes along where the texts of its classes are, so that they are fetched without meeting the classes again.
+    """
+    x = classes.select(F.col("c").alias("a"), F.col("cells").alias("x"), "n", F.struct("doc_id", "h").alias("at_a"))
+    y = classes.select(F.col("c").alias("b"), F.col("cells").alias("y"), F.col("n").alias("m"), F.struct("doc_id", "h").alias("at_b"))
+    held = pairs.join(y, "b").join(x, "a").select("a", "b", "x", "y", "n", "m", "at_a", "at_b")
+    place = "struct<doc_id:long,h:long>"
+    pairs, seen = written(held.mapInArrow(_near_enough, f"a long, b long, at_a {place}, at_b {place}"), F.count(F.lit(1)).alias("rows"))
     if not seen.rows:
-        return pairs
-    needed = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
-    keys = sized(classes.select("c", "doc_id", "h").join(needed, "c").selectExpr("c", "doc_id as its_id", "h as its_h"))
-    texts = docs.select("doc_id", "h", "text").join(keys, F.expr(SAME_ROW)).select("c", "text").dropDuplicates(["c"]).checkpoint()
-    held = pairs.join(texts.select(F.col("c").alias("b"), F.col("text").alias("other")), "b").join(texts.withColumnRenamed("c", "a"), "a")
-    return held.select("a", "b", "text", "other").mapInArrow(_alike, "a long, b long").checkpoint()
+        return pairs.select("a", "b"), 0
+    pairs = pairs.coalesce(1 + seen.rows // TASK_ROWS)
+    ends = F.explode(F.array(F.struct(F.col("a").alias("c"), F.col("at_a").alias("at")), F.struct(F.col("b").alias("c"), F.col("at_b").alias("at")))).alias("end")
+    keys = sized(pairs.select(ends).select("end.c", F.col("end.at.doc_id").alias("its_id"), F.col("end.at.h").alias("its_h")).distinct())
+    texts = docs.select("doc_id", "h", "text").join(keys, F.expr(SAME_ROW)).select("c", "text").dropDuplicates(["c"])
+    held = pairs.select("a", "b").join(texts.select(F.col("c").alias("b"), F.col("text").alias("other")), "b").join(texts.withColumnRenamed("c", "a"), "a")
+    alike, seen = written(held.select("a", "b", "text", "other").mapInArrow(_alike, "a long, b long"), F.count(F.lit(1)).alias("rows"))
+    return alike.coalesce(1 + seen.rows // TASK_ROWS), seen.rows
 
 
 def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -216,10 +227,10 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     narrow = classes.select("c", "fp")
     heads = narrow.groupBy(F.col("fp").alias("its_fp")).agg(F.min("c").alias("a"))
     placed = narrow.join(linked, "fp", "left").select(F.col("c").alias("b"), F.coalesce("its_fp", "fp").alias("its_fp"))
-    alike = verified(placed.join(heads, "its_fp").where("a <> b").select("a", "b"), docs, classes)
+    alike, found = verified(placed.join(heads, "its_fp").where("a <> b").select("a", "b"), docs, classes)
 
     # classes of one root are linked; a root may have a root of its own
-    root = sized(alike.select(F.col("b").alias("c"), F.col("a").alias("root")))
+    root = _marked(alike.select(F.col("b").alias("c"), F.col("a").alias("root")), found)
     entered = classes.select("c", "n", "prefix").join(root, "c", "left").withColumn("root", F.coalesce("root", "c"))
     entered = entered.select("c", "n", "root", F.posexplode("prefix").alias("at", "k")).where("at < n - (4 * n + 4) div 5 + 1")
     shared = entered.groupBy("k").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("k")
@@ -228,14 +239,15 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     held = met.groupBy("c").agg(F.count("*").alias("shares"))
     hub = met.join(sized(held), "c").groupBy("k").agg(F.min(F.struct((-F.col("shares")).alias("order"), "c", "n", "at", "root")).alias("hub"))
     under = met.join(hub.select("k", "hub.c", "hub.n", "hub.at", "hub.root").toDF("k", "hub", "m", "j", "hub_root"), "k")
-    near = verified(under.where("root <> hub_root").where(_room("n", "at", "m", "j")).select(F.col("hub").alias("a"), F.col("c").alias("b")).distinct(), docs, classes)
+    near, _ = verified(under.where("root <> hub_root").where(_room("n", "at", "m", "j")).select(F.col("hub").alias("a"), F.col("c").alias("b")).distinct(), docs, classes)
 
-    root = sized(components(alike.union(near)).toDF("c", "new_root"))
-    placed = under.drop("root", "hub_root", "m", "j").join(root, "c", "left").withColumn("root", F.coalesce("new_root", "c")).drop("new_root")
-    placed = placed.join(placed.where("c = hub").select("k", F.col("root").alias("main")), "k")
-    placed = placed.select("k", "c", "n", "at", "root", "main", (F.col("c") == F.col("hub")).alias("is_hub")).checkpoint()
     # what was found so far goes on as stars
-    return root.where("c <> new_root").toDF("a", "b").union(verified(_across(placed, classes).distinct(), docs, classes))
+    found, rows = stars(alike.union(near))
+    placed = under.select("k", "c", "n", "at", "hub")
+    for node, name in (("c", "root"), ("hub", "main")):
+        placed = placed.join(_marked(found.toDF(node, name), rows), node, "left").withColumn(name, F.coalesce(name, node))
+    placed = placed.select("k", "c", "n", "at", "root", "main", (F.col("c") == F.col("hub")).alias("is_hub")).checkpoint()
+    return found.union(verified(_across(placed, classes).distinct(), docs, classes)[0])
 
 
 def _across(placed: DataFrame, classes: DataFrame) -> DataFrame:
@@ -265,10 +277,11 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     rows = entries(docs).withColumn("c", F.monotonically_increasing_id()).checkpoint()
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "c")
     copies = rows.groupBy("class").agg(F.min(first).alias("one"), F.count("*").alias("k")).where("k > 1").select("class", F.col("one.c").alias("one"))
-    named = rows.select("class", "c", "doc_id", "h").join(sized(copies), "class", "left").select("c", "doc_id", "h", F.coalesce("one", "c").alias("one"))
-    classes = rows.join(sized(named.where("c <> one").select("c")), "c", "left_anti")
-    root = components(links(docs, classes)).toDF("one", "root")
-    placed = named.join(sized(root), "one", "left").withColumn("root", F.coalesce("root", "one"))
+    copies = sized(copies)
+    named = rows.select("class", "c", "doc_id", "h").join(copies, "class", "left").select("c", "doc_id", "h", F.coalesce("one", "c").alias("one"))
+    classes = rows.join(copies, "class", "left").where("one is null or one = c").drop("one")
+    root = _marked(*stars(links(docs, classes)))
+    placed = named.join(root.toDF("one", "root"), "one", "left").withColumn("root", F.coalesce("root", "one"))
     same = placed.groupBy("root", "doc_id", "h").agg(F.count("*").alias("k"))
     kept = same.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("one"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
     judged = same.join(sized(kept), "root", "left").withColumn("stays", F.col("one").isNull() | (F.col("one.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("one.h") == F.col("h"))))

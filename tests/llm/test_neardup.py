@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from pledgewise.llm import neardup
+from pledgewise.llm import components, neardup
 
 from . import brute
 
@@ -139,3 +139,26 @@ def test_few_jobs(spark, docs_df):
     finally:
         context.setLocalProperty("spark.jobGroup.id", None)
     assert 0 < len(context.statusTracker().getJobIdsForGroup("near-duplicates")) <= 150
+
+
+def test_classes_and_stars_are_not_read_again(spark, docs_df):
+    """Copies name the classes, pairs say where their texts are, and stars are used as they were written: a fifth of the jobs is saved."""
+    context = spark.sparkContext
+    context.setJobGroup("fewer jobs", "")
+    try:
+        neardup.drop_near_duplicates(docs_df).collect()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    jobs = len(context.statusTracker().getJobIdsForGroup("fewer jobs"))
+    assert 0 < jobs <= 110
+
+
+def test_stars_are_the_same_by_broadcasts_and_by_shuffles(spark, monkeypatch):
+    """A path, a star, a loop and a null: what is sent to all tasks or dealt out changes nothing."""
+    edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (None, 3)]
+    want = sorted([(i, 0) for i in range(1, 41)] + [(k, 100) for k in range(101, 160)])
+    df = spark.createDataFrame(edges, "a long, b long").repartition(7)
+    for most in (0, 1000):
+        monkeypatch.setattr(components, "BROADCAST", most)
+        found, rows = components.stars(df)
+        assert sorted((r.a, r.b) for r in found.collect()) == want and rows == len(want)
