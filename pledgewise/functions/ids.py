@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CROCKFORD = "0123456789ABCDEFGHJKMNPQRSTVWXYZ"
+# The digits of base 32 as ``conv`` writes them, and as they are written here: without I, L, O and U.
+BASE_32, CROCKFORD = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "0123456789ABCDEFGHJKMNPQRSTVWXYZ"
 
 
 def ulid(day: Column, key: Column) -> Column:
-    """26 characters: the day's milliseconds, then the first ten bytes of the key's SHA-256."""
-    millis = F.lpad(F.hex(F.unix_date(day).cast("long") * 86_400_000), 12, "0")
-    bits = F.concat(F.lit("00"), *[F.lpad(F.conv(F.substring(F.concat(millis, F.substring(F.sha2(key, 256), 1, 20)), 1 + 8 * k, 8), 16, 2), 32, "0") for k in range(4)])
-    letters = [F.substring(F.lit(CROCKFORD), F.conv(F.substring(bits, 1 + 5 * k, 5), 2, 10).cast("int") + 1, F.lit(1)) for k in range(26)]
-    return F.concat(*letters)
+    """26 characters: the day's milliseconds, then the first ten bytes of the key's SHA-256.
+
+    Ten letters hold the 48 bits of the day and eight each half of the bytes, so a key is hashed twice at most, under conditions too.
+    """
+    millis, digest = F.lpad(F.hex(F.unix_date(day).cast("long") * 86_400_000), 12, "0"), F.sha2(key, 256)
+    pieces = [(millis, 10), (F.substring(digest, 1, 10), 8), (F.substring(digest, 11, 10), 8)]
+    return F.translate(F.concat(*[F.lpad(F.conv(hexed, 16, 32), n, "0") for hexed, n in pieces]), BASE_32, CROCKFORD)
 
 
 def custom_id(accession: Column, char_start: Column, method: Column) -> Column:
