@@ -5,6 +5,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from pledgewise.functions import guards as G
 from pledgewise.operators import chain
 
 DAY = datetime.date(2024, 2, 1)
@@ -133,3 +134,24 @@ def test_missing_fields_are_reasons_or_defaults(spark):
     names = ["metric", "unit", "target_period", "value_low", "plus_minus_kind", "line_first"]
     got = rows(spark, *[([{k: v for k, v in item().items() if k != name}], {"sentence": TEXT}) for name in names])
     assert [r[4] is None for r in got] == [False, False, False, True, True, True]
+
+
+def test_texts_are_read_once_and_only_where_a_mark_allows(spark):
+    """What spares reading a text never changes a reason: odd spaces, capitals, marks of spread and ends of periods."""
+    rows = [
+        ("Revenue\u0001of $5.0 million ± $1 million.", 5.0, 5.0, "dollars"), ("GUIDANCE for revenue of $5 million is\u0001based on FY 24. It was flat.", 5.0, 5.0, "dollars"),
+        ("Revenue GROWTH of $5 million.", 5.0, 5.0, "dollars"), ("Margin of 5 points, compared\u0001to 6 points.", 5.0, 5.0, "percent"), ("Revenue for the year\nended\tMarch 31, 2030 is $5 million.", 5.0, 5.0, "dollars"),
+        ("It rained.", 5.0, 5.0, "dollars"), (None, 5.0, 5.0, "dollars"),
+    ]
+    t, low, high, kind = (F.col(c) for c in ("t", "low", "high", "kind"))
+    march = [F.lit(3), F.lit(True), F.lit("2029-01-01").cast("date")]
+    found = {
+        "spread": G.printed_spread(t, low, high, kind, F.lit(1e6)).isNotNull(), "base": G.restated_base(t, low, high), "change": G.is_change(t, kind, low, high), "prior": G.relative_to_prior(t, kind, low, high),
+        "period": G.period_by_end_date(t, *march), "missing": G.missing_numbers(t, [low, high]),
+    }
+    got = spark.createDataFrame(rows, "t string, low double, high double, kind string").coalesce(1).select(*[c.alias(n) for n, c in found.items()]).collect()
+    assert [r["spread"] for r in got] == [True, False, False, False, False, False, False]
+    assert [n for r in got for n in ("base", "change", "prior") if r[n]] == ["base", "change", "prior"] and got[1]["base"] and got[2]["change"] and got[3]["prior"]
+    assert [r["period"] for r in got] == [None] * 4 + ["FY2030", None, None]
+    assert [r["missing"] is not None for r in got] == [False] * 5 + [True, True]
+    assert str(found["missing"]).count("regexp_extract_all") == 1 and str(found["base"]).count("split") == 1
