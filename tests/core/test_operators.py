@@ -2,6 +2,7 @@ import random
 from datetime import date, timedelta
 from types import SimpleNamespace
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,6 +59,71 @@ def test_dedupe_keeps_every_draft_once(spark):
     assert set(got) == {d[7] for d in drafts} and all(got[k][0] == "kept" for _, k, _ in got.values() if got[k][0] != "point in range")
 
 
+SCALES = {"USD": 1.0, "USD thousands": 1e3, "USD millions": 1e6, "USD billions": 1e9}
+
+
+def plain_verdicts(drafts):
+    """The rule of deduplication, pair by pair."""
+    ranked = sorted((d for d in drafts), key=lambda d: (d[4] != "sentence", d[5], d[6], d[7]))
+
+    def room(x, unit):
+        return SCALES[unit] * 10.0 ** -max(len(f"{x:.10f}".rstrip("0").split(".")[1]), 1) / 2 * (1 + 1e-9)
+
+    def same(x, y):
+        for a, b in zip(x[8:10], y[8:10], strict=True):
+            if a is None or b is None:
+                ok = a is b
+            elif x[10] == y[10]:
+                ok = round(a, 6) == round(b, 6)
+            else:
+                ok = x[10] in SCALES and y[10] in SCALES and abs(a * SCALES[x[10]] - b * SCALES[y[10]]) <= max(room(a, x[10]), room(b, y[10]))
+            if not ok:
+                return False
+        return True
+
+    def holds(r, p):
+        return r[10] == p[10] and (r[8] is None or r[8] <= p[8]) and (r[9] is None or p[8] <= r[9])
+
+    point = [d[8] is not None and d[8] == d[9] for d in ranked]
+    holder = [next((r[7] for r, q in zip(ranked, point, strict=True) if not q and holds(r, d)), None) if p else None for d, p in zip(ranked, point, strict=True)]
+    leaders = []
+    for d, h in zip(ranked, holder, strict=True):
+        if h is None and not any(same(x, d) for x in leaders):
+            leaders.append(d)
+    out = {}
+    for d, h in zip(ranked, holder, strict=True):
+        first = h or next(x[7] for x in leaders if same(x, d))
+        kind = "point in range" if h else "kept" if first == d[7] else "duplicate"
+        out[d[7]] = (kind, first, kind == "kept" and len(leaders) > 1)
+    return out
+
+
+def test_dedupe_is_the_rule_pair_by_pair(spark, monkeypatch):
+    rng = random.Random(11)
+    units = [*SCALES, "percent"]
+
+    def some(i):
+        unit, x = rng.choice(units), rng.choice([1.0, 1.52, 1.515, 1515.0, 1515.04, 1520.0, 2.0, 2.0000001])
+        x = x / 1e3 if unit == "USD billions" and x > 1000 else x
+        high = rng.choice([x, x, None, x + 1, x + 0.04])
+        return draft(f"d{i:03}", rng.choice([x, x, None]), high, unit, rng.choice(["sentence", "section"]), rng.randrange(9))
+
+    for n in (3, 40, 250):
+        drafts = [some(i) for i in range(n)]
+        assert verdicts(spark, drafts) == plain_verdicts(drafts)
+    monkeypatch.setattr(dedupe, "PAIRS", 3)  # the same in steps of three pairs
+    u, low = np.array([1, 2, 1, 2, 1]), np.array([5.0, 5.0, 6.0, 5.04, 4.0])
+    assert sorted(dedupe.near_pairs(u, np.array([low, low]), np.full((2, 5), 0.05))) == [(0, 1), (0, 3)]
+    assert dedupe.first_ranges(np.array([1, 1, 1, 2]), np.array([5.0, np.nan, 4.0, 5.0]), np.array([5.0, 9.0, 6.0, 5.0])).tolist() == [1, -1, -1, -1]
+
+
+def test_dedupe_meets_only_figures_that_are_near():
+    n = 20_000  # of one key: pair by pair they would be 200 million
+    value = np.arange(n) * 1e6
+    assert len(dedupe.near_pairs(np.arange(n) % 2, np.array([value, value]), np.full((2, n), 5e4))) == 0
+    assert (dedupe.first_leaders(np.zeros(n), np.array([value, value]), np.array([value, value]), np.full((2, n), 5e4)) == np.arange(n)).all()
+
+
 def test_refresh_never_overwrites_a_person(spark):
     columns = ["a"]
     queue = spark.createDataFrame([("1", 1.0, True, "", {"a": "0.0"}), ("2", 1.0, False, "", {"a": "1.0"}), ("3", 5.0, True, "", {"a": "2.0"})], "record_id string, a double, touched boolean, note string, snapshot map<string,string>")
