@@ -71,7 +71,8 @@ def read_queue(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_queue(queue: DataFrame, path: str) -> None:
-    queue.write.mode("overwrite").option("header", "true").option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path)
+    """The whole queue as compressed CSV: its cells repeat each other, and as plain text take many times the disk."""
+    queue.write.mode("overwrite").option("header", "true").option("quote", '"').option("escape", '"').option("emptyValue", "").option("compression", "gzip").csv(path)
 
 
 def write_release(records: DataFrame, path: str) -> None:
@@ -91,6 +92,6 @@ def write_unless_empty(df: DataFrame, path: str) -> bool:
 
 
 def write_by_company(df: DataFrame, path: str, files: int = 8) -> None:
-    """JSON lines in a folder for each ``cik``, dealt over up to ``files`` files there by the other columns' hash, so a large company is not one task."""
+    """JSON lines in a folder for each ``cik``, dealt over up to ``files`` files there by the other columns' hash, so a large company is not one task; compressed."""
     rest = F.xxhash64(*[c for c in df.columns if c != "cik"])
-    df.repartition("cik", F.pmod(rest, F.lit(files))).write.mode("overwrite").partitionBy("cik").json(path)
+    df.repartition("cik", F.pmod(rest, F.lit(files))).write.mode("overwrite").option("compression", "gzip").partitionBy("cik").json(path)
