@@ -31,6 +31,17 @@ def first_per(df: DataFrame, keys: list[str], order: list[Column], n: int = 1, r
     return ranked if rank else ranked.drop(name)
 
 
+def join_within(left: DataFrame, right: DataFrame, within: str, key: str, name: str) -> DataFrame:
+    """Left rows with the right row of their ``key``, one at most, as the struct ``name``; null where there is none.
+
+    Both sides have ``within``, a coarser key of few rows that a pair shares.  Right rows are gathered by it and meet there, so sides that
+    already lie by it, as those made by one join on it, are not moved again.
+    """
+    gathered = right.groupBy(within).agg(F.collect_list(F.struct(*[c for c in right.columns if c != within])).alias("of__"))
+    met = left.join(gathered, within, "left")
+    return met.withColumn(name, F.get(F.filter("of__", lambda x: x[key] == F.col(key)), F.lit(0))).drop("of__")
+
+
 def replace_scope(old: DataFrame, new: DataFrame, scope: DataFrame, keys: list[str]) -> DataFrame:
     """``old`` without the rows of the scope's keys, and all of ``new``; applying it twice is applying it once."""
     return old.join(scope.select(*keys).distinct(), keys, "left_anti").unionByName(new)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions import periods, rubric, wording
 from ..sources import records as R
+from .joins import join_within
 
 # The columns of a queue beside those of the record.
 REVIEWER_COLUMNS = ["approved", "hand_verified", "reviewer_note"]
@@ -52,13 +53,15 @@ def snapshot(watched: list[str]) -> Column:
     return F.to_json(F.map_from_arrays(F.array(*[F.lit(c) for c in names]), F.array(*cells)))
 
 
-def build_records(drafts: DataFrame, outcomes: DataFrame, today: Column, reviewer: str) -> DataFrame:
+def build_records(drafts: DataFrame, outcomes: DataFrame, today: Column, reviewer: str, within: str | None = None) -> DataFrame:
     """A record of each draft as nested columns, then ``found`` (what was searched for it) and ``draft`` (what helps a reviewer).
 
     ``drafts`` has the columns of ``DRAFT`` and ``outcomes`` those of ``OUTCOME``, one row a draft at most; a draft without one has not been searched.
+    ``within`` may name a column that both have and a draft shares with its outcome, as its filing: they meet by it, and it is kept.
     """
-    found = outcomes.select("draft_id", F.struct("outcome", "acknowledgement", "withdrawal", "outcome_reason").alias("found"))
-    rows = drafts.join(found, "draft_id", "left")
+    kept = [within] if within else []
+    found = outcomes.select("draft_id", *kept, F.struct("outcome", "acknowledgement", "withdrawal", "outcome_reason").alias("found"))
+    rows = join_within(drafts, found, within, "draft_id", "its").withColumn("found", F.col("its.found")) if within else drafts.join(found, "draft_id", "left")
     a, outcome, seen = (lambda n: F.col(f"assumption.{n}")), F.col("found.outcome"), F.col("found.acknowledgement")
     reported, acknowledged = F.col("found.outcome.reported_at"), F.col("found.acknowledgement.acknowledged_at")
     return rows.select(
@@ -79,16 +82,17 @@ def build_records(drafts: DataFrame, outcomes: DataFrame, today: Column, reviewe
         F.lit(reviewer).alias("reviewer"),
         "found",
         F.struct("conflict", "capture_method", "heading", "lead_in", "table_header", "value_column", "parens_note", "context_before").alias("draft"),
+        *kept,
     )
 
 
-def build_rows(drafts: DataFrame, outcomes: DataFrame, today: Column, reviewer: str) -> DataFrame:
+def build_rows(drafts: DataFrame, outcomes: DataFrame, today: Column, reviewer: str, within: str | None = None) -> DataFrame:
     """The queue's row of each draft, all columns as text in their order; empty cells are null.
 
     A withdrawal counts when it was filed no later than the day its period closed; ``aid_context`` tells where the period came from when the
     excerpt of a sentence names none.  One join, and nothing else is shuffled.
     """
-    rows = build_records(drafts, outcomes, today, reviewer)
+    rows = build_records(drafts, outcomes, today, reviewer, within)
     a, gone = (lambda n: F.col(f"assumption.{n}")), F.col("found.withdrawal")
     withdrawn = gone.isNotNull() & rubric.withdrawn_before_close(gone["withdrawn_at"], gone["period_close"])
     status = rubric.resolve(a("target_low"), a("target_high"), F.col("outcome.reported_value"), F.lit(True), F.lit(True), withdrawn)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import audit, validate
 from ..operators import queue as Q
+from ..operators.joins import join_within
 from ..sources import records as R
 from .corpus import scratch
 from .registry import query
@@ -24,7 +25,7 @@ def _evidence(accession: Column, day: Column, excerpt: Column) -> Column:
 
 
 def _inputs(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Drafts of all statements, and what was found for those that were searched (all but a ninth)."""
+    """Drafts of all statements, and what was found for those that were searched (all but a ninth), both with their filing's number."""
     s, own = t.statements, F.col("accession")
     unit = F.when(F.col("kind") == "percent", "percent").when(F.col("kind") == "per share", "USD per share").when(F.col("part") % 5 == 0, "USD").otherwise("USD millions")
     ids = F.concat(F.lit("0"), F.upper(F.substring("record_id", 1, 25))).alias("draft_id")
@@ -37,20 +38,28 @@ def _inputs(t: Tables) -> tuple[DataFrame, DataFrame]:
         F.when(F.col("line") % 2 == 0, "sentence").otherwise("section").alias("capture_method"), F.when(F.col("line") % 2 == 1, "Financial Outlook").alias("heading"),
         F.lit(None).cast("string").alias("lead_in"), F.lit(None).cast("string").alias("table_header"), F.lit(None).cast("string").alias("value_column"),
         F.when(F.col("part") % 7 == 0, "a figure in parentheses").alias("parens_note"), F.when(F.col("part") % 3 == 0, F.array(F.lit("In the\n quarter"), F.lit(" we sold   more."))).alias("context_before"),
-        said.alias("assumption"),
+        said.alias("assumption"), "filing_no",
     )
     outcome = F.struct("reported_value", "reported_at", _evidence(own, F.col("reported_at"), F.lit("Revenue was told.")).alias("evidence"))
     seen = F.struct("acknowledged_at", _evidence(own, F.col("acknowledged_at"), F.lit("We fell short, as \\ told.")).alias("evidence"))
     gone = F.struct("withdrawn_at", F.date_add("stated_at", (F.col("supp") % 3 * 30).cast("int")).alias("period_close"), _evidence(own, F.col("withdrawn_at"), F.lit(_GONE)).alias("evidence"))
     outcomes = s.where("part % 9 <> 0").select(
         ids, "cik", F.when(F.col("reported_value").isNotNull(), outcome).alias("outcome"), F.when(F.col("reported_value").isNull() & (F.col("supp") % 2 == 0), "no line gives the value").otherwise("").alias("outcome_reason"),
-        F.when(F.col("acknowledged_at").isNotNull(), seen).alias("acknowledgement"), F.when(F.col("withdrawn_at").isNotNull(), gone).alias("withdrawal"),
+        F.when(F.col("acknowledged_at").isNotNull(), seen).alias("acknowledgement"), F.when(F.col("withdrawn_at").isNotNull(), gone).alias("withdrawal"), "filing_no",
     )
     return drafts, outcomes
 
 
 def _rows(t: Tables) -> DataFrame:
-    return Q.build_rows(*_inputs(t), F.lit(TODAY).cast("date"), "a reviewer")
+    return Q.build_rows(*_inputs(t), F.lit(TODAY).cast("date"), "a reviewer", "filing_no")
+
+
+def _marked(t: Tables) -> DataFrame:
+    """Records of all drafts, with the numbers of their statement: ``p``, ``s`` and ``n``."""
+    s = t.statements
+    marks = s.select("filing_no", F.concat(F.lit("0"), F.upper(F.substring("record_id", 1, 25))).alias("record_id"), F.col("part").alias("p"), F.col("supp").alias("s"), F.col("line").alias("n"))
+    rows = Q.build_records(*_inputs(t), F.lit(TODAY).cast("date"), "a reviewer", "filing_no")
+    return join_within(rows, marks, "filing_no", "record_id", "mark").withColumns({c: F.col(f"mark.{c}") for c in "psn"}).drop("mark")
 
 
 def _amount(x: str) -> str:
@@ -113,7 +122,7 @@ def drafts_and_outcomes(t: Tables) -> DataFrame:
     back = []
     for rows, schema, name in zip(_inputs(t), (Q.DRAFT, Q.OUTCOME), ("drafts", "outcomes")):
         path = scratch(t.spark, name)
-        R.write_by_company(rows, path)
+        R.write_by_company(rows.drop("filing_no"), path)
         back.append(t.spark.read.schema(schema).json(path))
     return _back(Q.build_records(*back, F.lit(TODAY).cast("date"), "a reviewer"))
 
@@ -134,9 +143,7 @@ _FAULTS = {
 @query("v1_record_issues", f"WITH {_QUEUE} " + " UNION ALL ".join(f"SELECT id AS record_id, '{name}' AS \"check\" FROM q WHERE {when}" for name, when in _FAULTS.items()))
 def record_issues(t: Tables) -> DataFrame:
     """All records with faults of many kinds at every level, alone and together; results are not filtered."""
-    drafts, outcomes = _inputs(t)
-    marks = t.statements.select(F.concat(F.lit("0"), F.upper(F.substring("record_id", 1, 25))).alias("record_id"), F.col("part").alias("p"), F.col("supp").alias("s"), F.col("line").alias("n"))
-    rows = Q.build_records(drafts, outcomes, F.lit(TODAY).cast("date"), "a reviewer").join(marks, "record_id")
+    rows = _marked(t)
     p, s = F.col("p"), F.col("s")
     a = F.col("assumption")
     low = F.when(s % 13 == 0, float("nan")).when(p % 19 == 0, F.coalesce(a["target_high"] + 1, a["target_low"])).otherwise(a["target_low"])
@@ -168,9 +175,8 @@ def record_issues(t: Tables) -> DataFrame:
 def three_evidences(t: Tables) -> DataFrame:
     """All evidence of all records against the cache of releases: missing, changed, or without the excerpt."""
     releases = t.releases.select("cik", "accession", "text", "o_orderkey")
-    sha = releases.select(F.col("accession").alias("its"), F.sha2("text", 256).alias("sha"))
-    marks = t.statements.select(F.concat(F.lit("0"), F.upper(F.substring("record_id", 1, 25))).alias("record_id"), F.col("part").alias("p"), F.col("supp").alias("s"), F.col("accession").alias("its"))
-    rows = Q.build_records(*_inputs(t), F.lit(TODAY).cast("date"), "a reviewer").join(marks, "record_id").join(sha, "its")
+    sha = releases.select(F.col("o_orderkey").alias("filing_no"), F.sha2("text", 256).alias("sha"))
+    rows = _marked(t).join(sha, "filing_no")
     p, s = F.col("p"), F.col("s")
 
     def cites(evidence: Column, excerpt: Column, sha: Column | None = None, accession: Column | None = None) -> Column:

@@ -40,19 +40,26 @@ class Tables:
         )
 
     @cached_property
-    def filings(self) -> DataFrame:
-        orders = self.read("orders").join(self.read("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        form = F.when(F.col("o_orderpriority") == "1-URGENT", "10-K").when(F.col("o_orderpriority") == "2-HIGH", "10-Q").otherwise("8-K")
+    def _orders(self) -> DataFrame:
+        """Orders with their customer's nation, before names are made of keys."""
+        return self.read("orders").join(self.read("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+
+    @cached_property
+    def _filing(self) -> dict[str, Column]:
+        """A filing's columns by name, over an order's."""
         day = F.to_date("o_orderdate")
-        return orders.select(
-            "o_orderkey",
-            F.lpad(F.col("c_nationkey").cast("string"), 10, "0").alias("cik"),
-            F.concat_ws("-", F.lpad(F.col("o_orderkey").cast("string"), 10, "0"), F.date_format(day, "yy"), F.lpad((F.col("o_custkey") % 1000000).cast("string"), 6, "0")).alias("accession"),
-            form.alias("form"),
-            day.alias("filed_at"),
-            F.when(F.col("o_orderkey") % 50 == 0, 404).otherwise(200).alias("http_status"),
-            F.col("o_orderstatus").alias("kind"),
-        )
+        return {
+            "cik": F.lpad(F.col("c_nationkey").cast("string"), 10, "0"),
+            "accession": F.concat_ws("-", F.lpad(F.col("o_orderkey").cast("string"), 10, "0"), F.date_format(day, "yy"), F.lpad((F.col("o_custkey") % 1000000).cast("string"), 6, "0")),
+            "form": F.when(F.col("o_orderpriority") == "1-URGENT", "10-K").when(F.col("o_orderpriority") == "2-HIGH", "10-Q").otherwise("8-K"),
+            "filed_at": day,
+            "http_status": F.when(F.col("o_orderkey") % 50 == 0, 404).otherwise(200),
+            "kind": F.col("o_orderstatus"),
+        }
+
+    @cached_property
+    def filings(self) -> DataFrame:
+        return self._orders.select("o_orderkey", *[value.alias(name) for name, value in self._filing.items()])
 
     @cached_property
     def releases(self) -> DataFrame:
@@ -92,7 +99,9 @@ class Tables:
     @cached_property
     def statements(self) -> DataFrame:
         """One row per line item: bounds, stated and reported dates, the reported value, period and metric."""
-        filings = self.filings.select("o_orderkey", "cik", "accession", F.col("filed_at").alias("stated_at"))
+        # keys, which are small, are moved to their lines; names are made of them there
+        orders = self._orders.select("o_orderkey", "o_custkey", "c_nationkey", F.to_date("o_orderdate").alias("o_orderdate"))
+        own = {name: self._filing[name] for name in ("cik", "accession")}
         cents = F.round(F.col("l_extendedprice") * 100).cast("long")
         n = F.col("l_linenumber")
         base = (cents % 1000 + 100).cast("double")
@@ -102,7 +111,8 @@ class Tables:
         later = shipped > F.col("stated_at")
         rows = (
             self.read("lineitem")
-            .join(filings, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .withColumns(own | {"stated_at": F.col("o_orderdate")})
             .select(
                 F.md5(F.concat_ws("|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", shipped.cast("string"), cents.cast("string"))).alias("record_id"),
                 "cik",
@@ -121,6 +131,7 @@ class Tables:
                 n.cast("long").alias("line"),
                 F.col("l_partkey").alias("part"),
                 F.col("l_suppkey").alias("supp"),
+                F.col("l_orderkey").alias("filing_no"),
             )
         )
         return rows.join(F.broadcast(self.metrics), "metric_no").join(self.companies, "cik").withColumn("target_period", periods.format_period(F.col("quarter"), F.col("fiscal_year")))

@@ -59,6 +59,25 @@ def test_dedupe_keeps_every_draft_once(spark):
     assert set(got) == {d[7] for d in drafts} and all(got[k][0] == "kept" for _, k, _ in got.values() if got[k][0] != "point in range")
 
 
+def test_join_within_meets_by_the_coarser_key_and_moves_nothing_again(spark):
+    rows = [(k // 3, f"k{k}", k) for k in range(30)] + [(None, "n", 5)]
+    both = spark.createDataFrame(rows, "filing int, id string, v int").repartition(4, "filing")
+    left, right = both.drop("v"), both.where("v % 4 <> 1")
+    got = {r.id: r.its and r.its.v for r in joins.join_within(left, right, "filing", "id", "its").collect()}
+    assert got == {i: v if v % 4 != 1 else None for _, i, v in rows}
+    met = joins.join_within(left.hint("merge"), right, "filing", "id", "its")
+    assert met._jdf.queryExecution().sparkPlan().toString().count("ENSURE_REQUIREMENTS") == 0 and str(met._jdf.queryExecution().executedPlan()).count("Exchange hashpartitioning(filing") == 2
+
+
+def test_files_of_the_queue_are_compressed(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "a", 'x "y",\nz'), ("2", "b", "")], "cik string, record_id string, note string")
+    records.write_queue(rows, f"{tmp_path}/queue")
+    records.write_by_company(rows, f"{tmp_path}/companies")
+    files = [p.name for folder in ("queue", "companies") for p in (tmp_path / folder).rglob("part-*")]
+    assert files and all(name.endswith(".gz") for name in files)
+    assert {r.note for r in records.read_queue(spark, f"{tmp_path}/queue").collect()} == {'x "y",\nz', None}
+
+
 SCALES = {"USD": 1.0, "USD thousands": 1e3, "USD millions": 1e6, "USD billions": 1e9}
 
 
