@@ -161,14 +161,17 @@ def points_in_ranges(t: Tables) -> DataFrame:
 
 @query("j17_conflict_pairs", f"WITH {STATEMENTS} SELECT a.record_id AS first_id, b.record_id AS second_id FROM statements a JOIN statements b USING ({_KEY}) WHERE a.record_id < b.record_id AND (a.target_low IS DISTINCT FROM b.target_low OR a.target_high IS DISTINCT FROM b.target_high)")
 def conflict_pairs(t: Tables) -> DataFrame:
-    """Pairs of records on one key that state different numbers; figures meet figures first, so that no pair is made only to be dropped."""
-    keys = ["cik", "metric", "target_period", "stated_at"]
-    # a missing bound is met as a number that no bound is
-    records = t.statements.select(*keys, *[F.coalesce(c, F.lit(float("-inf"))).alias(c) for c in ("target_low", "target_high")], "record_id")
-    figures = records.drop("record_id").distinct()
-    differ = figures.toDF(*keys, "l1", "h1").join(figures.toDF(*keys, "l2", "h2"), keys).where(F.struct("l1", "h1") < F.struct("l2", "h2"))
-    met = differ.join(records.toDF(*keys, "l1", "h1", "a"), [*keys, "l1", "h1"]).join(records.toDF(*keys, "l2", "h2", "b"), [*keys, "l2", "h2"])
-    return met.where("a <> b").select(F.least("a", "b").alias("first_id"), F.greatest("a", "b").alias("second_id"))
+    """Pairs of records on one key that state different numbers.
+
+    Records are moved and sorted once, for both sides of one join, and a pair is given out where it is made: pairs are many times the
+    records, so they are never moved.
+    """
+    records = t.statements.select("cik", "metric", "target_period", "stated_at", "target_low", "target_high", "record_id")
+    a, b = records.alias("a"), records.alias("b")
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("cik", "metric", "target_period", "stated_at")]
+    differ = ~(F.col("a.target_low").eqNullSafe(F.col("b.target_low")) & F.col("a.target_high").eqNullSafe(F.col("b.target_high")))
+    met = a.join(b, [*same, F.col("a.record_id") < F.col("b.record_id"), differ])
+    return met.select(F.col("a.record_id").alias("first_id"), F.col("b.record_id").alias("second_id"))
 
 
 @query("u1_union_priority", f"WITH {STATEMENTS} SELECT record_id, CASE WHEN part % 2 = 0 THEN 'fresh' ELSE 'stub' END AS origin FROM statements WHERE part % 2 = 0 OR part % 3 = 0")
